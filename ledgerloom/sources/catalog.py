@@ -15,6 +15,7 @@ def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(reports, gap): reports of all landed pages in page order, and how many the server counts beyond them."""
     pages = spark.read.schema(CATALOG).json(path, multiLine=True).withColumn("page", F.input_file_name())
     rows = pages.select("page", F.posexplode("Items").alias("pos", "r")).select("page", "pos", "r.*").toDF("page", "pos", *NAMES)
+    rows = rows.withColumn("attachments", F.col("attachments").cast("array<struct<file_name: string, url: string>>"))
     gap = pages.agg(F.max("TotalItems").alias("total")).crossJoin(rows.agg(F.count(F.lit(1)).alias("landed")))  # one row each
     return rows, gap.withColumn("gap", F.col("total") - F.col("landed"))
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def ingest_incremental(spark: SparkSession, source: str, sink: str, checkpoint: str, glob: str = "*") -> None:
     """Appends sha256 and size of files that are new since the last run; the stream's checkpoint knows the others."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).load(source)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.schema(schema).format("binaryFile").option("pathGlobFilter", glob).load(source)
     rows = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
     rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
