@@ -104,15 +104,18 @@ def features(text: str | None, trie: Trie) -> tuple[float, float, float, float]:
     if not text:
         return 0.0, 0.0, 0.0, 0.0
     low = text.lower()
-    spans = None
+    words = _WORD.findall(low)
+    known, match = trie.memo.get, trie.match
+    marked = {w: m for w in set(words) if (m := known(w) or match(w))[1] >= 0}
+    if not marked:
+        return 0.0, 0.0, 0.0, 0.0
+    spans = [m.span() for m in _WORD.finditer(low)]
     strong: dict[str, float] = {}
     fuzzy, quoted = set(), set()
-    words = _WORD.findall(low)
     for i, w in enumerate(words):
-        weight, edits = trie.match(w)
-        if edits < 0:
+        if w not in marked:
             continue
-        spans = spans or [m.span() for m in _WORD.finditer(low)]
+        weight, edits = marked[w]
         around = range(max(0, i - CONTEXT), min(len(words), i + CONTEXT + 1))
         before = low[spans[around[0]][0] : spans[i][0]]
         after = low[spans[i][1] : spans[around[-1]][1] + 1]
