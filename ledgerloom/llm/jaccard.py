@@ -4,15 +4,17 @@ Sets of hashed five-word shingles are compared within bands of similar size. A b
 domain into ranges of the hash, about one for each shingle; two sets that are similar enough differ in few
 features and so agree on most ranges, and each range's features make one signature. The signatures are put
 in one fixed order and each set enumerates only as many of them, from the front, as guarantee `need`
-shared ones with every partner. All that follows is exact:
-
-* sets with fewer than `need` signatures in common with any others can have no link and go, before any
-  pair is made; that leaves the documents of near-copy groups;
-* those keep their rarest signatures, again as many as guarantee a shared one;
-* every set is verified against the least one at each signature, and what links forms components;
-* only pairs at a signature that stand in different components still can matter, and are verified in turn.
-
-Sets that are equal count as one from the start, so copies never meet each other.
+shared ones with every partner. Sets that are equal count as one from the start, so copies never meet each other, and near copies are first
+joined cheaply: each set is verified against one neighbour that shares one of its least features. That only
+saves work. All links between what is then still apart come from the signatures, and exactly:
+
+* a signature that sets of one component alone have is of no use and goes;
+* sets with fewer than `need` of the rest can have no further link and go, before any pair is made;
+* a pair shares 3 / 7 of both sizes together or more: 6 / 7 of the smaller set and 3 / 4 of the larger. So a set
+  can be the smaller of a pair only if so many of its features are in sets of other components that are as
+  large, and the larger only if so many are in such that are as small; the others go;
+* what is left keeps its rarest features, as many as guarantee a shared one, and smaller and larger sets of
+  different components meet at those and are verified.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ SHINGLE = 5
 SMALL = 96
 #: One signature more is asked for every so many features.
 SPARE = 16
+#: Least features by which sets look for a first neighbour.
+LEAST = 8
 _AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 _MIX1, _MIX2, _STEP = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53), _U(0x9E3779B97F4A7C15)
@@ -83,30 +87,37 @@ def need(size: int) -> int:
     return max(1, -(-3 * size // 4) // SPARE)
 
 
-def signatures(features: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The enumerated signatures of a set, and whether they are enough.
+def _cuts(features: np.ndarray) -> Iterator[tuple[int, np.ndarray | None, int]]:
+    """(level, starts of ranges, features that may differ) for the levels at which a set takes part.
 
     For sizes a <= b and similarity 3/4 or more, at most (a + b) / 7 features differ: a / 3 for the smaller set
     and 2 b / 7 for the larger. Pairs meet at the smaller set's level, so a set also enumerates at the level of
     the smallest partner where that is another. Single features differ in a quarter of the set at most.
     """
     size = len(features)
-    if not size:
-        return features, True
     own, low = level(size), level(-(-3 * size // 4))
-    out, enough = [], True
     for cut in {own, low}:
         if cut == 64:
-            sigs, differ = features, size // 4
+            yield cut, None, size // 4
         else:
             ranges = features >> _U(64 - cut)
-            starts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
-            sigs, differ = np.add.reduceat(_mix(features + _STEP), starts), (size // 3 if cut == own else 2 * size // 7)
-        spare = max(1, size // SPARE)
-        enough = enough and len(sigs) - differ >= (spare if cut != 64 else 1)
+            yield cut, np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]), size // 3 if cut == own else 2 * size // 7
+
+
+def enough(features: np.ndarray) -> bool:
+    """Whether the ranges that hold features are as many as the enumeration counts on; small sets always have."""
+    size = len(features)
+    return size < SMALL or all(starts is None or len(starts) - differ >= max(1, size // SPARE) for _, starts, differ in _cuts(features))
+
+
+def signatures(features: np.ndarray) -> np.ndarray:
+    """The enumerated signatures of a set, which isn't empty: from the front of one fixed order, `need` beyond those that may differ."""
+    out = []
+    for cut, starts, differ in _cuts(features):
+        sigs = features if starts is None else np.add.reduceat(_mix(features + _STEP), starts)
         sigs = np.sort(_mix(sigs ^ _U((cut + 1) * int(_STEP) % (1 << 64))))
-        out.append(sigs[: differ + spare])
-    return np.concatenate(out), enough
+        out.append(sigs[: differ + max(1, len(features) // SPARE)])
+    return np.concatenate(out)
 
 
 def _longs(a: np.ndarray) -> pa.Array:
@@ -123,18 +134,18 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def measure(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, label, name, enough): of each row the set's size, its 64-bit label and a 128-bit name."""
+    """(key, n, label, name, least, enough): of each row the set's size, its 64-bit label, a 128-bit name and its least features."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             sets = [shingler(t) for t in batch.column(1).to_pylist()]
             raw = [s.tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(np.array([xxhash.xxh64_intdigest(r) for r in raw], dtype=_U)), pa.array([xxhash.xxh128_digest(r) for r in raw], pa.binary()), pa.array([signatures(s)[1] if len(s) >= SMALL else True for s in sets])],
-                names=["key", "n", "label", "name", "enough"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(np.array([xxhash.xxh64_intdigest(r) for r in raw], dtype=_U)), pa.array([xxhash.xxh128_digest(r) for r in raw], pa.binary()), pa.array([s[:LEAST].view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([enough(s) for s in sets])],
+                names=["key", "n", "label", "name", "least", "enough"],
             )
 
-    return _texts(docs, key, text).mapInArrow(run, "key long, n long, label long, name binary, enough boolean")
+    return _texts(docs, key, text).mapInArrow(run, "key long, n long, label long, name binary, least array<bigint>, enough boolean")
 
 
 def enumerate_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -147,7 +158,7 @@ def enumerate_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                 features = shingler(t)
                 if len(features) and (name := xxhash.xxh64_intdigest(features.tobytes())) not in seen:
                     seen.add(name)
-                    sigs.append(signatures(features)[0])
+                    sigs.append(signatures(features))
                     labels.append(np.full(len(sigs[-1]), name, _U))
             yield pa.RecordBatch.from_arrays([_longs(np.concatenate(sigs)), _longs(np.concatenate(labels))], names=["sig", "label"])
 
@@ -192,46 +203,55 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     if rows.filter("not enough").limit(1).count():
         # A set whose features crowd into too few ranges: no partition of this band can be trusted for it.
         raise ValueError("a set's features are not spread over the hash domain")
-    classes = checkpointed(rows.filter("n > 0").groupBy("name", "label", "n").agg(F.min("key").alias("rep")))
+    classes = checkpointed(rows.filter("n > 0").groupBy("name", "label", "n").agg(F.min("key").alias("rep"), F.first("least").alias("least")))
 
-    signs = enumerate_signatures(docs, key, text)
-    at_sig = Window.partitionBy("sig")
-    shared = signs.withColumn("lo", F.min("label").over(at_sig)).withColumn("hi", F.max("label").over(at_sig)).filter("lo <> hi").select("sig", "label")
-    shared = checkpointed(shared.distinct())
-    wanted = classes.select("label", F.greatest(F.lit(1), F.expr(f"((3 * n + 3) div 4) div {SPARE}")).alias("need")).groupBy("label").agg(F.min("need").alias("need"))
-    counted = shared.groupBy("label").agg(F.count(F.lit(1)).alias("common"))
-    left = checkpointed(counted.join(wanted, "label").filter("common >= need"))
-    posts = checkpointed(join_checked(shared, left, "label"))
-    # Without the sets that went, some signatures have one set left.
-    again = posts.withColumn("size", F.count(F.lit(1)).over(at_sig)).filter("size > 1")
-    order = Window.partitionBy("label").orderBy("size", "sig")
-    common = F.count(F.lit(1)).over(Window.partitionBy("label"))
-    probe = checkpointed(
-        again.withColumn("common", common).filter("common >= need").withColumn("rank", F.row_number().over(order))
-        .filter("rank <= common - need + 1").select("sig", "label")
-    )
-
-    hubs = probe.withColumn("u", F.min("label").over(at_sig)).filter("u <> label").select("u", F.col("label").alias("v")).distinct()
-    hubs = checkpointed(hubs)
-    reps = checkpointed(classes.join(probe.select("label").distinct(), "label", "left_semi").select("rep"))
-    near = join_checked(docs.withColumn("__rep", F.col(key).cast("long")), reps.withColumnRenamed("rep", "__rep"), "__rep", "left_semi")
-    sets = checkpointed(feature_sets(near, key, text).dropDuplicates(["name"]))
-    links = checkpointed(_verified(hubs, sets))
+    # First neighbours: at each of the least features, everyone meets the least label.
+    lasts = classes.select("label", F.explode("least").alias("f"))
+    hub = lasts.groupBy("f").agg(F.min("label").alias("u"), F.max("label").alias("top")).filter("u <> top").select("f", "u")
+    pairs = checkpointed(lasts.join(hub, "f").filter("u <> label").select("u", F.col("label").alias("v")).distinct())
+    sets = _sets_of(docs, key, text, classes, pairs.select(F.col("u").alias("label")).union(pairs.select("v")).distinct())
+    links = checkpointed(_verified(pairs, sets))
+    parts = checkpointed(components(links).withColumnRenamed("node", "label"))
 
-    parts = components(links)
-    of = checkpointed(probe.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("root", F.coalesce("root", "label")))
-    mixed = of.withColumn("lo", F.min("root").over(at_sig)).withColumn("hi", F.max("root").over(at_sig)).filter("lo <> hi").select("sig", "label", "root")
-    mixed = checkpointed(mixed)
-    a = mixed.select("sig", F.col("label").alias("u"), F.col("root").alias("ru"))
-    b = mixed.select("sig", F.col("label").alias("v"), F.col("root").alias("rv"))
-    rest = a.join(b, "sig").filter("ru < rv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    rest = checkpointed(rest.join(hubs, ["u", "v"], "left_anti"))
-    links = links.union(_verified(rest, sets))
+    # Signatures that sets of different components share. Both windows run in one partitioning.
+    at_sig = Window.partitionBy("sig")
+    apart = lambda df, c: df.withColumn("__lo", F.min(c).over(at_sig)).withColumn("__hi", F.max(c).over(at_sig)).filter("__lo <> __hi").drop("__lo", "__hi")
+    shared = join_checked(apart(enumerate_signatures(docs, key, text), "label"), parts, "label", "left").withColumn("root", F.coalesce("root", "label"))
+    shared = apart(shared, "root").select("sig", "label").distinct()
+    wanted = classes.groupBy("label").agg(F.min(F.greatest(F.lit(1), F.expr(f"((3 * n + 3) div 4) div {SPARE}"))).alias("need"))
+    able = checkpointed(shared.groupBy("label").agg(F.count(F.lit(1)).alias("common")).join(wanted, "label").filter("common >= need").select("label"))
+
+    # Features of those that other components' sets have too.
+    sets = _sets_of(docs, key, text, classes, able.select("label"))
+    named = join_checked(sets, parts, "label", "left").select("label", F.coalesce("root", "label").alias("root"), F.size("features").alias("n"), F.explode("features").alias("sig"))
+    up, down = (at_sig.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.desc("n"), F.asc("n")))
+    other = lambda w: F.min("root").over(w) != F.max("root").over(w)
+    common = checkpointed(apart(named, "root").withColumn("up", other(up)).withColumn("down", other(down)).withColumn("size", F.count(F.lit(1)).over(at_sig)).filter("up or down"))
+
+    def front(role: str, least: str) -> DataFrame:
+        """The rarest features of the sets that can play a role: one more than can be missed."""
+        own = common.filter(role)
+        able_ = checkpointed(own.groupBy("label", "n").agg(F.count(F.lit(1)).alias("common")).withColumn("least", F.expr(least)).filter("common >= least").drop("n"))
+        rank = F.row_number().over(Window.partitionBy("label").orderBy("size", "sig"))
+        return join_checked(own, able_, "label").withColumn("rank", rank).filter("rank <= common - least + 1").select("sig", "label", "root", "n")
+
+    a = front("up", "(6 * n + 6) div 7").toDF("sig", "u", "ru", "nu")
+    b = front("down", "(3 * n + 3) div 4").toDF("sig", "v", "rv", "nv")
+    rest = a.join(b, "sig").filter("ru <> rv and nu <= nv and 4 * nu >= 3 * nv").select("u", "v").distinct()
+    links = links.union(_verified(checkpointed(rest), sets))
 
     parts = components(links)
-    # A label that stands for several sets (a collision of 64 bits) keeps them apart by name unless they link: see _label.
     named = classes.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("root", F.coalesce("root", "label"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     member = checkpointed(named.join(least, "root").select("name", "component_id"))
-    out = rows.select("key", "n", F.when(F.col("n") > 0, F.col("name")).otherwise(F.encode(F.concat(F.lit("#"), F.coalesce(F.col("key").cast("string"), F.lit(""))), "UTF-8")).alias("name"))
+    alone = F.encode(F.concat(F.lit("#"), F.coalesce(F.col("key").cast("string"), F.lit(""))), "UTF-8")  # spreads those without words
+    out = rows.select("key", "n", F.when(F.col("n") > 0, F.col("name")).otherwise(alone).alias("name"))
     return join_checked(out, member, "name", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+
+
+def _sets_of(docs: DataFrame, key: str, text: str, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(label, features) of the labels, read from one document of each. Its key finds the text again."""
+    reps = checkpointed(classes.join(labels, "label", "left_semi").select(F.col("rep").alias("__rep"), "name"))
+    near = join_checked(docs.withColumn("__rep", F.col(key).cast("long")), reps.select("__rep").distinct(), "__rep", "left_semi")
+    # Rows that repeat a key may have other texts: the name says which are meant.
+    return checkpointed(feature_sets(near, key, text).join(reps, "name", "left_semi").dropDuplicates(["name"]))
