@@ -16,20 +16,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.common import checkpointed
+from ledgerloom.plans.common import checkpointed, join_checked
 
 #: A run has at least so many sentences (or pieces) and so many words.
 RUN_SENTENCES, RUN_WORDS = 3, 20
 #: Sentences of more words are cut after words whose hash is 0 modulo PIECE.
 LONG, PIECE = 16, 6
-_END = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|[.!?]+|$)\s*")
+_SENTENCE = re.compile(r"(?s).+?(?:[.!?]+(?=\s)|\n|$)\s*")
 _TOKEN = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
     """Consecutive parts of a text that together make it up again: sentences, and pieces of the long ones."""
     out: list[str] = []
-    for m in re.finditer(r"(?s).+?(?:[.!?]+(?=\s)|\n|$)\s*", text):
+    for m in _SENTENCE.finditer(text):
         s = m.group()
         if s.count(" ") < LONG:
             out.append(s)
@@ -93,13 +93,17 @@ def remove_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     marked = _key(docs, key, text)
     spans = span_rows(marked, key, text)
-    first = spans.groupBy("h").agg(F.min(F.struct("key", "at")).alias("f"), F.max(F.struct("key", "at")).alias("l")).filter(~F.col("f").eqNullSafe(F.col("l"))).select("h", "f")
-    later = spans.join(first, "h").filter(~F.struct("key", "at").eqNullSafe(F.col("f")))
+    # Only runs that occur again come further: their hashes are counted with map-side combine and met in a join
+    # that can be split where one is very frequent.
+    again = spans.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    repeated = checkpointed(spans.join(again, "h"))
+    first = repeated.groupBy("h").agg(F.min(F.struct("key", "at")).alias("f"))
+    later = repeated.join(first, "h").filter(~F.struct("key", "at").eqNullSafe(F.col("f")))
     where = later.select("key", F.shiftright("at", 43).alias("own"), F.shiftright("at", 14).bitwiseAND(F.lit((1 << 29) - 1)).cast("int").alias("s"), F.col("at").bitwiseAND(F.lit(0x3FFF)).cast("int").alias("n"))
     # One list for each document, of its own runs.
     hit = checkpointed(where.groupBy("key", "own").agg(F.collect_set(F.struct("s", "n")).alias("__spans")))
     hit = hit.select(F.col("key").alias("__k"), F.col("own").alias("__own"), "__spans")
-    joined = marked.join(hit, F.col(key).cast("long").eqNullSafe(F.col("__k")) & (F.col("__id") == F.col("__own")), "left")
+    joined = join_checked(marked, hit, F.col(key).cast("long").eqNullSafe(F.col("__k")) & (F.col("__id") == F.col("__own")), "left")
     columns = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "changed")]
     kinds = dict(docs.dtypes)
     i = columns.index(text)
