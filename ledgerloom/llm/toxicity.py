@@ -39,15 +39,17 @@ class Trie:
 
     def __init__(self, terms: dict[str, float]):
         self.root: dict = {}
+        self.whole: dict = {}  # the words long enough for an edit: what the automaton walks
         for term, weight in terms.items():
             stem = term.endswith("*")
-            node = self.root
-            for c in term.rstrip("*"):
-                node = node.setdefault(c, {})
-            node["*" if stem else "$"] = weight
+            for root in [self.root] if stem or len(term) < FUZZY_FROM else [self.root, self.whole]:
+                node = root
+                for c in term.rstrip("*"):
+                    node = node.setdefault(c, {})
+                node["*" if stem else "$"] = weight
         self.memo: dict[str, tuple[float, int]] = {}
         # With one edit either a term's first three letters or its next two stay together.
-        long = [t.rstrip("*") for t in terms if len(t.rstrip("*")) >= FUZZY_FROM]
+        long = [t for t in terms if t[-1:] != "*" and len(t) >= FUZZY_FROM]
         self.heads, self.mids = {t[:3] for t in long}, {t[3:5] for t in long}
 
     def match(self, word: str) -> tuple[float, int]:
@@ -75,7 +77,7 @@ class Trie:
         """Walks the trie with the states (place in the word, edits) of the automaton for one edit."""
         if word[:3] not in self.heads and not {word[3:5], word[2:4], word[4:6]} & self.mids:
             return 0.0, -1
-        best, stack = 0.0, [(self.root, frozenset(((0, 0), (1, 1))), 0)]
+        best, stack = 0.0, [(self.whole, frozenset(((0, 0), (1, 1))), 0)]
         while stack:
             node, states, depth = stack.pop()
             if depth >= FUZZY_FROM:
@@ -165,7 +167,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
         kept = counts.filter((F.col("term") != "") & (F.col("n1") > 2 * rate * n)).withColumn("g", ratio).withColumn("w", weight)
         least = max(14.0, 2 * math.log(max(every, 2)))
         rows = kept.filter((F.col("g") > least) & (F.col("n1") > 0.5 * n)).orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect()  # as many terms as the model has
-        terms = {r["term"]: r["w"] for r in rows}
+        terms = _unrelated([(r["term"], r["n1"], r["w"]) for r in rows])
     counts.unpersist()
     scored = _featured(base.filter(F.col(part) >= 3).select(text, label), terms, [label]).collect()  # bounded by the caller
     x = np.array([[r[n] for n in NAMES] for r in scored]).reshape(-1, len(NAMES))
@@ -174,6 +176,17 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
     return {"terms": terms, "weights": weights.tolist()}
 
 
+def _unrelated(found: list[tuple[str, int, float]]) -> dict[str, float]:
+    """Terms and weights without those that a kept, shorter beginning stands for: forms of it with less than half of its documents."""
+    kept: dict[str, tuple[int, float]] = {}
+    for term, n, weight in sorted(found, key=lambda r: (len(r[0].rstrip("*")), r[0])):
+        word = term.rstrip("*")
+        heads = [kept[h][0] for k in STEMS if (h := f"{word[:k]}*") in kept and h != term]
+        if not any(2 * n < h for h in heads):
+            kept[term] = (n, weight)
+    return {t: w for t, (_, w) in kept.items()}
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Weights and, last, intercept of a ridge logistic model, by Newton's method."""
     x = np.hstack([x / SCALE, np.ones((len(x), 1))])
