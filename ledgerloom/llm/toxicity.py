@@ -167,7 +167,9 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
         kept = counts.filter((F.col("term") != "") & (F.col("n1") > 2 * rate * n)).withColumn("g", ratio).withColumn("w", weight)
         least = max(14.0, 2 * math.log(max(every, 2)))
         rows = kept.filter((F.col("g") > least) & (F.col("n1") > 0.5 * n)).orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect()  # as many terms as the model has
-        terms = _unrelated([(r["term"], r["n1"], r["w"]) for r in rows])
+        spread = _independent(base.filter((F.col(part) < 3) & (F.col(label) == 1)), text, [r["term"] for r in rows])
+        chance = -2 * math.log(rate)  # what each independent document adds to the ratio
+        terms = _unrelated([(r["term"], r["n1"], r["w"]) for r in rows if min(r["g"], chance * spread.get(r["term"], 0.0)) > least])
     counts.unpersist()
     scored = _featured(base.filter(F.col(part) >= 3).select(text, label), terms, [label]).collect()  # bounded by the caller
     x = np.array([[r[n] for n in NAMES] for r in scored]).reshape(-1, len(NAMES))
@@ -176,6 +178,29 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
     return {"terms": terms, "weights": weights.tolist()}
 
 
+def _independent(toxic: DataFrame, text: str, terms: list[str]) -> dict[str, float]:
+    """How many independent places a term stands in: (sum c)^2 / sum c^2 over counts c of its neighbouring words.
+
+    Copies of a document repeat its words in the same places, so hundreds of them count as little more than one.
+    """
+    shared = toxic.sparkSession.sparkContext.broadcast(frozenset(terms))  # at most MAX_TERMS
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            found: set[tuple[int, str, str]] = set()
+            for d, body in enumerate(batch.column(0).to_pylist()):
+                words = ["", *_WORD.findall((body or "").lower()), ""]
+                for i, w in enumerate(words):
+                    for form in (w, f"{w[:4]}*", f"{w[:5]}*", f"{w[:6]}*"):
+                        if form in known:
+                            found.add((d, form, f"{words[i - 1]} {words[i + 1]}"))
+            yield pa.RecordBatch.from_arrays([pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.string())], names=["term", "beside"])
+
+    counts = toxic.select(text).mapInArrow(places, "term string, beside string").groupBy("term", "beside").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    return {r["term"]: r["k"] for r in counts.groupBy("term").agg((F.sum("c") * F.sum("c") / F.sum(F.col("c") * F.col("c"))).alias("k")).collect()}
+
+
 def _unrelated(found: list[tuple[str, int, float]]) -> dict[str, float]:
     """Terms and weights without those that a kept, shorter beginning stands for: forms of it with less than half of its documents."""
     kept: dict[str, tuple[int, float]] = {}
