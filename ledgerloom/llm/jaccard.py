@@ -5,8 +5,8 @@ domain into ranges of the hash, about one for each shingle; two sets that are si
 features and so agree on most ranges, and each range's features make one signature. The signatures are put
 in one fixed order and each set enumerates only as many of them, from the front, as guarantee `need`
 shared ones with every partner. Sets that are equal count as one from the start, so copies never meet each other, and near copies are first
-joined cheaply: each set is verified against one neighbour that shares one of its least features. That only
-saves work. All links between what is then still apart come from the signatures, and exactly:
+joined cheaply: each set is verified against a neighbour that shares one of its least features, and of what is
+left against central sets of its group. That only saves work. All links between what is then still apart come from the signatures, and exactly:
 
 * a signature that sets of one component alone have is of no use and goes;
 * sets with fewer than `need` of the rest can have no further link and go, before any pair is made;
@@ -37,6 +37,8 @@ SMALL = 96
 SPARE = 16
 #: Least features by which sets look for a first neighbour.
 LEAST = 8
+#: Central sets that a set is compared with before the exact join; they save work and decide nothing.
+NEIGHBOURS = 3
 _AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 _MIX1, _MIX2, _STEP = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53), _U(0x9E3779B97F4A7C15)
@@ -223,7 +225,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     # Features of those that other components' sets have too.
     sets = _sets_of(docs, key, text, classes, able.select("label"))
-    named = join_checked(sets, parts, "label", "left").select("label", F.coalesce("root", "label").alias("root"), F.size("features").alias("n"), F.explode("features").alias("sig"))
+    spread = F.explode("features").alias("sig")
+    named = join_checked(sets, parts, "label", "left").select("label", F.coalesce("root", "label").alias("root"), F.size("features").alias("n"), spread)
+    named = checkpointed(apart(named, "root").select("label", "n", "sig", "root", F.count(F.lit(1)).over(at_sig).alias("size")))
+
+    # Second neighbours: of a group of near copies the one whose features are the most frequent is nearest to all.
+    central = checkpointed(named.groupBy("label").agg((F.sum("size") / F.max("n")).alias("score")))
+    scored = join_checked(named, central, "label")
+    best = scored.groupBy("sig").agg(F.max(F.struct("score", "label", "root")).alias("b")).select("sig", F.col("b.label").alias("u"), F.col("b.root").alias("ru"))
+    meets = scored.join(best, "sig").filter("root <> ru").groupBy("label", "u").agg(F.count(F.lit(1)).alias("k"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("k"), "u"))
+    pairs = meets.withColumn("rank", rank).filter(F.col("rank") <= NEIGHBOURS).select("u", F.col("label").alias("v"))
+    links = checkpointed(links.union(_verified(checkpointed(pairs), sets)))
+    parts = checkpointed(components(links).withColumnRenamed("node", "label"))
+
+    named = join_checked(named.select("label", "n", "sig"), parts, "label", "left").withColumn("root", F.coalesce("root", "label"))
     up, down = (at_sig.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.desc("n"), F.asc("n")))
     other = lambda w: F.min("root").over(w) != F.max("root").over(w)
     common = checkpointed(apart(named, "root").withColumn("up", other(up)).withColumn("down", other(down)).withColumn("size", F.count(F.lit(1)).over(at_sig)).filter("up or down"))
