@@ -29,10 +29,14 @@ def words(text: Column) -> Column:
 
 def shingles(tokens: Column, k: int = SHINGLE) -> Column:
     """Hashes of each run of k words, in order, with repeats; shorter texts give none."""
-    def run(i: Column) -> Column:
-        return F.xxhash64(*[F.element_at(tokens, (i + F.lit(j)).cast("int")) for j in range(k)])
+    def of(t: Column) -> Column:
+        def run(i: Column) -> Column:
+            return F.xxhash64(*[F.element_at(t, (i + F.lit(j)).cast("int")) for j in range(k)])
 
-    return F.when(F.size(tokens) >= k, F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(k - 1)), run)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(t) >= k, F.transform(F.sequence(F.lit(1), F.size(t) - F.lit(k - 1)), run)).otherwise(F.array().cast("array<bigint>"))
+
+    # The words are bound by a lambda: named in the inner one they would be cut anew for each place.
+    return F.element_at(F.transform(F.array(tokens), of), 1)
 
 
 def masks(bands: int = BANDS) -> list[int]:
