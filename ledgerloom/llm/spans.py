@@ -1,16 +1,20 @@
-"""Substring dedup by sliding sentence spans.
+"""Substring dedup by sliding spans of sentences and pieces of sentences.
 
-Every run of several consecutive sentences is hashed; runs meet in one global join, and the sentences of
-each document that any repeated run other than its first occurrence covers are removed. Very long sentences
-are cut into pieces at words chosen by their own hash, so that equal stretches are cut alike anywhere.
+Texts are cut after sentences, lines, and, where no sentence ends for some words, after a word chosen by the
+hashes of the words around it (winnowing), so that equal stretches are cut alike inside whatever sentences they
+stand. Every run of parts with enough words is hashed; runs meet in one global join, and the parts of each
+document that any repeated run other than its first occurrence covers are removed.
+
+Any WINDOW words in a row hold a cut that depends on them alone. So a passage of RUN_WORDS + 3 * WINDOW + 2
+words (49) that occurs again is always found, and at most WINDOW + 1 words at either end of it stay.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -18,49 +22,97 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans.common import checkpointed, join_checked
 
-#: A run has at least so many sentences (or pieces) and so many words.
-RUN_SENTENCES, RUN_WORDS = 3, 20
-#: Sentences of more words are cut after words whose hash is 0 modulo PIECE.
-LONG, PIECE = 16, 6
-_SENTENCE = re.compile(r"(?s).+?(?:[.!?]+(?=\s)|\n|$)\s*")
+#: A run has at least so many words; a stretch of so many words without a sentence's end is cut.
+RUN_WORDS, WINDOW = 20, 9
 _TOKEN = re.compile(r"\S+\s*")
+_BASE, _PAIR, _PLACE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, (1 << 24) - 1
+_MEMO = 400_000
+
+
+class _Hashes(dict):
+    """64-bit hashes of words; the lowest bit says that the word ends a sentence."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _MEMO:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word.encode()) & ~1 | (word[-1] in ".!?")
+        return h
+
+
+_HASHES = _Hashes()
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of _BASE, and of its inverse, modulo 2 ** 64."""
+    if len(_POWERS[0]) < n:
+        size = 1 << n.bit_length()
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[k] = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(size, base, np.uint64))))
+    return [p[:n] for p in _POWERS]
+
+
+def _cuts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the words, cuts, chosen): all places between words where parts begin or end, 0 and the end included, and those of them that the words alone decide."""
+    lines = [line.split() for line in text.lower().split("\n")]
+    words = [w for line in lines for w in line] if len(lines) > 1 else lines[0]
+    n = len(words)
+    h = np.array([_HASHES[w] for w in words], np.uint64)
+    ends = (h & np.uint64(1)).astype(bool)
+    chosen = ends.copy()
+    if n >= WINDOW:
+        # Least pairs of words first, of equal ones the last; a sentence's end comes before all pairs.
+        v = h * np.uint64(_BASE)
+        v[1:] += h[:-1] * np.uint64(_PAIR)
+        v[ends] = 0
+        v = v & np.uint64(~_PLACE & (1 << 64) - 1) | np.uint64(_PLACE) - (np.arange(n, dtype=np.uint64) & np.uint64(_PLACE))
+        least, span = v, 1
+        while span < WINDOW:
+            step = min(span, WINDOW - span)
+            least, span = np.minimum(least[:-step], least[step:]), span + step
+        first = np.arange(len(least), dtype=np.uint64)
+        place = np.uint64(_PLACE) - (least & np.uint64(_PLACE))
+        chosen[(first + ((place - first) & np.uint64(_PLACE))).astype(np.int64)] = True
+    every = np.zeros(n + 1, bool)
+    every[1:] = chosen
+    every[[0, n]] = True
+    every[np.cumsum([len(line) for line in lines])] = True
+    return h, np.flatnonzero(every), np.flatnonzero(chosen) + 1
 
 
 def sentences(text: str) -> list[str]:
-    """Consecutive parts of a text that together make it up again: sentences, and pieces of the long ones."""
-    out: list[str] = []
-    for m in _SENTENCE.finditer(text):
-        s = m.group()
-        if s.count(" ") < LONG:
-            out.append(s)
-            continue
-        words, at = _TOKEN.findall(s), 0
-        lead = s[: len(s) - sum(map(len, words))]
-        for i, w in enumerate(words):
-            if zlib.crc32(w.strip().lower().encode()) % PIECE == 0 or i == len(words) - 1:
-                out.append(lead + "".join(words[at : i + 1]))
-                lead, at = "", i + 1
-        if lead:
-            out.append(lead)
-    return out
-
-
-def runs(parts: list[str]) -> list[tuple[int, int, int]]:
-    """(hash, first, number) of the shortest run from each sentence that has enough sentences and words. Case, and the kind of whitespace, don't count."""
-    words = [p.lower().split() for p in parts]
-    keys = [" ".join(w).encode() for w in words]
-    sizes = [len(w) for w in words]
-    out, end, total = [], 0, 0
-    for i in range(len(parts)):
-        while end < len(parts) and (end - i < RUN_SENTENCES or total < RUN_WORDS):
-            total += sizes[end]
-            end += 1
-        if end - i < RUN_SENTENCES or total < RUN_WORDS:
-            break
-        h = xxhash.xxh64_intdigest(b" ".join(keys[i:end]))
-        out.append((h - (1 << 63), i, end - i))
-        total -= sizes[i]
-    return out
+    """Consecutive parts of a text that together make it up again: sentences, lines, and pieces of the long ones."""
+    if not text:
+        return []
+    at = [m.end() for m in _TOKEN.finditer(text)]
+    if not at:
+        return [text]
+    cuts = _cuts(text)[1]
+    ends = [0, *(at[c - 1] for c in cuts[1:].tolist())]
+    return [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first, number) of runs of parts with enough words: the shortest from each part and the shortest up to each part. Case, and the kind of whitespace, don't count.
+
+    Ends are looked for among all cuts and, as line breaks can differ between copies, among the chosen ones.
+    """
+    h, cuts, inner = _cuts(text)
+    pairs = []
+    for among in (cuts, inner) if np.isin(cuts[1:-1], inner).sum() < len(cuts) - 2 else (cuts,):
+        after = np.searchsorted(among, cuts + RUN_WORDS)
+        ok = after < len(among)
+        pairs.append(cuts[ok] << 32 | among[after[ok]])
+        before = np.searchsorted(among, cuts - RUN_WORDS, side="right") - 1
+        ok = before >= 0
+        pairs.append(among[before[ok]] << 32 | cuts[ok])
+    pairs = np.sort(np.concatenate(pairs))
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+    start, end = pairs >> 32, pairs & 0xFFFFFFFF
+    power, inverse = _powers(len(h) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power[:-1])))
+    first = np.searchsorted(cuts, start)
+    return ((sums[end] - sums[start]) * inverse[start]).view(np.int64), first, np.searchsorted(cuts, end) - first
 
 
 def _key(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -74,11 +126,13 @@ def span_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             h, k, at = [], [], []
             for name, own, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = runs(sentences(body)) if body else []
-                h += [x[0] for x in found]
-                k += [name] * len(found)
-                at += [(own << 43) | (x[1] << 14) | min(x[2], 0x3FFF) for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(k, pa.int64()), pa.array(at, pa.int64())], names=["h", "key", "at"])
+                if body:
+                    found, first, number = runs(body)
+                    h.append(found)
+                    k += [name] * len(found)
+                    at.append(np.int64(own << 43) | (first << 14) | number)
+            h, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (h, at))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k, pa.int64()), pa.array(at)], names=["h", "key", "at"])
 
     return docs.select(F.col(key).cast("long").alias("key"), "__id", F.col(text)).mapInArrow(cut, "h long, key long, at long")
 
@@ -99,10 +153,14 @@ def remove_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     repeated = checkpointed(spans.join(again, "h"))
     first = repeated.groupBy("h").agg(F.min(F.struct("key", "at")).alias("f"))
     later = repeated.join(first, "h").filter(~F.struct("key", "at").eqNullSafe(F.col("f")))
-    where = later.select("key", F.shiftright("at", 43).alias("own"), F.shiftright("at", 14).bitwiseAND(F.lit((1 << 29) - 1)).cast("int").alias("s"), F.col("at").bitwiseAND(F.lit(0x3FFF)).cast("int").alias("n"))
-    # One list for each document, of its own runs.
-    hit = checkpointed(where.groupBy("key", "own").agg(F.collect_set(F.struct("s", "n")).alias("__spans")))
-    hit = hit.select(F.col("key").alias("__k"), F.col("own").alias("__own"), "__spans")
+    where = later.select("key", F.shiftright("at", 43).alias("own"), F.col("at").bitwiseAND(F.lit((1 << 43) - 1)).alias("run"))
+    # One list for each document, of the stretches that its own runs cover: a few numbers, however many runs they hold.
+    start, number = F.expr("int(shiftright(run, 14))"), F.expr("int(run & 16383)")
+    lists = where.select("key", "own", F.struct(start.alias("s"), number.alias("n")).alias("run")).groupBy("key", "own").agg(F.collect_set("run").alias("runs"))
+    parts = lists.select("key", "own", F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["s"], r["s"] + r["n"] - 1)))).alias("p"))
+    after = F.transform("p", lambda x: x + 1)
+    stretches = F.arrays_zip(F.array_sort(F.array_except("p", after)).alias("s"), F.array_sort(F.array_except(after, "p")).alias("e"))
+    hit = checkpointed(parts.select(F.col("key").alias("__k"), F.col("own").alias("__own"), stretches.alias("__spans")))
     joined = join_checked(marked, hit, F.col(key).cast("long").eqNullSafe(F.col("__k")) & (F.col("__id") == F.col("__own")), "left")
     columns = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "changed")]
     kinds = dict(docs.dtypes)
@@ -112,10 +170,10 @@ def remove_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             texts, totals, gone = [], [], []
             for body, spans_ in zip(batch.column(i).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
-                parts = sentences(body) if body else []
-                out = {j for x in spans_ or () for j in range(x["s"], x["s"] + x["n"])}
+                out = {j for x in spans_ or () for j in range(x["s"], x["e"])}
+                parts = sentences(body) if out else []
                 texts.append("".join(p for j, p in enumerate(parts) if j not in out) if out else body)
-                totals.append(len(parts))
+                totals.append(len(parts) if out else max(len(_cuts(body)[1]) - 1, 1) if body else 0)
                 gone.append(len(out))
             columns_ = [pa.array(texts, pa.string()) if j == i else batch.column(j) for j in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*columns_, pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array([g > 0 for g in gone])], names=[*columns, "n_sentences", "n_removed", "changed"])
@@ -125,5 +183,5 @@ def remove_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def spans_report(docs: DataFrame) -> DataFrame:
-    """op10: every document with what is left of its text, and how many of its sentences went."""
+    """op10: every document with what is left of its text, and how many of its parts went."""
     return remove_spans(docs.select("doc_id", "text"))

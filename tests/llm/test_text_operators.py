@@ -349,6 +349,34 @@ def test_repeated_passages_go_but_for_the_first(spark, empty):
     assert spans.remove_spans(empty).count() == 0
 
 
+def test_passages_inside_other_sentences_meet_a_search_by_words(spark):
+    """Passages of 51 words and more at random words of other documents, with and without sentences' ends, against all repeated runs of words."""
+    draw, rows = random.Random(12), []
+    for trial in range(150):
+        for stops in (0.0, 0.06, 0.2):
+            def text(n):
+                return [f"t{draw.randrange(3000)}{'.' if draw.random() < stops else ''}" for _ in range(n)]
+
+            passage = text(draw.choice((51, 60, 80)))
+            for _ in range(2):
+                around, k = text(90), draw.randrange(91)
+                words = [*around[:k], *passage, *around[k:]]
+                rows.append((len(rows), "".join(w + draw.choice((" ", " ", " ", "\n")) for w in words), "s", "en", 0))
+    got = {r["doc_id"]: r["text"] for r in spans.remove_spans(spark.createDataFrame(rows, DOCS)).collect()}
+    seen: set = set()
+    for i, t, *_ in rows:
+        words = t.split()
+        repeated = set()
+        for k in range(len(words) - spans.RUN_WORDS + 1):
+            run = tuple(words[k : k + spans.RUN_WORDS])
+            if run in seen:
+                repeated |= set(range(k, k + spans.RUN_WORDS))
+        seen |= {tuple(words[k : k + spans.RUN_WORDS]) for k in range(len(words) - spans.RUN_WORDS + 1)}
+        gone = len(words) - len(got[i].split())
+        assert len(repeated) >= 51 if i % 2 else not repeated
+        assert max(0, len(repeated) - 2 * spans.WINDOW - 2) <= gone <= len(repeated)
+
+
 def test_pipeline(spark, docs, tmp_path, monkeypatch):
     import corpus_pipeline
 
