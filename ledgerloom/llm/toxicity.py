@@ -2,7 +2,8 @@
 
 The lexicon is learned from labelled documents: words and word beginnings that mark toxic ones. It is held
 as a trie; a word is matched by walking the trie with the states of the word's Levenshtein automaton (one
-edit), so misspelled terms count as well. A term in quotation marks or beside a word of report scores as
+edit), so misspelled terms count as well. A beginning stands for its words in exact matches; for misspelled
+ones the words themselves are walked (two letters that changed places are two edits). A term in quotation marks or beside a word of report scores as
 quoted rather than abusive. A logistic model over those counts gives the score.
 """
 
@@ -35,21 +36,22 @@ NAMES = ("__strong", "__hits", "__fuzzy", "__quoted")
 
 
 class Trie:
-    """Terms with weights; stems end in a node that takes any continuation."""
+    """Terms with weights; stems (idio*) end in a node that takes any continuation, forms of a stem (idiots~) are for the automaton alone."""
 
     def __init__(self, terms: dict[str, float]):
         self.root: dict = {}
         self.whole: dict = {}  # the words long enough for an edit: what the automaton walks
         for term, weight in terms.items():
             stem = term.endswith("*")
-            for root in [self.root] if stem or len(term) < FUZZY_FROM else [self.root, self.whole]:
+            word = term.rstrip("*~")
+            for root in [*([] if term.endswith("~") else [self.root]), *([] if stem or len(word) < FUZZY_FROM else [self.whole])]:
                 node = root
-                for c in term.rstrip("*"):
+                for c in word:
                     node = node.setdefault(c, {})
                 node["*" if stem else "$"] = weight
         self.memo: dict[str, tuple[float, int]] = {}
         # With one edit either a term's first three letters or its next two stay together.
-        long = [t for t in terms if t[-1:] != "*" and len(t) >= FUZZY_FROM]
+        long = [w for t in terms if t[-1:] != "*" and len(w := t.rstrip("~")) >= FUZZY_FROM]
         self.heads, self.mids = {t[:3] for t in long}, {t[3:5] for t in long}
 
     def match(self, word: str) -> tuple[float, int]:
@@ -170,6 +172,11 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
         spread = _independent(base.filter((F.col(part) < 3) & (F.col(label) == 1)), text, [r["term"] for r in rows])
         chance = -2 * math.log(rate)  # what each independent document adds to the ratio
         terms = _unrelated([(r["term"], r["n1"], r["w"]) for r in rows if min(r["g"], chance * spread.get(r["term"], 0.0)) > least])
+        # The words that a kept beginning stands for: what misspelled ones are held against. At most the words of the rows given.
+        stems = [t for t in terms if t.endswith("*")]
+        begins = [F.concat(F.substring("term", 1, k), F.lit("*")).isin([t for t in stems if len(t) == k + 1]) for k in STEMS]
+        forms = counts.filter(~F.col("term").endswith("*") & (F.length("term") >= FUZZY_FROM) & (F.col("n1") > 0.5 * n) & (begins[0] | begins[1] | begins[2])).select("term").collect()
+        terms |= {f"{w}~": max(terms.get(f"{w[:k]}*", 0.0) for k in STEMS) for (w,) in forms if w not in terms}
     counts.unpersist()
     scored = _featured(base.filter(F.col(part) >= 3).select(text, label), terms, [label]).collect()  # bounded by the caller
     x = np.array([[r[n] for n in NAMES] for r in scored]).reshape(-1, len(NAMES))
@@ -233,7 +240,7 @@ SCALE = np.array([10.0, 3.0, 3.0, 3.0])
 
 def _featured(df: DataFrame, terms: dict[str, float], carry: list[str], text: str = "text") -> DataFrame:
     """The carried columns of df and the features of each text."""
-    shared = df.sparkSession.sparkContext.broadcast(terms)  # at most MAX_TERMS
+    shared = df.sparkSession.sparkContext.broadcast(terms)  # at most MAX_TERMS, and the forms of their stems
     kinds = dict(df.dtypes)
     spread = df.select(*carry, F.col(text).alias("__text"))
 

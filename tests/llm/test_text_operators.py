@@ -248,6 +248,22 @@ def test_toxicity_learns_and_quotes(spark):
     assert toxicity.toxicity_report(docs.limit(5), marks.limit(0)).count() == 5
 
 
+def test_misspelt_forms_of_a_stem_are_found(spark):
+    """A family of words of which only beginnings stay in the lexicon."""
+    draw, rows = random.Random(6), []
+    family = ["idiot", "idiots", "idiotic", "idiotas", "idiotie"]
+    for i in range(1500):
+        words = [f"w{draw.randrange(300)}" for _ in range(30)]
+        if i % 5 == 0:
+            words[draw.randrange(30)] = draw.choice(family)
+        rows.append((" ".join(words), int(i % 5 == 0), i % 4))
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, label int, part int"))
+    assert any(t.endswith("*") for t in model["terms"]) and not set(family) & set(model["terms"])
+    trie = toxicity.Trie(model["terms"])
+    assert [trie.match(w)[1] for w in ("idiot", "idiotic", "1diot", "iidiot", "xdiotic", "idots")] == [0, 0, 1, 1, 1, 1]
+    assert trie.match("w123")[1] < 0 and trie.match("completely")[1] < 0
+
+
 def test_license_scan(spark, empty):
     apache = "Licensed under the Apache License, Version 2.0."
     texts = [prose(50, 1) + "\n" + apache, "released UNDER the mit license", prose(90, 2), None, "", prose(400, 3) + " This work is licensed under the GNU General Public Licence, version 3. " + prose(400, 4),
