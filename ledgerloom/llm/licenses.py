@@ -1,8 +1,8 @@
 """License scans by MinHash bands over overlapping windows, in DataFrame functions only.
 
-A text is cut into windows of twice a template's length that overlap by half. A window can share a band
-with a template only if it holds the template's least shingle under that band's permutation, so those few
-shingles are looked for first, and the windows around them are verified by exact shingle containment.
+Windows are as long as a template and start at every word. A window can share a band with a template only if
+it holds the template's least shingle under that band's permutation, so those few shingles are looked for
+first; for each one found, the window that has it where the template does is verified by exact shingle containment.
 """
 
 from __future__ import annotations
@@ -12,12 +12,19 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Short license notices.
+#: Short license notices, and usual license bodies and headers. A license can have several.
 TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MIT", "Distributed under the MIT License."),
 )
 SHINGLE, CONTAINMENT, BANDS, SEED = 5, 0.75, 8, 11
 

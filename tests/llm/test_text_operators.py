@@ -275,6 +275,28 @@ def test_license_scan(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_bodies_meet_brute_force(spark):
+    """Near copies of bodies and headers inside prose, against containment over all windows."""
+    def cut(t):
+        w = re.findall(r"[^\W_]+", t.lower())
+        return [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+
+    draw, texts = random.Random(21), []
+    for _, t in licenses.TEMPLATES[4:]:
+        for share in (0.0, 0.01, 0.03):
+            body = " ".join(w if draw.random() >= share else f"x{draw.randrange(99)}" for w in t.split())
+            texts.append(f"{prose(60, len(texts))} {body} {prose(60, len(texts) + 500)}")
+    want = set()
+    for i, text in enumerate(texts):
+        h = cut(text)
+        for name, t in licenses.TEMPLATES:
+            known, n = set(cut(t)), len(cut(t))
+            if max(len(known & set(h[k : k + n])) for k in range(len(h))) >= 0.75 * len(known):
+                want.add((i, name))
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)).collect()}
+    assert want <= got and {n for _, n in want} == {"MIT", "BSD", "ISC", "Apache-2.0", "GPL-3.0", "MPL-2.0"}
+
+
 def test_exact_dedup(docs, rows, empty, spark):
     groups = defaultdict(list)
     for r in rows:
