@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when it has been counted and has at most this many rows.
-BROADCAST_ROWS = 200_000
+#: A side is broadcast only when it has been counted and measured, and has at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,15 +29,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder, its lineage cut."""
+    """df written once to the shared folder, its lineage cut.
+
+    Shuffle files of what led to it are no longer needed, but Spark removes them only when the driver's garbage, in
+    Python and in the JVM, is collected, which can be long after: so both are asked for.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and, written as JSON, bytes. No more than limit + 1 rows are looked at."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    seen = df.select(width.alias("w")).limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("bytes")).first()
+    return seen["n"] <= limit and seen["bytes"] <= size
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """left joined with right; right is broadcast if it has at most `limit` rows, else both are shuffled.
+    """left joined with right; right is broadcast if it is small, else both are shuffled.
 
-    right is counted, so pass one whose lineage is short (a checkpoint).
+    right is counted and measured, so pass one whose lineage is short (a checkpoint).
     """
-    small = right.limit(limit + 1).count() <= limit
-    return left.join(F.broadcast(right) if small else right, on, how)
+    return left.join(F.broadcast(right) if is_small(right, limit) else right, on, how)
