@@ -1,20 +1,25 @@
 """N-gram Jaccard join by PartEnum signatures (Arasu, Ganti and Kaushik, 2006).
 
-Sets of hashed five-word shingles are compared within bands of similar size. A band partitions the feature
-domain into ranges of the hash, about one for each shingle; two sets that are similar enough differ in few
-features and so agree on most ranges, and each range's features make one signature. The signatures are put
-in one fixed order and each set enumerates only as many of them, from the front, as guarantee `need`
-shared ones with every partner. Sets that are equal count as one from the start, so copies never meet each other, and near copies are first
-joined cheaply: each set is verified against a neighbour that shares one of its least features, and of what is
-left against central sets of its group. That only saves work. All links between what is then still apart come from the signatures, and exactly:
-
-* a signature that sets of one component alone have is of no use and goes;
-* sets with fewer than `need` of the rest can have no further link and go, before any pair is made;
-* a pair shares 3 / 7 of both sizes together or more: 6 / 7 of the smaller set and 3 / 4 of the larger. So a set
-  can be the smaller of a pair only if so many of its features are in sets of other components that are as
-  large, and the larger only if so many are in such that are as small; the others go;
-* what is left keeps its rarest features, as many as guarantee a shared one, and smaller and larger sets of
-  different components meet at those and are verified.
+Sets of hashed five-word shingles link at similarity 3/4: sets of sizes a and b then differ in at most (a + b) / 7
+features. Sizes are cut into bands, each reaching to 4/3 of its start. For a band, k features may differ, and the
+domain of the hash is partitioned into k / 2 + 1 ranges and a few more, each into three parts. So some range of two
+similar sets differs in one feature at most, that is in one part: the subset of its two other parts is equal.
+Each set enumerates, in its own band and in the one below, the subsets of two parts of every range as signatures.
+
+The join has these steps. None holds a group in one task, and the number of pairs that a step makes is bounded
+by the number of sets in all but the last:
+
+1. Equal sets are one class from here on, under a 128-bit name.
+2. A set shares three quarters of its features with any partner. By a prefix of its features in the order of their
+   hashes it shares a known number of them with other classes, or it has no partner and is left out.
+3. Of the classes that share a signature the most central one, whose features are the most frequent, is the centre of
+   that signature. Each class is verified against the one centre with which it shares the most signatures.
+   Before that, the few least features serve as cheap signatures in the same way: most near copies of one
+   document are one component from then on, and their signatures need no more rows.
+4. Signatures whose classes are all of one component are done, and classes that share fewer than any partner would. The others go on. Near the
+   threshold two sets share hundreds of signatures, so what is still apart meets at the finest partition, where each feature
+   is a range of its own: at the rarest features that are also in other components, as many as guarantee a shared one, and
+   only where sizes, and counts of shared features by ranges of the hash, allow a link.
 """
 
 from __future__ import annotations
@@ -23,251 +28,250 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components
+from ledgerloom.llm.words import U, hashed_words, long_lists, mix, pieces
 from ledgerloom.plans.common import checkpointed, join_checked
 
 SHINGLE = 5
-#: Sets below this size have each feature as a range of its own.
-SMALL = 96
-#: One signature more is asked for every so many features.
+#: One more shared prefix feature is asked for every so many features.
 SPARE = 16
-#: Least features by which sets look for a first neighbour.
+#: Least features that serve as first signatures.
 LEAST = 8
-#: Central sets that a set is compared with before the exact join; they save work and decide nothing.
-NEIGHBOURS = 3
-_AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_U = np.uint64
-_MIX1, _MIX2, _STEP = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53), _U(0x9E3779B97F4A7C15)
-_MEMO = 500_000
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: equal numbers stay equal, others scatter."""
-    x = (x ^ (x >> _U(33))) * _MIX1
-    x = (x ^ (x >> _U(33))) * _MIX2
-    return x ^ (x >> _U(33))
-
-
-class Shingler:
-    """Sorted distinct 64-bit hashes of the k-word shingles of a text; words' hashes are remembered within bounds."""
-
-    def __init__(self, k: int = SHINGLE):
-        self.k, self.memo = k, {}
+#: Ranges of the hash by which shared features are counted before pairs are made.
+SLICES = 64
+_STEP = U(0x9E3779B97F4A7C15)
+
+
+def feature_lists(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of the k-word shingles of each text. Fewer words than k are one shingle; none, no shingle."""
+    h, counts, *_ = hashed_words(pc.ascii_lower(texts))
+    ends = np.cumsum(counts)
+    rolled = h[: max(len(h) - k + 1, 0)] * _STEP
+    for i in range(1, k):
+        rolled = mix(rolled + h[i : len(h) - k + 1 + i]) * _STEP
+    rolled = mix(rolled + U(k))
+    out = []
+    for end, n in zip(ends.tolist(), counts.tolist(), strict=True):
+        if n >= k:
+            f = np.sort(rolled[end - n : end - k + 1])
+            out.append(f[np.concatenate(([True], f[1:] != f[:-1]))])
+        elif n:
+            x = h[end - n : end - n + 1] * _STEP
+            for i in range(1, n):
+                x = mix(x + h[end - n + i : end - n + i + 1]) * _STEP
+            out.append(mix(x + U(n)))
+        else:
+            out.append(np.empty(0, U))
+    return out
 
-    def _hash(self, word: bytes) -> int:
-        if len(self.memo) >= _MEMO:
-            self.memo.clear()
-        self.memo[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        """None for no words; with fewer words than k the whole sequence is one shingle. bytes.split() cuts at 20 and 09 to 0D."""
-        words = text.translate(_AZ).split() if text else []
-        if not words:
-            return np.empty(0, _U)
-        get, miss = self.memo.get, self._hash
-        h = np.array([get(w) or miss(w) for w in words], dtype=_U)
-        k = min(self.k, len(words))
-        n = len(h) - k + 1
-        out = h[:n] * _STEP
-        for i in range(1, k):
-            out = _mix(out + h[i : i + n]) * _STEP
-        return np.unique(_mix(out + _U(k)))
+def _spare(size: int) -> int:
+    return 1 + size // SPARE
 
 
-def level(size: int) -> int:
-    """Number of bits by which a band of sizes cuts the domain: ranges number from 2/3 to 4/3 of the features; 64 for small sets."""
-    return 64 if size < SMALL else int(np.floor(np.log2(size / 0.75)))
+def prefix(size: int) -> int:
+    """Features from the front of one order by which `need` shared ones are seen: a quarter may be missing in a partner."""
+    return min(size, size - -(-3 * size // 4) + _spare(size))
 
 
 def need(size: int) -> int:
-    """Shared signatures that a set of this size has at least with any partner: partners have 3/4 of its size or more."""
-    return max(1, -(-3 * size // 4) // SPARE)
-
-
-def _cuts(features: np.ndarray) -> Iterator[tuple[int, np.ndarray | None, int]]:
-    """(level, starts of ranges, features that may differ) for the levels at which a set takes part.
-
-    For sizes a <= b and similarity 3/4 or more, at most (a + b) / 7 features differ: a / 3 for the smaller set
-    and 2 b / 7 for the larger. Pairs meet at the smaller set's level, so a set also enumerates at the level of
-    the smallest partner where that is another. Single features differ in a quarter of the set at most.
-    """
-    size = len(features)
-    own, low = level(size), level(-(-3 * size // 4))
-    for cut in {own, low}:
-        if cut == 64:
-            yield cut, None, size // 4
-        else:
-            ranges = features >> _U(64 - cut)
-            yield cut, np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]), size // 3 if cut == own else 2 * size // 7
+    """Shared features in the prefix of a set that has a partner, which has three quarters of its size at least."""
+    return _spare(-(-3 * size // 4))
 
 
-def enough(features: np.ndarray) -> bool:
-    """Whether the ranges that hold features are as many as the enumeration counts on; small sets always have."""
-    size = len(features)
-    return size < SMALL or all(starts is None or len(starts) - differ >= max(1, size // SPARE) for _, starts, differ in _cuts(features))
+def band(size: int) -> tuple[int, int, int]:
+    """(number, least size, largest size) of the band of a size. A band reaches to 4/3 of its start."""
+    at, low = 0, 1
+    while (high := 4 * low // 3) < size:
+        at, low = at + 1, high + 1
+    return at, low, high
 
 
-def signatures(features: np.ndarray) -> np.ndarray:
-    """The enumerated signatures of a set, which isn't empty: from the front of one fixed order, `need` beyond those that may differ."""
-    out = []
-    for cut, starts, differ in _cuts(features):
-        sigs = features if starts is None else np.add.reduceat(_mix(features + _STEP), starts)
-        sigs = np.sort(_mix(sigs ^ _U((cut + 1) * int(_STEP) % (1 << 64))))
-        out.append(sigs[: differ + max(1, len(features) // SPARE)])
-    return np.concatenate(out)
+_BANDS: dict[int, list[tuple[int, int]]] = {}
 
 
-def _longs(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64))
+def tags(size: int) -> list[tuple[int, int]]:
+    """(band, k) for the bands in which a set takes part: its own and, if a smaller partner can be there, the one below.
 
+    Pairs meet in the smaller set's band. k features may differ there: the sum of both sizes by 7, the larger being 4/3 of the smaller at most.
+    """
+    if size not in _BANDS:
+        at, low, high = band(size)
+        own = [(at, (high + 4 * high // 3) // 7)]
+        if low > 1 and -(-3 * size // 4) < low:
+            own.append((at - 1, (low - 1 + 4 * (low - 1) // 3) // 7))
+        _BANDS[size] = own
+    return _BANDS[size]
 
-def _label(features: np.ndarray) -> int:
-    """A 64-bit name of a set. Two sets with one name would be compared with the partners of both, and with each other."""
-    return int(np.int64(np.uint64(xxhash.xxh64_intdigest(features.tobytes()))))
 
+def signatures(features: np.ndarray) -> tuple[np.ndarray, int]:
+    """(signatures, asked): in each of the set's bands, every subset of two of the three parts of every range; how many of them any partner shares.
 
-def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).cast("long").alias("key"), F.encode(F.col(text), "UTF-8").alias("text"))
+    Of k / 2 + 1 + m ranges, m + 1 have at most one differing feature, so a signature of theirs is shared. Subsets without features
+    say little and are left out, unless more than m ranges have one: then a set enumerates them all, and so does any partner for
+    which that matters.
+    """
+    out, asked = [], len(features)
+    high, mixed = features >> U(32), mix(features + _STEP)
+    for tag, k in tags(len(features)):
+        if not k:
+            continue  # only equal sets could meet
+        more = (k // 2 + 1) // 4 + 1
+        ranges = k // 2 + 1 + more
+        part = ((high * U(3 * ranges)) >> U(32)).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        sums = np.zeros(3 * ranges, U)
+        sums[part[starts]] = np.add.reduceat(mixed, starts)
+        full = np.zeros(3 * ranges, bool)
+        full[part[starts]] = True
+        sums, full = sums.reshape(-1, 3), full.reshape(-1, 3)
+        place = np.arange(3 * ranges, dtype=U).reshape(-1, 3) + U((tag + 1) << 40)
+        sigs = mix(mix(np.roll(sums, 1, 1) + np.roll(sums, 2, 1)) + place * _STEP)
+        filled = np.roll(full, 1, 1) | np.roll(full, 2, 1)
+        hollow = int((~filled).any(1).sum())
+        out.append(sigs.ravel() if hollow > more else sigs[filled])
+        asked = min(asked, more + 1 if hollow > more else more + 1 - hollow)
+    return np.concatenate(out) if out else np.empty(0, U), asked
 
 
 def measure(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, label, name, least, enough): of each row the set's size, its 64-bit label, a 128-bit name and its least features."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for batch in batches:
-            sets = [shingler(t) for t in batch.column(1).to_pylist()]
-            raw = [s.tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _longs(np.array([xxhash.xxh64_intdigest(r) for r in raw], dtype=_U)), pa.array([xxhash.xxh128_digest(r) for r in raw], pa.binary()), pa.array([s[:LEAST].view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([enough(s) for s in sets])],
-                names=["key", "n", "label", "name", "least", "enough"],
-            )
-
-    return _texts(docs, key, text).mapInArrow(run, "key long, n long, label long, name binary, least array<bigint>, enough boolean")
-
-
-def enumerate_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(sig, label) of all sets. A task gives those of equal sets once."""
+    """(key, th, n, a, b, front): of each row the text's hash, the set's size, its 128-bit name in two halves and its prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
         for batch in batches:
-            sigs, labels = [np.empty(0, _U)], [np.empty(0, _U)]
-            for t in batch.column(1).to_pylist():
-                features = shingler(t)
-                if len(features) and (name := xxhash.xxh64_intdigest(features.tobytes())) not in seen:
-                    seen.add(name)
-                    sigs.append(signatures(features))
-                    labels.append(np.full(len(sigs[-1]), name, _U))
-            yield pa.RecordBatch.from_arrays([_longs(np.concatenate(sigs)), _longs(np.concatenate(labels))], names=["sig", "label"])
+            for piece in pieces(batch, 2):
+                sets = feature_lists(piece.column(2))
+                names = np.frombuffer(b"".join(xxhash.xxh128_digest(s) for s in sets), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), piece.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]), long_lists([s[: prefix(len(s))] for s in sets])],
+                    names=["key", "th", "n", "a", "b", "front"],
+                )
 
-    return _texts(docs, key, text).mapInArrow(run, "sig long, label long")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "key long, th long, n long, a long, b long, front array<bigint>")
 
 
-def feature_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(label, name, features) of each row."""
+def enumerate_sets(texts: DataFrame) -> DataFrame:
+    """(id, score, n, features, sigs, asked) of texts (id, score, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for batch in batches:
-            sets = [shingler(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            raw = [s.tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [_longs(np.array([xxhash.xxh64_intdigest(r) for r in raw], dtype=_U)), pa.array([xxhash.xxh128_digest(r) for r in raw], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                names=["label", "name", "features"],
-            )
+            for piece in pieces(batch, 2):
+                sets = feature_lists(piece.column(2))
+                found = [signatures(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), piece.column(1), pa.array([len(s) for s in sets], pa.int64()), long_lists(sets), long_lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.int64())],
+                    names=["id", "score", "n", "features", "sigs", "asked"],
+                )
 
-    return _texts(docs, key, text).mapInArrow(run, "label long, name binary, features array<bigint>")
+    return texts.select("id", "score", "text").mapInArrow(run, "id long, score double, n long, features array<bigint>, sigs array<bigint>, asked long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) of labels that link: 100 * intersection >= 75 * union."""
-    a = sets.select(F.col("label").alias("u"), F.col("features").alias("fu"))
-    b = sets.select(F.col("label").alias("v"), F.col("features").alias("fv"))
-    # Sizes first: sets that differ too much in size can't link.
-    fits = F.col("nu") * 4 >= F.col("nv") * 3
-    fits = fits & (F.col("nv") * 4 >= F.col("nu") * 3)
-    both = pairs.join(a.withColumn("nu", F.size("fu")), "u").join(b.withColumn("nv", F.size("fv")), "v").filter(fits)
-    shared = F.size(F.array_intersect("fu", "fv"))
-    return both.filter(100 * shared >= 75 * (F.col("nu") + F.col("nv") - shared)).select("u", "v")
+    """The pairs (u, v) of classes that link: 100 * intersection >= 75 * union, which is 7 * intersection >= 3 * both sizes."""
+    a = sets.select(F.col("id").alias("u"), F.col("features").alias("fu"), F.col("n").alias("nu"))
+    b = sets.select(F.col("id").alias("v"), F.col("features").alias("fv"), F.col("n").alias("nv"))
+    centres = join_checked(a, pairs.select("u").distinct(), "u", "left_semi")
+    both = join_checked(b, pairs, "v").join(centres, "u").filter("4 * nu >= 3 * nv and 4 * nv >= 3 * nu")
+    return both.filter(7 * F.size(F.array_intersect("fu", "fv")) >= 3 * (F.col("nu") + F.col("nv"))).select("u", "v")
+
+
+def _rooted(df: DataFrame, links: DataFrame) -> DataFrame:
+    """df with root, the component of its id by links so far."""
+    parts = components(links).withColumnRenamed("node", "id")
+    return join_checked(df, parts, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _best(met: DataFrame, least: str) -> DataFrame:
+    """For each id of (id, centre, asked) the centre that it met most often, as (u, v), where it met it `least` times: rarer meetings are left to the last step."""
+    often = met.groupBy("id", "centre").agg(F.count(F.lit(1)).alias("k"), F.max("asked").alias("asked")).filter(least)
+    return checkpointed(often.groupBy("id").agg(F.max_by("centre", "k").alias("u")).select("u", F.col("id").alias("v")))
+
+
+def _apart(rows: DataFrame, on: str) -> DataFrame:
+    """The values of a column that rows (on, root) of different components have."""
+    return rows.groupBy(on).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(on)
+
+
+def with_partners(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """classes that can have a partner, with score: how frequent the features of their prefix are."""
+    front = rows.select("rid", F.explode("front").alias("f"))
+    often = front.groupBy("f").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # Features are counted over all rows; copies of one class don't make it share a feature.
+    hits = front.join(often, "f").join(classes.select(F.col("id").alias("rid"), "n", "copies"), "rid").filter("df > copies")
+    able = hits.groupBy("rid", "n").agg(F.count(F.lit(1)).alias("hit"), F.sum("df").alias("mass")).filter(F.expr(f"hit >= 1 + ((3 * n + 3) div 4) div {SPARE}"))
+    return classes.join(checkpointed(able.select(F.col("rid").alias("id"), (F.col("mass") / F.col("n")).alias("score"))), "id")
+
+
+def candidates(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """Pairs (u, v) of open classes (id, root) of different components that may link, from the features they share."""
+    spread = join_checked(sets.select("id", "n", "features"), open_, "id").select("id", "n", "root", F.explode("features").alias("f"))
+    met = spread.groupBy("f").agg(F.count(F.lit(1)).alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("f", "df")
+    shared = checkpointed(spread.join(met, "f"))
+    at = F.shiftrightunsigned("f", 64 - (SLICES - 1).bit_length()).cast("int").alias("at")
+    by_slice = shared.groupBy("id", at).agg(F.count(F.lit(1)).cast("int").alias("k"))
+    filled = by_slice.groupBy("id").agg(F.sum("k").alias("c"), F.map_from_entries(F.collect_list(F.struct("at", "k"))).alias("by"))  # SLICES entries at most
+    counted = checkpointed(filled.select("id", "c", F.transform(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda i: F.coalesce(F.try_element_at("by", i), F.lit(0))).alias("slices")))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "f"))  # one set's features
+    able = join_checked(shared, counted.select("id", "c"), "id").filter("4 * c >= 3 * n").withColumn("rank", rank)
+    # A partner's size decides what is missing at most: the smaller set shares 6/7 of its features, the larger 3/4.
+    front = able.filter("rank <= c - (3 * n + 3) div 4 + 1").withColumn("small", F.expr("rank <= c - (6 * n + 6) div 7 + 1"))
+    front = checkpointed(join_checked(front, counted.select("id", "slices"), "id"))
+    side = lambda x, df: df.select("f", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "root", "c", "rank", "slices")])
+    sizes = F.expr("root_u <> root_v and (n_u < n_v or n_u = n_v and id_u < id_v) and 4 * n_u >= 3 * n_v")
+    # The first feature of both that they share has enough features after it in either.
+    places = F.expr("7 * least(c_u - rank_u + 1, c_v - rank_v + 1) >= 3 * (n_u + n_v)")
+    most = F.aggregate(F.zip_with("slices_u", "slices_v", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    met = side("u", front.filter("small")).join(side("v", front), "f").filter(sizes & places & (7 * most >= F.expr("3 * (n_u + n_v)")))
+    return met.select(F.col("id_u").alias("u"), F.col("id_v").alias("v")).distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each of docs: key, n_shingles, component_id, the smallest key reachable by links of similarity 3/4 or more.
 
-    Texts are lower-cased in A-Z and cut at whitespace. Null texts and those without words have no shingles, link
-    with nothing and are components of their own; rows that repeat a key are one document; null keys stay null and
-    count as no one's smallest. Keys are 64-bit numbers. Empty tables give empty results.
+    Texts are lower-cased in A-Z and cut at whitespace, whatever their length. Null texts and those without words have no
+    shingles, link with nothing and are components of their own. Rows that repeat a key are judged one by one, each by its
+    own text; null keys stay null and count as no one's smallest. Keys are 64-bit numbers. Ties do not matter: any order
+    gives the same components. Other columns, whatever their names and types, are not read. Empty tables give empty results.
     """
-    rows = checkpointed(measure(docs, key, text))
-    if rows.filter("not enough").limit(1).count():
-        # A set whose features crowd into too few ranges: no partition of this band can be trusted for it.
-        raise ValueError("a set's features are not spread over the hash domain")
-    classes = checkpointed(rows.filter("n > 0").groupBy("name", "label", "n").agg(F.min("key").alias("rep"), F.first("least").alias("least")))
-
-    # First neighbours: at each of the least features, everyone meets the least label.
-    lasts = classes.select("label", F.explode("least").alias("f"))
-    hub = lasts.groupBy("f").agg(F.min("label").alias("u"), F.max("label").alias("top")).filter("u <> top").select("f", "u")
-    pairs = checkpointed(lasts.join(hub, "f").filter("u <> label").select("u", F.col("label").alias("v")).distinct())
-    sets = _sets_of(docs, key, text, classes, pairs.select(F.col("u").alias("label")).union(pairs.select("v")).distinct())
-    links = checkpointed(_verified(pairs, sets))
-    parts = checkpointed(components(links).withColumnRenamed("node", "label"))
-
-    # Signatures that sets of different components share. Both windows run in one partitioning.
-    at_sig = Window.partitionBy("sig")
-    apart = lambda df, c: df.withColumn("__lo", F.min(c).over(at_sig)).withColumn("__hi", F.max(c).over(at_sig)).filter("__lo <> __hi").drop("__lo", "__hi")
-    shared = join_checked(apart(enumerate_signatures(docs, key, text), "label"), parts, "label", "left").withColumn("root", F.coalesce("root", "label"))
-    shared = apart(shared, "root").select("sig", "label").distinct()
-    wanted = classes.groupBy("label").agg(F.min(F.greatest(F.lit(1), F.expr(f"((3 * n + 3) div 4) div {SPARE}"))).alias("need"))
-    able = checkpointed(shared.groupBy("label").agg(F.count(F.lit(1)).alias("common")).join(wanted, "label").filter("common >= need").select("label"))
-
-    # Features of those that other components' sets have too.
-    sets = _sets_of(docs, key, text, classes, able.select("label"))
-    spread = F.explode("features").alias("sig")
-    named = join_checked(sets, parts, "label", "left").select("label", F.coalesce("root", "label").alias("root"), F.size("features").alias("n"), spread)
-    named = checkpointed(apart(named, "root").select("label", "n", "sig", "root", F.count(F.lit(1)).over(at_sig).alias("size")))
-
-    # Second neighbours: of a group of near copies the one whose features are the most frequent is nearest to all.
-    central = checkpointed(named.groupBy("label").agg((F.sum("size") / F.max("n")).alias("score")))
-    scored = join_checked(named, central, "label")
-    best = scored.groupBy("sig").agg(F.max(F.struct("score", "label", "root")).alias("b")).select("sig", F.col("b.label").alias("u"), F.col("b.root").alias("ru"))
-    meets = scored.join(best, "sig").filter("root <> ru").groupBy("label", "u").agg(F.count(F.lit(1)).alias("k"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("k"), "u"))
-    pairs = meets.withColumn("rank", rank).filter(F.col("rank") <= NEIGHBOURS).select("u", F.col("label").alias("v"))
-    links = checkpointed(links.union(_verified(checkpointed(pairs), sets)))
-    parts = checkpointed(components(links).withColumnRenamed("node", "label"))
-
-    named = join_checked(named.select("label", "n", "sig"), parts, "label", "left").withColumn("root", F.coalesce("root", "label"))
-    up, down = (at_sig.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.desc("n"), F.asc("n")))
-    other = lambda w: F.min("root").over(w) != F.max("root").over(w)
-    common = checkpointed(apart(named, "root").withColumn("up", other(up)).withColumn("down", other(down)).withColumn("size", F.count(F.lit(1)).over(at_sig)).filter("up or down"))
-
-    def front(role: str, least: str) -> DataFrame:
-        """The rarest features of the sets that can play a role: one more than can be missed."""
-        own = common.filter(role)
-        able_ = checkpointed(own.groupBy("label", "n").agg(F.count(F.lit(1)).alias("common")).withColumn("least", F.expr(least)).filter("common >= least").drop("n"))
-        rank = F.row_number().over(Window.partitionBy("label").orderBy("size", "sig"))
-        return join_checked(own, able_, "label").withColumn("rank", rank).filter("rank <= common - least + 1").select("sig", "label", "root", "n")
-
-    a = front("up", "(6 * n + 6) div 7").toDF("sig", "u", "ru", "nu")
-    b = front("down", "(3 * n + 3) div 4").toDF("sig", "v", "rv", "nv")
-    rest = a.join(b, "sig").filter("ru <> rv and nu <= nv and 4 * nu >= 3 * nv").select("u", "v").distinct()
-    links = links.union(_verified(checkpointed(rest), sets))
-
-    parts = components(links)
-    named = classes.join(parts.withColumnRenamed("node", "label"), "label", "left").withColumn("root", F.coalesce("root", "label"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = checkpointed(named.join(least, "root").select("name", "component_id"))
-    alone = F.encode(F.concat(F.lit("#"), F.coalesce(F.col("key").cast("string"), F.lit(""))), "UTF-8")  # spreads those without words
-    out = rows.select("key", "n", F.when(F.col("n") > 0, F.col("name")).otherwise(alone).alias("name"))
-    return join_checked(out, member, "name", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
-
-
-def _sets_of(docs: DataFrame, key: str, text: str, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(label, features) of the labels, read from one document of each. Its key finds the text again."""
-    reps = checkpointed(classes.join(labels, "label", "left_semi").select(F.col("rep").alias("__rep"), "name"))
-    near = join_checked(docs.withColumn("__rep", F.col(key).cast("long")), reps.select("__rep").distinct(), "__rep", "left_semi")
-    # Rows that repeat a key may have other texts: the name says which are meant.
-    return checkpointed(feature_sets(near, key, text).join(reps, "name", "left_semi").dropDuplicates(["name"]))
+    rows = checkpointed(measure(docs, key, text).withColumn("rid", F.monotonically_increasing_id()))
+    named = rows.filter("n > 0").groupBy("a", "b", "n").agg(F.min("rid").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.min_by("th", "rid").alias("th"), F.min_by("key", "rid").alias("key"))
+    classes = checkpointed(named)
+    del named
+    reps = checkpointed(with_partners(rows, classes).select(F.col("id"), "score", F.col("th").alias("__th"), F.col("key").alias("__rep")))
+    rows = checkpointed(rows.select("key", "n", "a", "b"))  # the prefixes, most of what was kept, are free to go
+
+    # Texts are found again by their hash and key; rows that repeat both are one.
+    body = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("__t"))
+    found = join_checked(body, reps, (F.col("__t") == F.col("__th")) & F.col("__key").eqNullSafe(F.col("__rep")))
+    sets = checkpointed(enumerate_sets(found.groupBy("id").agg(F.first("score").alias("score"), F.first("text").alias("text"))))
+
+    least = sets.select("id", "score", F.lit(LEAST).alias("asked"), F.explode(F.slice("features", 1, LEAST)).alias("f"))
+    centre = least.groupBy("f").agg(F.max_by("id", "score").alias("centre"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("f", "centre")
+    links = checkpointed(_verified(_best(least.join(centre, "f").filter("id <> centre"), "k >= 3"), sets))
+
+    rooted = checkpointed(_rooted(sets.select("id", "score", "asked"), links))
+    spread = join_checked(sets.select("id", "sigs"), rooted, "id")
+    apart = _apart(spread.select("root", F.explode("sigs").alias("sig")), "sig")
+    shared = spread.select("id", F.explode("sigs").alias("sig")).join(apart, "sig")
+    enough = shared.join(rooted, "id").groupBy("id", "root", "score", "asked").agg(F.collect_list("sig").alias("sigs")).filter("size(sigs) >= asked")
+    enough = checkpointed(enough)  # one set's signatures in a row
+    spread = enough.select("id", "root", "score", "asked", F.explode("sigs").alias("sig"))
+    centre = spread.groupBy("sig").agg(F.max_by("id", "score").alias("centre"), F.max_by("root", "score").alias("at"))
+    links = checkpointed(links.union(_verified(_best(spread.join(centre, "sig").filter("root <> at"), "k >= asked"), sets)))
+
+    rooted = checkpointed(_rooted(enough.select("id", "asked"), links))
+    spread = join_checked(enough.select("id", "sigs"), rooted, "id").select("id", "root", "asked", F.explode("sigs").alias("sig"))
+    again = spread.join(_apart(spread, "sig"), "sig").groupBy("id", "root", "asked").agg(F.count(F.lit(1)).alias("k"))
+    open_ = checkpointed(again.filter("k >= asked").select("id", "root"))
+    links = links.union(_verified(checkpointed(candidates(sets, open_)), sets))
+
+    part = checkpointed(_rooted(classes.select("id", "a", "b", "least"), links))
+    smallest = part.groupBy("root").agg(F.min("least").alias("component_id"))
+    member = checkpointed(part.join(smallest, "root").select("a", "b", "component_id"))
+    # Rows without words have the name of the empty set, which is no class; their own keys spread them over the join.
+    out = rows.select("key", "n", F.when(F.col("n") > 0, F.col("a")).otherwise(F.xxhash64("key")).alias("a"), F.when(F.col("n") > 0, F.col("b")).alias("b"))
+    return join_checked(out, member, ["a", "b"], "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
