@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,26 @@ def flat(text: Column, limit: int | None = None) -> Column:
     return one if limit is None else F.when(F.char_length(one) > limit, F.concat(F.substring(one, 1, limit - 1), F.lit("…"))).otherwise(one)
 
 
+def _sequences() -> list[tuple[str, str]]:
+    """(spelling, letter) of every way to write an accented letter with separate marks, longest first: by rule, from canonical decompositions."""
+    found = {}
+    for letter in ACCENTED:
+        parts = unicodedata.normalize("NFD", letter)
+        if len(parts) > 1:
+            for marks in {parts[1:], parts[1:][::-1]}:
+                found[parts[0] + marks] = letter
+                for i in range(1, len(marks)):
+                    found[unicodedata.normalize("NFC", parts[0] + marks[:i]) + marks[i:]] = letter
+    return sorted(((k, v) for k, v in found.items() if k != v and unicodedata.normalize("NFC", k) == v), key=lambda x: (-len(x[0]), x))
+
+
+def composed(text: Column) -> Column:
+    """A text with accented letters of the Latin script composed, wherever their marks stand apart. For other scripts see nfc()."""
+    pairs = F.split(F.lit("\n".join(f"{k}\t{v}" for k, v in _sequences())), "\n")  # one literal, however often it's used
+    joined = F.aggregate(pairs, text, lambda done, p: F.replace(done, F.substring_index(p, "\t", 1), F.substring_index(p, "\t", -1)))
+    return F.when(text.rlike(r"\p{M}"), joined).otherwise(text)
+
+
 def nfc(df: DataFrame, column: str) -> DataFrame:
     """df with a column composed. Spark has no such built-in: distinct values that hold marks are normalised in Arrow batches."""
     @F.pandas_udf("string")
@@ -72,7 +93,7 @@ def period_year(label: Column) -> Column:
 
 
 def period_kind(label: Column) -> Column:
-    """Kind of a period label, in this order: year, six months, nine months, quarter, other."""
+    """Kind of a period label, in this order: year, six months, nine months, quarter, other. The words and the kinds' names."""
     low = F.lower(F.coalesce(label, F.lit("")))
     return (
         F.when(low.startswith("năm"), "Năm").when(low.contains("6 tháng"), "6 tháng").when(low.contains("9 tháng"), "9 tháng")
@@ -80,7 +101,7 @@ def period_kind(label: Column) -> Column:
     )
 
 
-#: Outline marks, each followed by a blank: dashes; numbers, dotted or in parentheses; romans; single letters.
+#: Outline marks, each followed by a blank: dashes; numbers, dotted or in parentheses; romans; single letters.
 ONE_MARK = r"(?:[-*+•]+|\(?[0-9]+(?:[.][0-9]+)*[.)]?|[IVXLC]{1,5}[.)]?|[A-Za-z][.)]?)\s+"
 
 
@@ -95,6 +116,7 @@ def indicator_depth(label: Column) -> Column:
     return F.size(F.regexp_extract_all(F.regexp_extract(s, rf"^((?:{ONE_MARK})*)", 1), F.lit(f"({ONE_MARK})"), F.lit(1)))
 
 
+#: The spellings of a mark in front of a label.
 MARKER = (
     r"^\s*("
     + "|".join((
@@ -117,7 +139,7 @@ def outline_marker(label: Column) -> Column:
 
 #: Levels of marks: ordered, with room for dotted ones between.
 SECTION, ROMAN, PAREN, ARABIC, LOWER, DASH = 0, 2, 4, 6, 10, 12
-#: Letters that as marks are never roman digits.
+#: Letters that as marks are never roman digits.
 LETTERS = "ABĐEGHKNOPQRSTUYCDLM"
 
 
@@ -164,11 +186,39 @@ def blank_coalesce(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(strip(c), F.lit("")) for c in columns], F.lit(""))
 
 
+#: Parts of words, folded, that ask for settled figures or for the plan.
+SETTLED = ("quyet toan", "quyettoan", "settled", "outturn", "actual", "final")
+PLANNED = ("du toan", "dutoan", "plan", "budget", "estimate")
+#: Terms of series labels and what they mean.
+GLOSSARY = {
+    "QUYẾT TOÁN": "settled accounts (the outturn)", "DỰ TOÁN": "the plan, not what was spent", "TỔNG THU NSNN": "all state revenue collected in the province",
+    "THU NSĐP": "only the share the province keeps - a subset of TỔNG THU NSNN", "NGÂN SÁCH CẤP TỈNH": "the provincial tier only", "NGÂN SÁCH HUYỆN": "the district tier only",
+    "SO SÁNH": "a percentage comparison column, not money", "ƯỚC THỰC HIỆN": "an in-year estimate, not final", "TỔNG SỐ": "the combined total of the tiers beside it",
+}
+
+
 def basis(text: Column) -> Column:
-    """True for settled figures, false for plans; anything else is an error."""
+    """True for settled figures, false for plans, by the words that a text contains; anything else is an error."""
     low = fold(text)
-    settled, plan = ("settled", "quyet toan", "outturn", "actual"), ("plan", "du toan", "budget")
-    return F.when(low.isin(*settled), True).when(low.isin(*plan), False).otherwise(F.raise_error(F.concat(F.lit("unknown basis: "), F.coalesce(text, F.lit("null")))).cast("boolean"))
+    has = lambda words: reduce(lambda a, b: a | b, [low.contains(w) for w in words])
+    return F.when(has(SETTLED), True).when(has(PLANNED), False).otherwise(F.raise_error(F.concat(F.lit("unknown basis: "), F.coalesce(text, F.lit("null")))).cast("boolean"))
+
+
+def is_settled(word: str) -> bool:
+    """basis() of one word that a caller gives as a parameter."""
+    low = "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c)).replace("đ", "d")
+    for words, settled in ((SETTLED, True), (PLANNED, False)):
+        if any(w in low for w in words):
+            return settled
+    raise ValueError(f"unknown basis: {word}")
+
+
+def glossary(shown: DataFrame, label: str = "series", terms: dict[str, str] = GLOSSARY) -> DataFrame:
+    """(term, meaning) of the terms that the labels of shown contain, in any case."""
+    known = shown.sparkSession.createDataFrame(list(terms.items()), "term string, meaning string")
+    labels = shown.select(F.upper(label).alias("__label")).distinct()
+    # A few terms, and so the side to broadcast; labels stay where they are.
+    return labels.join(F.broadcast(known), F.col("__label").contains(F.col("term"))).select("term", "meaning").distinct()
 
 
 def clamp(number: Column, low: int, high: int, default: int) -> Column:

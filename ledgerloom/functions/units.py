@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import strip
+from ledgerloom.functions.text import composed, strip
 
 #: Spellings of the currency, of its scales, and of percent.
 CURRENCY = ("đồng", "dồng", "đổng", "vnd")
@@ -42,17 +42,16 @@ def _let(value: Column, body) -> Column:
 
 
 def _drop_stray(u: Column) -> Column:
-    """A closing parenthesis at the end goes if none is open for it."""
+    """Closing parentheses at the end go, with what stands between them, if there are more of them than open ones: then none is left at the end."""
     stray = u.endswith(")") & (F.regexp_count(u, F.lit(r"\(")) < F.regexp_count(u, F.lit(r"\)")))
     return F.when(stray, strip(F.regexp_replace(F.regexp_replace(u, r"\)$", ""), r"[\s.:;,/\])]+$", ""))).otherwise(u)
 
 
 def clean_unit(unit: Column) -> Column:
-    """A unit without decoration, in one spelling of whitespace."""
-    u = strip(F.coalesce(unit, F.lit("")))
+    """A unit without decoration, its letters composed, in one spelling of whitespace."""
+    u = strip(_let(F.coalesce(unit, F.lit("")), composed))
     u = F.regexp_replace(F.regexp_replace(u, r"^[\s\[]+", ""), r"[\s.:;,/\]]+$", "")
-    for _ in range(3):  # more stray parentheses than this don't occur
-        u = _let(u, _drop_stray)
+    u = _let(u, _drop_stray)
     return F.trim(F.regexp_replace(u, r"(?U)\s+", " "))
 
 

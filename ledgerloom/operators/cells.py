@@ -26,9 +26,10 @@ def cells(v: DataFrame, form: str | None = None, indicator: str | None = None, s
     return v.filter("vnd is not null").groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.min("vnd").alias("lo"), F.max("vnd").alias("hi"), F.min("id").alias("first_id"), F.min_by("unit", "id").alias("unit"))
 
 
-def series_for(v: DataFrame, form: str, indicator: str) -> DataFrame:
-    """Series of an indicator by publishers, then rows; figures only."""
+def series_for(v: DataFrame, form: str, indicator: str, province: str | None = None) -> DataFrame:
+    """Series of an indicator by publishers, then rows; figures only, of one publisher if given."""
     own = v.filter((F.col("form_code") == form) & (F.col("indicator_raw") == indicator) & F.col("vnd").isNotNull())
+    own = own if province is None else own.filter(F.col("province") == province)
     return own.groupBy("series").agg(F.countDistinct("province").alias("provinces"), F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("provinces"), F.desc("row_count"), "series")
 
 
@@ -50,9 +51,9 @@ def coverage_gap(rows: DataFrame, dim: DataFrame, key: str = "province") -> Data
     return counts.crossJoin(missing)  # one row each
 
 
-def timeseries(v: DataFrame, form: str, indicator: str, series: str) -> DataFrame:
-    """Every publisher's yearly figures; AMBIGUOUS cells are blank with their range; MAGNITUDE? where a history spans a hundredfold."""
-    c = cells(v, form, indicator, series)
+def timeseries(v: DataFrame, form: str, indicator: str, series: str, province: str | None = None) -> DataFrame:
+    """Every (or one) publisher's yearly figures; AMBIGUOUS cells are blank with their range; MAGNITUDE? where a history spans a hundredfold."""
+    c = cells(v, form, indicator, series, province)
     own = Window.partitionBy("province")
     low, high = F.min(F.when(F.col("lo") > 0, F.col("lo"))).over(own), F.max(F.when(F.col("lo") > 0, F.col("lo"))).over(own)
     flagged = c.withColumn("amb", (F.col("n") > 1) & (F.col("lo") != F.col("hi"))).withColumn("off", F.coalesce(high > low * 100, F.lit(False)))
@@ -111,7 +112,9 @@ def multi_report_blocks(v: DataFrame) -> DataFrame:
     return v.groupBy("province", "year", "form_code", "series").agg(F.countDistinct("report_id").alias("reports")).filter("reports > 1")
 
 
-def trace_source(v: DataFrame, reports: DataFrame, form: str, indicator: str, series: str) -> DataFrame:
+def trace_source(v: DataFrame, reports: DataFrame, form: str, indicator: str, series: str, province: str | None = None, year: int | None = None) -> DataFrame:
     """The published text behind each figure of a cell, and its report, where the catalog has it."""
     own = v.filter((F.col("form_code") == form) & (F.col("indicator_raw") == indicator) & (F.col("series") == series))
+    for column, given in (("province", province), ("year", year)):
+        own = own if given is None else own.filter(F.col(column) == given)
     return own.join(reports.select("report_id", "title", "method"), "report_id", "left").select("id", "province", "year", "raw", "value", "unit", "vnd", "report_id", "title", "method")

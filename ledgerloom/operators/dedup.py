@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,11 +18,11 @@ def _first(df: DataFrame, columns: list[str], order: str, name: str) -> DataFram
 
 def mark_duplicates(df: DataFrame, columns: list[str], key: list[str], order: str = "ord") -> DataFrame:
     """df with dup_kind: exact (equal in all columns to an earlier row), logical (equal in key to an earlier one that is not exact), else blank."""
-    exact = _first(df, columns, order, "__first").withColumn("__first", F.col("__first"))
-    ordered = F.min(F.when(F.col("__first"), F.col(order))).over(Window.partitionBy(*key))
-    return exact.withColumn("__key_first", ordered).withColumn(
-        "dup_kind", F.when(~F.col("__first"), "exact").when(F.col(order) != F.col("__key_first"), "logical").otherwise("")
-    ).drop("__first", "__key_first")
+    exact = _first(df, columns, order, "__exact")
+    # The first row of a key is a first row of all columns as well, so one aggregate over all rows finds it.
+    return _first(exact, key, order, "__first").withColumn(
+        "dup_kind", F.when(~F.col("__exact"), "exact").when(~F.col("__first"), "logical").otherwise("")
+    ).drop("__exact", "__first")
 
 
 def dedup_exact(df: DataFrame, columns: list[str], order: str = "ord") -> DataFrame:

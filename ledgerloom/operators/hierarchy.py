@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import LETTERS, ROMAN, SECTION, bare_marker, outline_level
 
-#: All levels that a mark can have; dotted ones up to three dots.
-LEVELS = (*range(0, 10), 10, 12)
+#: All levels that a mark can have, dotted ones with up to ten dots.
+LEVELS = range(0, 17)
 
 
 def block_levels(rows: DataFrame, block: list[str], order: str = "id", label: str = "indicator_raw") -> DataFrame:
@@ -27,32 +27,27 @@ def block_levels(rows: DataFrame, block: list[str], order: str = "id", label: st
     return seen.withColumn("level", level.cast("int")).drop("__b", "__ii", "__other")
 
 
-def spans(rows: DataFrame, block: list[str], order: str = "id", carry: tuple[str, ...] = ("vnd",)) -> DataFrame:
-    """(parent row, row) for every parent and each row of its span, from rows with level.
+def spans(rows: DataFrame, block: list[str], order: str = "id") -> DataFrame:
+    """rows with parent_id: a row for every parent in whose span it lies, from rows with level.
 
     A row lies in the span of parent p just when p is the last row before it at p's level or above. Each level
-    gives one such row; they are exploded, so pairs are bounded by the depth of the outline.
+    gives one such row; they are exploded, so pairs are bounded by the depth of the outline. A row that answers for
+    several levels has the first of them.
     """
     before = Window.partitionBy(*block).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    def last_at(level: int) -> Column:
-        row = F.struct(F.col(order).alias("parent_id"), F.col("level").alias("parent_level"), *[F.col(c).alias(f"parent_{c}") for c in carry])
-        return F.last(F.when(F.col("level") <= level, row), ignorenulls=True).over(before)
-
-    kept = F.filter(
-        F.array(*[last_at(x) for x in LEVELS]),
-        lambda p: p.isNotNull() & (F.col("level").isNull() | (F.col("level") > p["parent_level"])),
-    )
-    # The last row at or above a level is a parent at its own level; the same row can answer for several levels.
-    parents = F.array_distinct(kept)
-    return rows.withColumn("__p", parents).withColumn("p", F.explode("__p")).select("*", "p.*").drop("p", "__p")
+    last = [F.last(F.when(F.col("level") <= x, F.col(order)), ignorenulls=True).over(before).alias(f"__l{x}") for x in LEVELS]
+    seen = rows.select("*", *last).withColumn("__at", F.array(*[f"__l{x}" for x in LEVELS])).drop(*[f"__l{x}" for x in LEVELS])
+    own = F.filter("__at", lambda p, x: p.isNotNull() & (F.array_position("__at", p) == x + 1) & (F.col("level").isNull() | (F.col("level") > x)))
+    return seen.withColumn("parent_id", F.explode(own)).drop("__at")
 
 
 def children(rows: DataFrame, block: list[str], order: str = "id", carry: tuple[str, ...] = ("vnd",)) -> DataFrame:
-    """The direct children of every marked parent: those of its span at the shallowest level found; scanned counts the span."""
+    """The direct children of every marked parent: those of its span at the shallowest level found; scanned counts the span; parent_* carries columns of the parent."""
     over = Window.partitionBy(*block, "parent_id")
-    inside = spans(rows, block, order, carry).withColumn("__least", F.min("level").over(over)).withColumn("scanned", F.count(F.lit(1)).over(over))
-    return inside.filter("level = __least").drop("__least")
+    inside = spans(rows, block, order).withColumn("__least", F.min("level").over(over)).withColumn("scanned", F.count(F.lit(1)).over(over))
+    found = inside.filter("level = __least").drop("__least")
+    parents = rows.select(F.col(order).alias("parent_id"), *[F.col(c).alias(f"parent_{c}") for c in carry])
+    return found.join(parents, "parent_id")
 
 
 def break_down(rows: DataFrame, block: list[str], order: str = "id", value: str = "vnd") -> DataFrame:
@@ -60,12 +55,11 @@ def break_down(rows: DataFrame, block: list[str], order: str = "id", value: str
 
     reconciles is null without a published figure, exact for a published 0, else within half a percent.
     """
-    found = children(rows, block, order, (value,))
-    parent = f"parent_{value}"
-    summed = found.groupBy(*block, "parent_id").agg(
-        F.first(parent).alias("published"), F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("children_sum"), F.count(F.lit(1)).alias("n_children"),
+    summed = children(rows, block, order, ()).groupBy(*block, "parent_id").agg(
+        F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("children_sum"), F.count(F.lit(1)).alias("n_children"),
         F.count_if(F.col(value).isNull()).alias("blank_children"), F.first("scanned").alias("scanned"),
     )
+    summed = summed.join(rows.select(F.col(order).alias("parent_id"), F.col(value).alias("published")), "parent_id")
     residual = F.col("published") - F.col("children_sum")
     return summed.withColumn("residual", residual).withColumn(
         "reconciles",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,22 +74,51 @@ def _keyed(v: DataFrame, form: str, series: str) -> DataFrame:
     return own.groupBy("form_code", "province", "year", "indicator_raw").agg(F.count(F.lit(1)).alias("n"), F.min("vnd").alias("vnd"))
 
 
-def mix(cells: DataFrame, total: str, parts: str, min_parts: int = 3, tolerance: float = 1.02) -> DataFrame:
-    """Composition of a published total: parts are labels that match a pattern; what they leave is other.
+def mix(cells: DataFrame, total: str, parts: dict[str, str], min_parts: int = 5, tolerance: float = 1.02) -> DataFrame:
+    """Composition of a published total in each publisher's latest year that has one: a column for each named part, and what they leave as other.
 
-    Kept only with min_parts parts or more that don't exceed the total by more than the tolerance.
+    Kept only with min_parts parts or more that don't exceed the total by more than the tolerance. Parts of 0 don't count.
     """
-    part = F.col("indicator_raw").rlike(parts) & (F.col("vnd") > 0)
-    by = cells.groupBy("province", "year").agg(
-        F.max(F.when(F.col("indicator_raw") == total, F.col("vnd"))).alias("total"), F.sum(F.when(part, F.col("vnd"))).alias("named"), F.count_if(part).alias("n_parts"),
-    )
-    kept = by.filter((F.col("total") > 0) & (F.col("n_parts") >= min_parts) & (F.col("named") <= F.col("total") * tolerance))
+    at = lambda label: F.max(F.when((F.col("indicator_raw") == label) & (F.col("vnd") != 0), F.col("vnd")))
+    wide = cells.filter(F.col("indicator_raw").isin(total, *parts.values())).groupBy("province", "year").agg(at(total).alias("total"), *[at(x).alias(n) for n, x in parts.items()])
+    last = latest_complete(wide, ["total"])
+    named = reduce(lambda a, b: a + b, [F.coalesce(n, F.lit(0)) for n in parts])
+    n_parts = reduce(lambda a, b: a + b, [F.col(n).isNotNull().cast("long") for n in parts])
+    summed = last.withColumn("named", named).withColumn("n_parts", n_parts)
+    kept = summed.filter((F.col("n_parts") >= min_parts) & (F.col("named") <= F.col("total") * tolerance))
     return kept.withColumn("other", F.greatest(F.col("total") - F.col("named"), F.lit(0).cast("long")))
 
 
-def trend_quartiles(v: DataFrame, form: str, indicator: str, series: str, min_n: int = 8) -> DataFrame:
-    """Nearest-rank quartiles of publishers' figures by year, for years with min_n of them: elements, not interpolated."""
-    own = v.filter((F.col("form_code") == form) & (F.col("indicator_raw") == indicator) & (F.col("series") == series) & F.col("vnd").isNotNull())
-    listed = own.groupBy("year").agg(F.sort_array(F.collect_list("vnd")).alias("x")).withColumn("n", F.size("x")).filter(F.col("n") >= min_n)
+def borrowing(cells: DataFrame, named: dict[str, str], spending: str = "spending") -> DataFrame:
+    """Named figures (deficit, borrowing, repayment) of each publisher's latest year that has total spending; the others may lack."""
+    at = lambda label: F.max(F.when(F.col("indicator_raw") == label, F.col("vnd")))
+    wide = cells.filter(F.col("indicator_raw").isin(*named.values())).groupBy("province", "year").agg(*[at(x).alias(n) for n, x in named.items()])
+    return latest_complete(wide, [spending])
+
+
+def trend_quartiles(cells: DataFrame, indicator: str, min_n: int = 8) -> DataFrame:
+    """Nearest-rank quartiles of publishers' figures by year, for years with min_n of them: elements, not interpolated.
+
+    cells are unambiguous ones; figures of 0 are no figures.
+    """
+    own = cells.filter((F.col("indicator_raw") == indicator) & (F.col("vnd") != 0))
+    listed = own.groupBy("year").agg(F.sort_array(F.collect_list("vnd")).alias("x")).withColumn("n", F.size("x")).filter(F.col("n") >= min_n)  # one figure for each publisher
     at = lambda k: F.element_at("x", (F.floor(F.lit(k) * F.col("n") / 4) + 1).cast("int"))
     return listed.select("year", F.col("n").cast("long").alias("n"), at(1).alias("q1"), at(2).alias("median"), at(3).alias("q3"))
+
+
+def correlation(wide: DataFrame, a: str, b: str) -> DataFrame:
+    """One row: the correlation of two columns where both are known, to six places."""
+    both = wide.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return both.agg((F.floor(F.corr(a, b) * 1000000 + 0.5) / 1000000.0).alias("corr"))
+
+
+def share_stats(wide: DataFrame, share: str, against: str) -> DataFrame:
+    """One row: least, most and middle of a share, and in how many another one is larger."""
+    return wide.filter(F.col(share).isNotNull()).agg(F.min(share).alias("least"), F.max(share).alias("most"), F.median(share).alias("mid"), F.count_if(F.col(against) > F.col(share)).alias("investing"), F.count(F.lit(1)).alias("n"))
+
+
+def beaten(compared: DataFrame) -> DataFrame:
+    """One row: of plans and outturns how many there are, how many outturns lie above the plan, and that share."""
+    n, over = F.count(F.lit(1)), F.count_if(F.col("ratio") > 1)
+    return compared.agg(n.alias("n"), over.alias("over_plan"), (F.floor(over / n * 10000 + 0.5) / 10000.0).alias("share"))

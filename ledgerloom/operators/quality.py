@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.units import canon_unit, clean_unit, norm_num, unit_factor
+from ledgerloom.functions.units import CURRENCY, canon_unit, clean_unit, norm_num, unit_factor
 
 
 def unit_audit(df: DataFrame, unit: str = "unit") -> DataFrame:
@@ -14,6 +14,41 @@ def unit_audit(df: DataFrame, unit: str = "unit") -> DataFrame:
     return seen.select(F.col(unit).alias("unit"), unit_factor(F.col(unit)).alias("factor"), canon_unit(F.col(unit)).alias("canon"), "row_count")
 
 
+def unconverted(audit: DataFrame) -> DataFrame:
+    """The spellings of an audit that have no factor and aren't percent, the most frequent first; warn marks those with a currency's word in them."""
+    words = F.split(F.lower(clean_unit(F.col("unit"))), r"[^\p{L}]+")
+    left = audit.filter(F.col("factor").isNull() & (F.col("unit") != "") & (F.col("canon") != "%"))
+    return left.withColumn("warn", F.arrays_overlap(words, F.array(*[F.lit(c) for c in CURRENCY]))).orderBy(F.desc("row_count"), "unit")
+
+
+#: The counters of summary_qa, in order.
+COUNTERS = ("reports", "extracted", "xml", "xlsx", "pending_pdf", "no_file", "failed", "raw_rows", "exact_dup", "logical_dup", "final_rows", "numeric_rows", "blank_rows", "vnd_rows")
+
+
+def summary_qa(marked: DataFrame, status: DataFrame) -> DataFrame:
+    """(province, label, value): counters of every publisher of status. One without rows has zeros: its reports failed.
+
+    marked are rows with dup_kind, as mark_duplicates() gives them.
+    """
+    final, m = F.col("dup_kind") == "", F.col("method")
+    rows = marked.groupBy("province").agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col("dup_kind") == "exact").alias("exact_dup"), F.count_if(F.col("dup_kind") == "logical").alias("logical_dup"), F.count_if(final).alias("final_rows"),
+        F.count(F.when(final, F.col("value"))).alias("numeric_rows"), F.count_if(final & F.col("value").isNull()).alias("blank_rows"), F.count(F.when(final, F.col("vnd"))).alias("vnd_rows"),
+    )
+    reports = status.groupBy("province").agg(
+        F.count(F.lit(1)).alias("reports"), F.count_if(F.col("rows") > 0).alias("extracted"), F.count_if(m == "XML").alias("xml"), F.count_if(m == "XLSX").alias("xlsx"),
+        F.count_if(m == "PENDING_PDF_DOC").alias("pending_pdf"), F.count_if(m == "PENDING_NO_FILE").alias("no_file"), F.count_if(m == "PARSE_FAILED").alias("failed"),
+    )
+    wide = reports.join(rows, "province", "left").select("province", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTERS])
+    return wide.unpivot(["province"], list(COUNTERS), "label", "value")
+
+
+def pending_review(status: DataFrame) -> DataFrame:
+    """Reports without rows for a reason: year, title, formats that they have, method and the reason, cut to 180 characters."""
+    open_ = status.filter(F.col("method").startswith("PENDING") | (F.col("method") == "PARSE_FAILED"))
+    return open_.select("report_id", "province", "year", "title", "exts", "method", F.substring("reason", 1, 180).alias("reason")).orderBy("report_id")
+
+
 def blank_census(df: DataFrame, by: str, raw: str = "raw") -> DataFrame:
     r = F.col(raw)
     zero = norm_num(r) == 0
@@ -54,6 +89,21 @@ def migrate_units(fact: DataFrame, version: int = 1) -> DataFrame:
     return fact.withColumn("value", scaled).withColumn("canon_version", F.greatest(F.col("canon_version"), F.lit(version)))
 
 
+def migration_plan(fact: DataFrame, unit: str = "unit") -> DataFrame:
+    """By unit, known factor and version: rows, the factor that the unit has by rule, and whether migration must be refused: it would change a factor beyond 1."""
+    by = fact.groupBy(F.col(unit).alias("unit"), "factor").agg(F.count(F.lit(1)).alias("row_count"), F.count("value").alias("value_count"))
+    fresh = unit_factor(F.col("unit"))
+    return by.withColumn("new_factor", fresh).withColumn("refused", F.coalesce((F.col("factor") > 1) & ~F.col("factor").eqNullSafe(fresh), F.lit(False)))
+
+
+def migrate_checked(fact: DataFrame, version: int = 1) -> DataFrame:
+    """migrate_units() after its plan; ValueError names the units whose factor would change. The plan has a row for each spelling of a unit."""
+    wrong = [r["unit"] for r in migration_plan(fact).filter("refused").select("unit").limit(20).collect()]
+    if wrong:
+        raise ValueError(f"factors would change for {wrong}")
+    return migrate_units(fact, version)
+
+
 def invariants(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows and figures before and after."""
     count = lambda df, n: df.agg(F.count(F.lit(1)).alias(f"rows_{n}"), F.count("value").alias(f"values_{n}"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
@@ -14,6 +14,7 @@ from ledgerloom.operators import hierarchy as H
 from ledgerloom.operators import marts as M
 from ledgerloom.operators import names as N
 from ledgerloom.operators import quality as Q
+from ledgerloom.operators import reads as R
 from ledgerloom.operators import search as S
 from ledgerloom.operators import star as T
 from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, REPORTS_SQL, UNITS, forms, landed, lines, reports
@@ -197,12 +198,12 @@ def note_provenance(spark, sf_dir):
     return forms(spark, sf_dir).select("id", X.note_report(note).alias("report_id"), X.note_unit(note, F.col("unit")).alias("unit_source"))
 
 
-_ASK = ("settled", "Quyết toán", "plan", "Dự toán")
+_ASK = ("settled", "Quyết toán năm 2020", "plan", "Dự toán", "the actual outturn", "an ESTIMATE", "final", "dutoan 2021")
 
 
-@query("SELECT o_orderkey, o_orderkey % 4 < 2 AS settled FROM orders")
+@query("SELECT o_orderkey, [TRUE, TRUE, FALSE, FALSE, TRUE, FALSE, TRUE, FALSE][CAST(o_orderkey % 8 + 1 AS INT)] AS settled FROM orders")
 def basis(spark, sf_dir):
-    asked = F.element_at(F.array(*[F.lit(a) for a in _ASK]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    asked = F.element_at(F.array(*[F.lit(a) for a in _ASK]), (F.col("o_orderkey") % 8 + 1).cast("int"))
     return table(spark, sf_dir, "orders").select("o_orderkey", X.basis(asked).alias("settled"))
 
 
@@ -212,11 +213,11 @@ def clamp(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.clamp(asked, 5, 500, 20).alias("held"))
 
 
-@query(v_sql("SELECT id, CASE WHEN nk % 2 = 0 THEN raw WHEN raw IN ('', '-') THEN unit ELSE raw END AS shown FROM v WHERE raw <> '' OR nk % 2 = 1"))
+@query(v_sql("SELECT id, CASE WHEN raw = '' OR nk % 2 = 1 AND raw = '-' THEN CASE WHEN id % 7 = 0 THEN '' ELSE unit END ELSE raw END AS shown FROM v"))
 def blank_coalesce(spark, sf_dir):
-    v = forms(spark, sf_dir).filter("raw <> '' or nk % 2 = 1")
     first = F.when((F.col("nk") % 2 == 1) & (F.col("raw") == "-"), "   ").otherwise(F.col("raw"))
-    return v.select("id", X.blank_coalesce(first, F.col("unit")).alias("shown"))
+    second = F.when(F.col("id") % 7 != 0, F.col("unit"))
+    return forms(spark, sf_dir).select("id", X.blank_coalesce(first, second).alias("shown"))
 
 
 @query(v_sql("""SELECT id, CASE WHEN vnd IS NULL THEN '' ELSE (CASE WHEN x IN ('0', '-0') AND vnd <> 0 THEN regexp_replace(CAST(CAST(vnd AS DECIMAL(28, 9)) / 1000000000 AS VARCHAR), '\\.?0+$', '') ELSE x END) || CASE WHEN vnd > 1000000000000000 THEN '!scale?' ELSE '' END END AS money
@@ -231,14 +232,15 @@ def confidence(spark, sf_dir):
     return v.select("id", U.confidence(F.col("v"), F.when(F.col("id") % 5 == 0, "COMPARE (%)").otherwise("PLAN"), F.lit("VND")).alias("flag"))
 
 
-_TERMS = {"PLAN": "what is to be spent", "OUTTURN": "what was spent", "COMPARE": "one in percent of the other"}
+_STAGES = ("Quyết toán", "DỰ TOÁN/TỔNG THU NSNN", "So sánh (%)", "Tổng số")
 
 
-@query(v_sql("SELECT DISTINCT series AS term, CASE series WHEN 'PLAN' THEN 'what is to be spent' ELSE 'what was spent' END AS meaning FROM v"))
+@query("""WITH s AS (SELECT DISTINCT upper(['Quyết toán', 'DỰ TOÁN/TỔNG THU NSNN', 'So sánh (%)', 'Tổng số'][CAST(o_orderkey % 4 + 1 AS INT)]) AS label FROM orders WHERE o_orderstatus = 'F'),
+ t AS (SELECT * FROM (VALUES ('QUYẾT TOÁN', 'settled accounts (the outturn)'), ('DỰ TOÁN', 'the plan, not what was spent'), ('TỔNG THU NSNN', 'all state revenue collected in the province'), ('SO SÁNH', 'a percentage comparison column, not money'), ('TỔNG SỐ', 'the combined total of the tiers beside it'), ('NGÂN SÁCH HUYỆN', 'the district tier only')) AS x(term, meaning))
+ SELECT DISTINCT term, meaning FROM t JOIN s ON contains(label, term)""")
 def glossary(spark, sf_dir):
-    known = spark.createDataFrame(list(_TERMS.items()), "term string, meaning string")
-    shown = forms(spark, sf_dir).select("series").distinct()
-    return known.join(F.broadcast(shown), F.col("series").contains(F.col("term"))).select("term", "meaning").distinct()
+    shown = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.element_at(F.array(*[F.lit(x) for x in _STAGES]), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("series"))
+    return X.glossary(shown)
 
 
 # 2.4 joins and names ---------------------------------------------------------------------------------
@@ -291,11 +293,8 @@ def report_status(spark, sf_dir):
 
 @query(vr_sql("SELECT n_name AS province, coalesce(c.row_count, 0) AS row_count, coalesce(s.reports, 0) AS reports, coalesce(s.empty, 0) AS empty_reports, c.first_year, c.last_year FROM nation LEFT JOIN (SELECT province, count(*) AS row_count, min(year) AS first_year, max(year) AS last_year FROM v GROUP BY 1) c ON n_name = c.province LEFT JOIN (SELECT province, count(*) AS reports, count(*) FILTER (WHERE rows = 0) AS empty FROM status GROUP BY 1) s ON n_name = s.province"))
 def list_publishers(spark, sf_dir):
-    v = forms(spark, sf_dir).groupBy("province").agg(F.count(F.lit(1)).alias("row_count"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
-    s = _status(spark, sf_dir).groupBy("province").agg(F.count(F.lit(1)).alias("reports"), F.count_if(F.col("rows") == 0).alias("empty_reports"))
-    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("province"))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return n.join(v, "province", "left").join(s, "province", "left").select("province", zero("row_count"), zero("reports"), zero("empty_reports"), "first_year", "last_year")
+    publishers = table(spark, sf_dir, "nation").select(F.col("n_name").alias("province"))
+    return K.list_publishers(publishers, forms(spark, sf_dir), _status(spark, sf_dir))
 
 
 _ASKED = "CASE c_custkey % 5 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name) WHEN 2 THEN 'uk' WHEN 3 THEN substr(n_name, 1, 4) || 'x' ELSE n_name || 'E' END"
@@ -466,32 +465,32 @@ def dedup_stats(spark, sf_dir):
     return D.dedup_stats(landed(spark, sf_dir), _ALL, _KEY)
 
 
-@query(vr_sql("""SELECT province, label, CAST(value AS BIGINT) AS value FROM (SELECT p.province, count(DISTINCT s.report_id) AS reports, count(DISTINCT s.report_id) FILTER (WHERE s.rows > 0) AS extracted, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'XML') AS xml, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'XLSX') AS xlsx,
+@query(vr_sql("""SELECT province, label, CAST(value AS BIGINT) AS value FROM (SELECT s.province, count(DISTINCT s.report_id) AS reports, count(DISTINCT s.report_id) FILTER (WHERE s.rows > 0) AS extracted, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'XML') AS xml, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'XLSX') AS xlsx,
  count(DISTINCT s.report_id) FILTER (WHERE s.method = 'PENDING_PDF_DOC') AS pending_pdf, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'PENDING_NO_FILE') AS no_file, count(DISTINCT s.report_id) FILTER (WHERE s.method = 'PARSE_FAILED') AS failed,
- any_value(raw_rows) AS raw_rows, any_value(exact_dup) AS exact_dup, any_value(logical_dup) AS logical_dup, any_value(final_rows) AS final_rows, any_value(numeric_rows) AS numeric_rows, any_value(blank_rows) AS blank_rows, any_value(vnd_rows) AS vnd_rows
+ coalesce(any_value(raw_rows), 0) AS raw_rows, coalesce(any_value(exact_dup), 0) AS exact_dup, coalesce(any_value(logical_dup), 0) AS logical_dup, coalesce(any_value(final_rows), 0) AS final_rows, coalesce(any_value(numeric_rows), 0) AS numeric_rows, coalesce(any_value(blank_rows), 0) AS blank_rows, coalesce(any_value(vnd_rows), 0) AS vnd_rows
  FROM (SELECT province, count(*) AS raw_rows, count(*) FILTER (WHERE ord % 4 = 1) AS exact_dup, count(*) FILTER (WHERE ord % 4 = 2) AS logical_dup, count(*) FILTER (WHERE ord % 4 = 0) AS final_rows, count(value) FILTER (WHERE ord % 4 = 0) AS numeric_rows,
- count(*) FILTER (WHERE ord % 4 = 0 AND value IS NULL) AS blank_rows, count(vnd) FILTER (WHERE ord % 4 = 0) AS vnd_rows FROM landed GROUP BY 1) p JOIN status s ON s.province = p.province GROUP BY 1)
+ count(*) FILTER (WHERE ord % 4 = 0 AND value IS NULL) AS blank_rows, count(vnd) FILTER (WHERE ord % 4 = 0) AS vnd_rows FROM landed WHERE nk % 9 <> 4 GROUP BY 1) p RIGHT JOIN status s ON s.province = p.province GROUP BY 1)
  UNPIVOT (value FOR label IN (reports, extracted, xml, xlsx, pending_pdf, no_file, failed, raw_rows, exact_dup, logical_dup, final_rows, numeric_rows, blank_rows, vnd_rows))"""))
 def summary_qa(spark, sf_dir):
-    kinds = D.mark_duplicates(landed(spark, sf_dir), _ALL, _KEY)
-    final = F.col("dup_kind") == ""
-    counts = kinds.groupBy("province").agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col("dup_kind") == "exact").alias("exact_dup"), F.count_if(F.col("dup_kind") == "logical").alias("logical_dup"), F.count_if(final).alias("final_rows"),
-        F.count(F.when(final, F.col("value"))).alias("numeric_rows"), F.count_if(final & F.col("value").isNull()).alias("blank_rows"), F.count(F.when(final, F.col("vnd"))).alias("vnd_rows"),
-    )
-    m = F.col("method")
-    status = _status(spark, sf_dir).groupBy("province").agg(
-        F.count(F.lit(1)).alias("reports"), F.count_if(F.col("rows") > 0).alias("extracted"), F.count_if(m == "XML").alias("xml"), F.count_if(m == "XLSX").alias("xlsx"),
-        F.count_if(m == "PENDING_PDF_DOC").alias("pending_pdf"), F.count_if(m == "PENDING_NO_FILE").alias("no_file"), F.count_if(m == "PARSE_FAILED").alias("failed"),
-    )
-    wide = status.join(counts, "province")
-    return wide.unpivot(["province"], [c for c in wide.columns if c != "province"], "label", "value")
-
-
-@query(r_sql("SELECT report_id, province, method, substr(reason, 1, 180) AS reason FROM status WHERE method LIKE 'PENDING%' OR method = 'PARSE_FAILED'"))
+    # Publishers whose rows are all missing are the ones to be seen here.
+    kinds = D.mark_duplicates(landed(spark, sf_dir).filter("nk % 9 <> 4"), _ALL, _KEY)
+    return Q.summary_qa(kinds, _status(spark, sf_dir))
+
+
+@query(r_sql("SELECT report_id, province, year, title, exts, method, substr(reason, 1, 180) AS reason FROM status WHERE method LIKE 'PENDING%' OR method = 'PARSE_FAILED'"))
 def pending_review(spark, sf_dir):
-    s = _status(spark, sf_dir).filter(F.col("method").startswith("PENDING") | (F.col("method") == "PARSE_FAILED"))
-    return s.select("report_id", "province", "method", F.substring("reason", 1, 180).alias("reason")).orderBy("province", "report_id")
+    return Q.pending_review(_status(spark, sf_dir))
+
+
+@query(v_sql("SELECT unit, any_value(factor) AS factor, unit AS canon, count(*) AS row_count, FALSE AS warn FROM v WHERE factor IS NULL AND unit <> '%' GROUP BY unit"))
+def unconverted_units(spark, sf_dir):
+    return Q.unconverted(Q.unit_audit(forms(spark, sf_dir)))
+
+
+@query(v_sql("SELECT unit, f AS factor, count(*) AS row_count, count(value) AS value_count, any_value(factor) AS new_factor, coalesce(f > 1 AND (any_value(factor) IS NULL OR f <> any_value(factor)), FALSE) AS refused FROM (SELECT *, CASE WHEN id % 3 = 0 THEN NULL WHEN nk % 5 = 2 THEN 1000 ELSE factor END AS f FROM v) GROUP BY 1, 2"))
+def migration_plan(spark, sf_dir):
+    stated = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("nk") % 5 == 2, F.lit(1000)).otherwise(F.col("factor")).cast("long")
+    return Q.migration_plan(forms(spark, sf_dir).withColumn("factor", stated))
 
 
 @query(v_sql("SELECT unit, any_value(factor) AS factor, CASE WHEN any_value(factor) IS NOT NULL THEN 'VND' ELSE unit END AS canon, count(*) AS row_count FROM v GROUP BY unit"))
@@ -596,9 +595,9 @@ def latest_complete(spark, sf_dir):
     return M.latest_complete(_balance(spark, sf_dir), ["own", "total"])
 
 
-@query(v_sql("SELECT province, year, borrow, total FROM (SELECT * FROM bq WHERE coalesce(borrow, 0) <> 0 AND coalesce(total, 0) <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1)", _PIVOT))
+@query(v_sql(f"SELECT province, year, max(CASE WHEN indicator_raw = '{TOTAL}' THEN vnd END) AS spending, max(CASE WHEN indicator_raw = 'III FURNITURE' THEN vnd END) AS borrowed, max(CASE WHEN indicator_raw = 'I AUTOMOBILE' THEN vnd END) AS deficit, max(CASE WHEN indicator_raw = 'V MACHINERY' THEN vnd END) AS repaid FROM uk WHERE n = 1 AND indicator_raw IN ('{TOTAL}', 'III FURNITURE', 'I AUTOMOBILE', 'V MACHINERY') GROUP BY 1, 2 HAVING max(CASE WHEN indicator_raw = '{TOTAL}' THEN vnd END) <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1", "uk AS (SELECT form_code, province, year, indicator_raw, count(*) AS n, min(vnd) AS vnd FROM v WHERE series = 'PLAN' AND vnd IS NOT NULL GROUP BY 1, 2, 3, 4)"))
 def debt(spark, sf_dir):
-    return M.latest_complete(_balance(spark, sf_dir), ["borrow", "total"]).select("province", "year", "borrow", "total")
+    return M.borrowing(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), {"spending": TOTAL, "borrowed": "III FURNITURE", "deficit": "I AUTOMOBILE", "repaid": "V MACHINERY"})
 
 
 _UC = "uk AS (SELECT form_code, province, year, indicator_raw, count(*) AS n, min(vnd) AS vnd FROM v WHERE series = 'PLAN' AND vnd IS NOT NULL GROUP BY 1, 2, 3, 4)"
@@ -614,34 +613,39 @@ def dropped_cells(spark, sf_dir):
     return M.dropped_cells(forms(spark, sf_dir), FORM, "PLAN")
 
 
-def _mix_sql(pattern: str, parts: int) -> str:
-    return v_sql(f"SELECT *, greatest(total - named, 0) AS other FROM (SELECT province, year, max(CASE WHEN indicator_raw = '{TOTAL}' THEN vnd END) AS total, CAST(sum(vnd) FILTER (WHERE p) AS BIGINT) AS named, count(*) FILTER (WHERE p) AS n_parts FROM (SELECT *, regexp_matches(indicator_raw, '{pattern}') AND vnd > 0 AS p FROM uk WHERE n = 1) GROUP BY 1, 2) WHERE total > 0 AND n_parts >= {parts} AND named <= total * 1.02", _UC)
+_REVENUE = {"cars": "I AUTOMOBILE", "building": "II BUILDING", "furniture": "III FURNITURE", "household": "IV HOUSEHOLD", "machinery": "V MACHINERY"}
+_SECTORS = {"building": "II BUILDING", "furniture": "III FURNITURE", "urgent": "1 URGENT", "high": "2 HIGH"}
 
 
-@query(_mix_sql("^[IVX]+ ", 3))
+def _mix_sql(parts: dict[str, str], least: int) -> str:
+    at = ", ".join(f"max(CASE WHEN indicator_raw = '{x}' AND vnd <> 0 THEN vnd END) AS {n}" for n, x in {"total": TOTAL, **parts}.items())
+    named, count = " + ".join(f"coalesce({n}, 0)" for n in parts), " + ".join(f"CAST({n} IS NOT NULL AS BIGINT)" for n in parts)
+    return v_sql(f"SELECT *, greatest(total - named, 0) AS other FROM (SELECT *, {named} AS named, {count} AS n_parts FROM (SELECT province, year, {at} FROM uk WHERE n = 1 GROUP BY 1, 2) WHERE total <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1) WHERE n_parts >= {least} AND named <= total * 1.02", _UC)
+
+
+@query(_mix_sql(_REVENUE, 3))
 def revenue_mix(spark, sf_dir):
-    return M.mix(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), TOTAL, "^[IVX]+ ", 3)
+    return M.mix(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), TOTAL, _REVENUE, 3)
 
 
-@query(_mix_sql("^II+ ", 2))
+@query(_mix_sql(_SECTORS, 2))
 def sector_mix(spark, sf_dir):
-    return M.mix(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), TOTAL, "^II+ ", 2)
+    return M.mix(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), TOTAL, _SECTORS, 2)
 
 
-@query(v_sql(f"SELECT year, n, l[1 * n // 4 + 1] AS q1, l[2 * n // 4 + 1] AS median, l[3 * n // 4 + 1] AS q3 FROM (SELECT year, count(*) AS n, list_sort(list(vnd)) AS l FROM v WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' AND vnd IS NOT NULL GROUP BY 1) WHERE n >= 8"))
+@query(v_sql(f"SELECT year, n, l[1 * n // 4 + 1] AS q1, l[2 * n // 4 + 1] AS median, l[3 * n // 4 + 1] AS q3 FROM (SELECT year, count(*) AS n, list_sort(list(vnd)) AS l FROM uk WHERE n = 1 AND indicator_raw = '{TOTAL}' AND vnd <> 0 GROUP BY 1) WHERE n >= 8", _UC))
 def trend_quartiles(spark, sf_dir):
-    return M.trend_quartiles(forms(spark, sf_dir), FORM, TOTAL, "PLAN")
+    return M.trend_quartiles(M.unambiguous_cells(forms(spark, sf_dir), FORM, "PLAN"), TOTAL)
 
 
 @query(v_sql("SELECT floor(corr(self, invest) * 1000000 + 0.5) / 1000000.0 AS corr FROM bq", _PIVOT))
 def self_vs_invest_corr(spark, sf_dir):
-    both = _balance(spark, sf_dir).filter("self is not null and invest is not null")
-    return both.agg((F.floor(F.corr("self", "invest") * 1000000 + 0.5) / 1000000.0).alias("corr"))
+    return M.correlation(_balance(spark, sf_dir), "self", "invest")
 
 
 @query(v_sql("SELECT min(self) AS least, max(self) AS most, median(self) AS mid, count(*) FILTER (WHERE invest > self) AS investing, count(*) AS n FROM bq WHERE self IS NOT NULL", _PIVOT))
 def share_stats(spark, sf_dir):
-    return _balance(spark, sf_dir).filter("self is not null").agg(F.min("self").alias("least"), F.max("self").alias("most"), F.median("self").alias("mid"), F.count_if(F.col("invest") > F.col("self")).alias("investing"), F.count(F.lit(1)).alias("n"))
+    return M.share_stats(_balance(spark, sf_dir), "self", "invest")
 
 
 # 2.7 cells and hierarchy -----------------------------------------------------------------------------
@@ -698,28 +702,20 @@ def break_down_detail(spark, sf_dir):
     return found.select("parent_id", "id", "vnd", C.ratio(F.col("vnd"), F.col("parent_vnd")).alias("share"))
 
 
-def _of_total(spark, sf_dir, series: str) -> DataFrame:
-    """The break-down of each publisher's total in its latest year."""
-    v = forms(spark, sf_dir).filter(F.col("series") == series)
-    found = H.break_down(H.block_levels(v, BLOCK), BLOCK)
-    tops = v.filter(F.col("indicator_raw") == TOTAL).select(F.col("id").alias("parent_id"))
-    last = Window.partitionBy("province").orderBy(F.desc("year"))
-    return found.join(tops, "parent_id").withColumn("k", F.row_number().over(last)).filter("k = 1").drop("k")
-
+_TOPS = "SELECT t.province, t.year, bd.published, bd.children_sum, bd.n_children FROM bd JOIN v t ON t.id = bd.parent_id WHERE t.indicator_raw = 'A TOTAL' AND t.series = '{0}' AND t.year = (SELECT max(x.year) FROM v x WHERE x.province = t.province AND x.series = t.series AND x.indicator_raw = 'A TOTAL' AND x.vnd IS NOT NULL)"
 
-_TOPS = "SELECT t.province, t.year, bd.published, bd.children_sum, bd.n_children FROM bd JOIN v t ON t.id = bd.parent_id WHERE t.indicator_raw = 'A TOTAL' AND t.series = '{0}' QUALIFY row_number() OVER (PARTITION BY t.province ORDER BY t.year DESC) = 1"
 
-
-@query(v_sql(_TOPS.format("PLAN"), f"{_LV}, {_CH}, {_BD}"))
+@query(v_sql(_TOPS.format("OUTTURN"), f"{_LV}, {_CH}, {_BD}"))
 def revenue_breakdown(spark, sf_dir):
-    return _of_total(spark, sf_dir, "PLAN").select("province", "year", "published", "children_sum", "n_children")
+    found = R.revenue_breakdown(forms(spark, sf_dir), BLOCK, FORM, TOTAL, {True: "OUTTURN", False: "PLAN"})
+    return found.select("province", "year", "published", "children_sum", "n_children")
 
 
-@query(v_sql(f"SELECT a.*, p.vnd AS plan_total FROM ({_TOPS.format('OUTTURN')}) a LEFT JOIN v p ON p.province = a.province AND p.year = a.year AND p.series = 'PLAN' AND p.indicator_raw = 'A TOTAL'", f"{_LV}, {_CH}, {_BD}"))
+@query(v_sql(f"SELECT a.*, d.cars, d.building, d.furniture FROM ({_TOPS.format('PLAN')}) a LEFT JOIN (SELECT province, year, min(CASE WHEN indicator_raw = 'I AUTOMOBILE' THEN vnd END) AS cars, min(CASE WHEN indicator_raw = 'II BUILDING' THEN vnd END) AS building, min(CASE WHEN indicator_raw = 'III FURNITURE' THEN vnd END) AS furniture FROM v WHERE series = 'PLAN' GROUP BY 1, 2) d ON d.province = a.province AND d.year = a.year", f"{_LV}, {_CH}, {_BD}"))
 def sector_breakdown(spark, sf_dir):
-    a = _of_total(spark, sf_dir, "OUTTURN").select("province", "year", "published", "children_sum", "n_children")
-    plan = C.cells(forms(spark, sf_dir), FORM, TOTAL, "PLAN").select("province", "year", F.col("hi").alias("plan_total"))
-    return a.join(plan, ["province", "year"], "left")
+    beside = {"cars": "I AUTOMOBILE", "building": "II BUILDING", "furniture": "III FURNITURE"}
+    found = R.spending_by_sector(forms(spark, sf_dir), BLOCK, {True: (FORM, "OUTTURN"), False: (FORM, "PLAN")}, TOTAL, beside)
+    return found.select("province", "year", "published", "children_sum", "n_children", *beside)
 
 
 _MED = "mp AS (SELECT * FROM v WHERE series = 'PLAN' AND vnd > 0), mm AS (SELECT province, indicator_raw, list_sort(list(vnd))[count(*) // 2 + 1] AS median, count(*) AS n FROM mp GROUP BY 1, 2 HAVING count(*) >= 3)"
@@ -749,12 +745,14 @@ def compare_publishers(spark, sf_dir):
     return C.compare_publishers(forms(spark, sf_dir), FORM, TOTAL, "PLAN")
 
 
-@query(v_sql("SELECT l.province, l.year, l.total, l.own, l.inv, CASE WHEN coalesce(m.flag, '') <> '' THEN '?' ELSE coalesce(CAST(CAST(floor(l.own / l.total * 10000 + 0.5) AS BIGINT) AS VARCHAR), '') END AS self_bp FROM lc l LEFT JOIN (SELECT province, year, max(CASE WHEN vnd * 100 < median OR vnd > median * 100 THEN 'MAGNITUDE?' ELSE '' END) AS flag FROM mp JOIN mm USING (province, indicator_raw) WHERE indicator_raw IN ('A TOTAL', 'I AUTOMOBILE') GROUP BY 1, 2) m USING (province, year)", f"{_PIVOT}, {_LATEST}, {_MED}"))
+_SHEET = {"total": TOTAL, "own": "I AUTOMOBILE", "inv": "II BUILDING", "borrow": "III FURNITURE", "house": "IV HOUSEHOLD", "mach": "V MACHINERY"}
+_SHEET_SQL = ", ".join(f"max(CASE WHEN indicator_raw = '{x}' THEN vnd END) AS {n}, coalesce(max(CASE WHEN indicator_raw = '{x}' THEN flag END), '') AS f_{n}" for n, x in _SHEET.items())
+_BP = lambda a, b: f"CASE WHEN f_{a} <> '' OR f_{b} <> '' THEN '?' WHEN {a} <> 0 AND {b} <> 0 THEN CAST(CAST(floor({a} / {b} * 10000 + 0.5) AS BIGINT) AS VARCHAR) ELSE '' END"
+
+
+@query(v_sql(f"SELECT province, year, {', '.join(_SHEET)}, {_BP('own', 'total')} AS self_bp, {_BP('inv', 'total')} AS inv_bp FROM (SELECT u.province, u.year, {_SHEET_SQL} FROM (SELECT * FROM uk WHERE n = 1) u LEFT JOIN (SELECT province, indicator_raw, year, max(CASE WHEN vnd * 100 < median OR vnd > median * 100 THEN 'MAGNITUDE?' ELSE '' END) AS flag FROM mp JOIN mm USING (province, indicator_raw) GROUP BY 1, 2, 3) m USING (province, year, indicator_raw) GROUP BY 1, 2) WHERE coalesce(own, 0) <> 0 AND coalesce(total, 0) <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1", f"{_UC}, {_MED}"))
 def balance_sheet(spark, sf_dir):
-    latest = M.latest_complete(_balance(spark, sf_dir), ["own", "total"])
-    flags = C.cell_medians(forms(spark, sf_dir), FORM, "PLAN").filter(F.col("indicator_raw").isin(TOTAL, "I AUTOMOBILE")).groupBy("province", "year").agg(F.max("flag").alias("flag"))
-    bp = F.coalesce(F.floor(F.col("own") / F.col("total") * 10000 + 0.5).cast("long").cast("string"), F.lit(""))
-    return latest.join(flags, ["province", "year"], "left").select("province", "year", "total", "own", "inv", F.when(F.coalesce("flag", F.lit("")) != "", "?").otherwise(bp).alias("self_bp"))
+    return R.balance_sheet(forms(spark, sf_dir), FORM, _SHEET, "PLAN", {"self_bp": ("own", "total"), "inv_bp": ("inv", "total")}, ["own", "total"])
 
 
 @query(v_sql(f"SELECT province, year, naive, published, floor(naive / published * 10000 + 0.5) / 10000.0 AS ratio FROM (SELECT province, year, CAST(sum(vnd) AS BIGINT) AS naive, max(CASE WHEN indicator_raw = '{TOTAL}' THEN vnd END) AS published FROM v WHERE series = 'PLAN' GROUP BY 1, 2) WHERE published > 0"))
@@ -782,14 +780,13 @@ def trace_source(spark, sf_dir):
 
 @query(vr_sql("SELECT scope, count(*) AS row_count, count(vnd) AS convertible, count(*) FILTER (WHERE raw = '') AS blanks, min(year) AS first_year, max(year) AS last_year, (SELECT count(*) FROM status) AS reports FROM v GROUP BY 1"))
 def describe_corpus(spark, sf_dir):
-    by = forms(spark, sf_dir).groupBy("scope").agg(F.count(F.lit(1)).alias("row_count"), F.count("vnd").alias("convertible"), F.count_if(F.col("raw") == "").alias("blanks"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
-    return by.crossJoin(F.broadcast(_status(spark, sf_dir).agg(F.count(F.lit(1)).alias("reports"))))  # one row
+    return K.describe_corpus(forms(spark, sf_dir), _status(spark, sf_dir))
 
 
-@query("SELECT lang AS form, count(DISTINCT source) AS provinces, count(*) AS row_count, min(doc_id) AS example FROM documents GROUP BY 1 HAVING count(DISTINCT source) >= 5 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 30")
+@query(v_sql("SELECT form_code, count(DISTINCT province) AS provinces, count(*) AS row_count, min(year) AS first_year, max(year) AS last_year, min(table_label) AS example_title FROM (SELECT * REPLACE (['B46', 'B50', 'B63', ''][CAST(nk % 4 + 1 AS INT)] AS form_code) FROM v) WHERE form_code <> '' GROUP BY 1 HAVING count(DISTINCT province) >= 3 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 30"))
 def list_forms(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("form")).agg(F.countDistinct("source").alias("provinces"), F.count(F.lit(1)).alias("row_count"), F.min("doc_id").alias("example"))
-    return d.filter("provinces >= 5").orderBy(F.desc("provinces"), F.desc("row_count"), "form").limit(30)
+    code = F.element_at(F.array(*[F.lit(c) for c in ("B46", "B50", "B63", "")]), (F.col("nk") % 4 + 1).cast("int"))
+    return K.list_forms(forms(spark, sf_dir).withColumn("form_code", code), 3)
 
 
 @query(r_sql("SELECT province, report_id, method, substr(reason, 1, 180) AS reason FROM status WHERE rows = 0"))

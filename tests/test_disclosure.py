@@ -13,6 +13,7 @@ from ledgerloom.operators import cells as C
 from ledgerloom.operators import dedup as D
 from ledgerloom.operators import forms as P
 from ledgerloom.operators import hierarchy as H
+from ledgerloom.operators import marts as M
 from ledgerloom.operators import names as N
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import search as S
@@ -40,6 +41,9 @@ def test_units(spark):
     assert each(spark, refused, U.unit_factor) == [None] * len(refused)
     assert each(spark, ["%", "% (phần trăm)", "Phần trăm (%)", "%(phần trăm)", "% so với dự toán", "tỷ lệ %", "đơn vị"], U.canon_unit) == ["%"] * 4 + ["% so với dự toán", "tỷ lệ %", "đơn vị"]
     assert each(spark, ["[Triệu đồng]", "đồng):", " a  b ", "(x)", "x))"], U.clean_unit) == ["Triệu đồng", "đồng", "a b", "(x)", "x"]
+    assert each(spark, [unicodedata.normalize("NFD", u) for u in (*million, "Nghìn đồng", "tỷ đồng")], U.unit_factor) == [10**6] * len(million) + [1000, 10**9]
+    mixed = ["e\u0323\u0302", "e\u0302\u0323", "ê\u0323", "ẹ\u0302", "Tri\u1ec7u đồng", "plain"]
+    assert each(spark, mixed, X.composed) == ["ệ"] * 4 + ["Triệu đồng", "plain"]
     apart = spark.createDataFrame([(unicodedata.normalize("NFD", u),) for u in million], "u string")
     assert [r[0] for r in X.nfc(apart, "u").select(U.unit_factor(F.col("u"))).collect()] == [10**6] * len(million)
     assert each(spark, ["UBND tỉnh Cao Bằng", "Triệu đồng", "%", "người", "số 1234", ""], U.looks_like_unit) == [False, True, True, True, False, False]
@@ -77,6 +81,52 @@ def test_a_block_reads_a_bare_i_both_ways(spark):
     assert got == [0, 2, 2, 0, 2, 2, 0, 0, 2, 2, 0, 0]
 
 
+def test_dotted_marks_have_all_their_children(spark):
+    labels = ["1.1.1.1.1.1 x", "- a", "- b", "1.1.1.1.1.2 y", "- c"]
+    df = spark.createDataFrame([(i, "b", x, 1) for i, x in enumerate(labels)], "id int, block string, indicator_raw string, vnd bigint")
+    got = {(r["parent_id"], r["id"], r["parent_vnd"]) for r in H.children(H.block_levels(df, ["block"]), ["block"]).collect()}
+    assert got == {(0, 1, 1), (0, 2, 1), (3, 4, 1)}
+
+
+def test_a_basis_is_never_guessed(spark):
+    asked = ["quyết toán năm 2020", "QUYETTOAN", "settled", "the outturn", "actual", "final", "Dự toán", "dutoan", "plan", "budget", "estimate"]
+    assert each(spark, asked, X.basis, "string") == [True] * 6 + [False] * 5 and [X.is_settled(a) for a in asked] == [True] * 6 + [False] * 5
+    with pytest.raises(Exception, match="unknown basis"):
+        each(spark, ["whatever"], X.basis)
+    with pytest.raises(ValueError):
+        X.is_settled("")
+
+
+def test_glossary_tells_shown_terms_only(spark):
+    shown = spark.createDataFrame([("Quyết toán/TỔNG THU NSNN",), ("quyết toán",), ("khác",)], "series string")
+    assert {r["term"] for r in X.glossary(shown).collect()} == {"QUYẾT TOÁN", "TỔNG THU NSNN"}
+
+
+def test_marts_of_unambiguous_cells(spark):
+    rows = [("f", f"p{k}", 2020, "T", 10 * (k + 1)) for k in range(9)] + [("f", "p9", 2020, "T", 0), ("f", "p0", 2019, "T", 7)]
+    rows += [("f", "p0", 2020, "A", 4), ("f", "p0", 2020, "B", 3), ("f", "p0", 2020, "C", 0), ("f", "p1", 2020, "A", 19), ("f", "p1", 2020, "B", 9), ("f", "p2", 2019, "A", 1), ("f", "p3", 2021, "D", 5)]
+    cells = spark.createDataFrame(rows, "form_code string, province string, year int, indicator_raw string, vnd bigint")
+    assert [tuple(r) for r in M.trend_quartiles(cells, "T").collect()] == [(2020, 9, 30, 50, 70)]
+    mixed = M.mix(cells, "T", {"a": "A", "b": "B", "c": "C"}, min_parts=2).collect()
+    assert [(r["province"], r["year"], r["total"], r["a"], r["b"], r["c"], r["named"], r["n_parts"], r["other"]) for r in mixed] == [("p0", 2020, 10, 4, 3, None, 7, 2, 3)]  # p1's parts exceed its total
+    owed = {r["province"]: (r["year"], r["spending"], r["borrowed"]) for r in M.borrowing(cells, {"spending": "T", "borrowed": "A"}).collect()}
+    assert owed["p0"] == (2020, 10, 4) and owed["p2"] == (2020, 30, None) and "p9" not in owed
+
+
+def test_publishers_without_rows_are_summed_up(spark):
+    marked = spark.createDataFrame([("a", "", 1, 1)], "province string, dup_kind string, value int, vnd int")
+    status = spark.createDataFrame([("a", 1, "XML"), ("b", 0, "PARSE_FAILED")], "province string, rows int, method string")
+    got = {(r["province"], r["label"]): r["value"] for r in Q.summary_qa(marked, status).collect()}
+    assert got[("b", "failed")] == 1 and got[("b", "raw_rows")] == 0 and got[("a", "final_rows")] == 1
+
+
+def test_migration_is_refused_where_factors_change(spark):
+    fact = spark.createDataFrame([("Triệu đồng", 1000000, 2.0), ("đồng", None, 1.0)], "unit string, factor long, value double")
+    assert Q.migrate_checked(fact).count() == 2
+    with pytest.raises(ValueError, match="Triệu"):
+        Q.migrate_checked(fact.withColumn("factor", F.lit(1000)))
+
+
 def test_break_down_takes_direct_children_only(spark):
     rows = [(0, "II Total", 100), (1, "1 a", 60), (2, "- x", 20), (3, "- y", 40), (4, "unmarked", 5), (5, "2 b", 40), (6, "3 c", None), (7, "III next", 9), (8, "IV zero", 0), (9, "1 none", 0), (10, "V blank", None), (11, "(1) p", 1)]
     df = spark.createDataFrame([(i, "b", x, v) for i, x, v in rows], "id int, block string, indicator_raw string, vnd bigint")
@@ -156,10 +206,13 @@ def test_xml_and_workbook_readers(spark, tmp_path):
 
 def test_catalog_pages(spark, tmp_path):
     item = lambda i, files: {"ID": i, "Title": f"t{i}", "Attachments": [{"FileName": f, "Url": "u"} for f in files]}
-    (tmp_path / "1.json").write_text(json.dumps({"TotalItems": 5, "Items": [item(1, ["a.XML", "a.pdf"]), item(2, [])]}))
-    (tmp_path / "2.json").write_text(json.dumps({"TotalItems": 5, "Items": [item(3, ["b.xlsx"])]}))
-    reports, gap = K.read_catalog(spark, str(tmp_path))
-    assert gap.first()["gap"] == 2 and reports.count() == 3
+    for d in ("x", "y"):
+        (tmp_path / d).mkdir()
+    (tmp_path / "x/page_2.json").write_text(json.dumps({"TotalItems": 5, "Items": [item(1, ["a.XML", "a.pdf"]), item(2, [])]}))
+    (tmp_path / "x/page_10.json").write_text(json.dumps({"TotalItems": 5, "Items": [item(3, ["b.xlsx"])]}))
+    (tmp_path / "y/page_1.json").write_text(json.dumps({"TotalItems": 1, "Items": []}))
+    reports, gap = K.read_catalog(spark, f"{tmp_path}/*/*.json")
+    assert {r["publisher"]: r["gap"] for r in gap.collect()} == {"x": 2, "y": 1} and [r["id"] for r in reports.collect()] == [1, 2, 3]
     named = reports.select(F.col("id").alias("report_id"), F.transform("attachments", lambda a: a["file_name"]).alias("files"))
     assert sorted(r["filename"] for r in K.attachment_manifest(named).collect()) == ["a.XML", "b.xlsx"] and K.attachment_manifest(named, with_all=True).count() == 3
 
