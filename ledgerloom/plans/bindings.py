@@ -6,10 +6,12 @@ hierarchy of total, segment, priority and status, with outline marks and planted
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.common import table
+from ledgerloom.plans.common import shared_folder, table
 
 #: Published spellings of the unit, by nation; the factor of each.
 UNITS = ("đồng", "Nghìn đồng", "Triệu đồng", "Tr đồng", "VND", "%", "dự án", "1.000 đồng")
@@ -18,7 +20,21 @@ FORM = "B46"
 BLOCK = ["province", "year", "form_code", "series", "report_id", "table_label"]
 
 
+#: Where the forms of a folder were stored in this application.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows of the forms: computed and written to the shared folder once for an application and input, read by every query after that."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STORED:
+        path = f"{shared_folder(spark)}/forms-{uuid4().hex}"
+        built_forms(spark, sf_dir).write.parquet(path)
+        _STORED[at] = path
+    return spark.read.parquet(_STORED[at])
+
+
+def built_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the forms, in columns of the fact view, with their place in the hierarchy.
 
     Order lines are summed by order before the join; the hierarchy comes from one grouping over four

@@ -13,6 +13,7 @@ from ledgerloom.operators import cells as C
 from ledgerloom.operators import dedup as D
 from ledgerloom.operators import forms as P
 from ledgerloom.operators import hierarchy as H
+from ledgerloom.operators import longrows as L
 from ledgerloom.operators import marts as M
 from ledgerloom.operators import names as N
 from ledgerloom.operators import quality as Q
@@ -204,6 +205,36 @@ def test_xml_and_workbook_readers(spark, tmp_path):
     assert [r["error"] for r in cells.filter("error is not null").collect()] == ["ValueError: not a zip workbook"]
 
 
+def test_files_become_long_rows_and_a_star(spark, tmp_path):
+    xml = "<form><title>Thu</title><code>B46</code><curencyunit>Triệu đồng</curencyunit><year>2020</year><periodType>Năm</periodType><header><f1>STT</f1><f2>Nội dung</f2><f3>DỰ TOÁN</f3></header><content>{}</content></form>"
+    rows = "<row><f1>I</f1><f2>Tổng</f2><f3>1.234,5</f3></row><row><f1>1</f1><f2>Phần</f2><f3/></row><row><f1>1</f1><f2>Phần</f2><f3>-</f3></row>"
+    (tmp_path / "a.xml").write_text(xml.format(rows + rows), encoding="utf-8")
+    with zipfile.ZipFile(tmp_path / "w.xlsx", "w") as z:
+        ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+        cell = lambda ref, text: f'<c r="{ref}" t="inlineStr"><is><t>{text}</t></is></c>'
+        lines = [["Biểu số 50/CK", "Quyết định số: 12/QĐ"], ["Đơn vị tính: 1.000 đồng"], ["STT", "Nội dung", "Năm 2021"], ["A", "Chi", "7"], ["1", "Chi y tế", "3"]]
+        body = "".join(f'<row r="{i + 1}">' + "".join(cell(f"{chr(65 + j)}{i + 1}", t) for j, t in enumerate(line)) + "</row>" for i, line in enumerate(lines))
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+    tags, cells = R.read_xml_forms(spark, str(tmp_path)), R.read_grids(spark, str(tmp_path))
+    at = {r["path"].rsplit("/", 1)[1]: r["path"] for r in tags.select("path").union(cells.select("path")).distinct().collect()}
+    files = spark.createDataFrame([(at["a.xml"], 7, "u7"), (at["w.xlsx"], 8, "u8"), (at["w.xlsx"], 7, "u7")], "path string, report_id long, url string")
+    names = "report_id long, province string, agency string, report_file string, approved_date string, publish_date string, period_type string, year_text string, report_type string, title string, circular string, currency_unit string, year int, files array<string>"
+    reports = spark.createDataFrame([(7, "Huế", "Sở", "doc7", None, "01/02/2020", "Năm", "2019", "Tỉnh", "t7", "TT", None, 2020, ["a.xml"]), (8, "Huế", "Sở", "doc8", "x", None, "Quý", "2021", "Xã", "t8", "", None, 2021, ["w.xlsx"]), (9, "Hà Nội", "", "d", None, None, "", "", "", "t9", "", None, 2021, ["z.pdf"])], names)
+    long = L.build_long(tags, cells, files, reports)
+    assert long.drop("ord").schema.fieldNames() == L.LONG_SCHEMA.fieldNames()
+    got = [tuple(r) for r in long.orderBy("ord").select("report_id", "indicator_raw", "raw", "value", "unit", "vnd", "table_label", "period", "doc_no", "doc_date").collect()]
+    assert got == [(7, "I Tổng", "1.234,5", 1234.5e6, "VND", 1234.5e6, "Thu [B46]", "Năm 2020", "doc7", "01/02/2020"), (7, "1 Phần", "", None, "VND", None, "Thu [B46]", "Năm 2020", "doc7", "01/02/2020"), (7, "1 Phần", "-", None, "VND", None, "Thu [B46]", "Năm 2020", "doc7", "01/02/2020"),
+                   (8, "A Chi", "7", 7000.0, "VND", 7000.0, "t8 [50/CK]", "Quý 2021", "12/QĐ", "x"), (8, "1 Chi y tế", "3", 3000.0, "VND", 3000.0, "t8 [50/CK]", "Quý 2021", "12/QĐ", "x")]
+    assert {r["note"] for r in long.collect()} == {"TT; XML TT343; report 7; ĐVT nguồn: Triệu đồng", "; XLSX TT343; report 8; ĐVT nguồn: 1.000 đồng"}
+    status = P.report_status(reports, L.parsed_counts(tags, cells, long, files))
+    assert {r["report_id"]: (r["method"], r["rows"]) for r in status.collect()} == {7: ("XML", 3), 8: ("XLSX", 2), 9: ("PENDING_PDF_DOC", 0)}
+    fact, dims = L.build_star(long, status)
+    sinks.write_star(fact, dims, f"{tmp_path}/star")
+    view = L.view_fact(spark.read.parquet(f"{tmp_path}/star/fact_row"), {n: spark.read.parquet(f"{tmp_path}/star/{n}") for n in dims})
+    seen = {(r["indicator"], r["raw"]): (r["vnd"], r["year"], r["kind"], r["form_code"], r["unit_source"], r["unit"], r["report_id"]) for r in view.collect()}
+    assert view.count() == 5 and len(dims) == 9 and seen[("Tổng", "1.234,5")] == (1234.5e6, 2020, "Năm", "B46", "Triệu đồng", "VND", 7) and seen[("Chi y tế", "3")] == (3000.0, 2021, "Quý", "50/CK", "1.000 đồng", "VND", 8)
+
+
 def test_catalog_pages(spark, tmp_path):
     item = lambda i, files: {"ID": i, "Title": f"t{i}", "Attachments": [{"FileName": f, "Url": "u"} for f in files]}
     for d in ("x", "y"):
