@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Applications that have the library's files.
+_SENT: set[str] = set()
+
+
+def send_library(spark: SparkSession) -> None:
+    """Sends the package to the Python workers of all executors, once for an application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SENT or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="ledgerloom-")) / "ledgerloom.zip"  # read by the driver alone, which Spark lets send it
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _SENT.add(sc.applicationId)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate rows that nothing reads any more, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one in spark.checkpoint.dir.
 
-    Only where that is unset (as in tests on one machine) a temporary folder is used.
+    Only where that is unset and all is on one machine, as in tests, a temporary folder is used.
     """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.getConf().get("spark.checkpoint.dir") and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-"))
     return sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().get()
 
