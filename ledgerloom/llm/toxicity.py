@@ -180,7 +180,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label", part: s
     counts.unpersist()
     scored = _featured(base.filter(F.col(part) >= 3).select(text, label), terms, [label]).collect()  # bounded by the caller
     x = np.array([[r[n] for n in NAMES] for r in scored]).reshape(-1, len(NAMES))
-    y = np.array([r[label] for r in scored], dtype=float)
+    y = np.array([r["c0"] for r in scored], dtype=float)
     weights = _logistic(x, y) if len(y) else np.array([0.0] * len(NAMES) + [math.log((n1 + 0.5) / (n0 + 1.5))])
     return {"terms": terms, "weights": weights.tolist()}
 
@@ -239,19 +239,20 @@ SCALE = np.array([10.0, 3.0, 3.0, 3.0])
 
 
 def _featured(df: DataFrame, terms: dict[str, float], carry: list[str], text: str = "text") -> DataFrame:
-    """The carried columns of df and the features of each text."""
+    """The carried columns of df, as c0, c1, ..., and the features of each text."""
     shared = df.sparkSession.sparkContext.broadcast(terms)  # at most MAX_TERMS, and the forms of their stems
-    kinds = dict(df.dtypes)
-    spread = df.select(*carry, F.col(text).alias("__text"))
+    inner = [f"c{i}" for i in range(len(carry))]  # names that clash with nothing
+    spread = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, inner, strict=True)], F.col(f"`{text}`").cast("string").alias("__text"))
+    kinds = dict(spread.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(shared.value)
         for batch in batches:
             found = [features(t, trie) for t in batch.column(len(carry)).to_pylist()]
             columns = [pa.array([f[i] for f in found], pa.float64()) for i in range(len(NAMES))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *columns], names=[*carry, *NAMES])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *columns], names=[*inner, *NAMES])
 
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), *(f"{n} double" for n in NAMES)])
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in inner), *(f"{n} double" for n in NAMES)])
     return spread.mapInArrow(run, schema)
 
 
@@ -264,21 +265,25 @@ def _score(model: dict) -> Column:
 
 
 def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score, predicted, strong, hits, fuzzy, quoted) of every row of docs; a null text scores as an empty one."""
+    """(key, score, predicted, strong, hits, fuzzy, quoted) of every row of docs; a null text scores as an empty one.
+
+    Texts of any length are read whole; equal texts score alike, whatever their keys; other columns are not read.
+    """
     found = _featured(docs, model["terms"], [key], text).withColumn("score", _score(model))
-    return found.select(key, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *[F.col(n).alias(n.strip("_")) for n in NAMES])
+    return found.select(F.col("c0").alias(key), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *[F.col(n).alias(n.strip("_")) for n in NAMES])
 
 
 def keep_clean(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """The rows of docs with a score below 0.5, with all their columns; no shuffle."""
-    return _featured(docs, model["terms"], docs.columns, text).filter(_score(model) < 0.5).select(docs.columns)
+    """The rows of docs with a score below 0.5, with all their columns, whatever their names and types; no shuffle. A score of just 0.5 goes."""
+    return _featured(docs, model["terms"], docs.columns, text).filter(_score(model) < 0.5).drop(*NAMES).toDF(*docs.columns)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = FIT_DOCS) -> dict:
     """A model from at most about `bound` labelled rows outside fold 0 of the key.
 
     The rows are those whose hash is below a threshold, the same at every run. A document with several
-    labels counts as toxic if one says so; null labels and keys don't count.
+    labels counts as toxic if one says so; null labels and keys don't count. Of rows that repeat a key the least text counts.
+    Empty tables give a model of the base rate.
     """
     usable = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).filter(fold(F.col(key)) != 0)
     one = usable.groupBy(key).agg((F.max(label) > 0).cast("int").alias("label"))
@@ -287,10 +292,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     one = one.filter(draw < int(1_000_000 * min(1.0, bound / max(n, 1))))
     # As many rows as the bound: the texts stay where they are.
     labelled = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(one.withColumnRenamed(key, "__k")), F.col(key) == F.col("__k"))
+    labelled = labelled.groupBy(key, "label").agg(F.min("text").alias("text"))
     return learn(labelled.select("text", "label", fold(F.col(key)).alias("part")))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The op5 contract."""
+    """The op5 contract: a row for each row of documents, null and empty texts included, in any order; repeated rows get equal scores; no documents, no rows."""
     model = fit(docs, labels)
     return score(docs, model).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
