@@ -67,7 +67,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, key: str = "doc_id", text: str =
     Windows are as long as the template and start at every word, so they overlap. One that shares a band with
     the template is verified: it is held where the window, with a quarter of its length on either side, has at
     least `least` of the template's distinct shingles (containment_bp: in hundredths of a percent). Templates
-    need five words or more. Null and short texts hold none; rows that repeat a key give one row; empty tables
+    need five words or more. Null and short texts hold none, long ones are read whole; rows that repeat a key give one row; of places
+    that tie the first counts; other columns, whatever their names, are not read; empty tables
     give none. The list of templates is a parameter, so its size, which bounds the broadcast, is known beforehand.
     """
     spark = docs.sparkSession
@@ -78,18 +79,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, key: str = "doc_id", text: str =
     anchored = spark.createDataFrame(rows, "license string, t array<bigint>, signature array<bigint>, anchor bigint, offset int, n int")
     anchors = sorted({r[3] for r in rows})
 
-    hashed = docs.select(F.col(key), shingles(words(F.col(text))).alias("h"))
+    hashed = docs.select(F.col(key).alias("__key"), shingles(words(F.col(text))).alias("h"))
     places = F.filter(F.transform("h", lambda h, i: F.when(h.isin(anchors), F.struct(h.alias("anchor"), i.alias("i")))), lambda p: p.isNotNull())
     hits = hashed.withColumn("places", places).filter(F.size("places") > 0).withColumn("p", F.explode("places"))
-    near = hits.select(key, "h", F.col("p.anchor").alias("anchor"), F.col("p.i").alias("i")).join(F.broadcast(anchored), "anchor")
+    near = hits.select("__key", "h", F.col("p.anchor").alias("anchor"), F.col("p.i").alias("i")).join(F.broadcast(anchored), "anchor")
     start, margin = F.greatest(F.col("i") - F.col("offset"), F.lit(0)), F.expr("n div 4")
     windows = near.withColumn("start", start).withColumn("around", F.greatest(F.col("start") - margin, F.lit(0)))
     windows = windows.select(
-        key, "license", "t", "signature", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("window"),
+        "__key", "license", "t", "signature", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("window"),
         F.slice("h", F.col("around") + 1, (F.col("n") + 2 * margin).cast("int")).alias("wide"),
     )
     same_band = F.exists(F.zip_with(band_values(F.col("window"), bands), "signature", lambda a, b: a == b), lambda x: x)
     contained = F.size(F.array_intersect("t", "wide")) / F.size(F.array_distinct("t"))
-    found = windows.filter(same_band).select(key, "license", "start", contained.alias("c")).filter(F.col("c") >= least)
+    found = windows.filter(same_band).select("__key", "license", "start", contained.alias("c")).filter(F.col("c") >= least)
     best = F.max_by("start", F.struct("c", -F.col("start")))
-    return found.groupBy(key, "license").agg(F.floor(F.max("c") * 10000 + 0.5).cast("long").alias("containment_bp"), best.cast("long").alias("at"))
+    return found.groupBy(F.col("__key").alias(key), "license").agg(F.floor(F.max("c") * 10000 + 0.5).cast("long").alias("containment_bp"), best.cast("long").alias("at"))
