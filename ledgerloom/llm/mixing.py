@@ -54,10 +54,13 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
     size counts words; a null text has none. A source's words come to its target, rounded; the one row at
     the boundary is cut to meet it. Rows are chosen by a hash of the key, so reruns agree. Rows that
-    share a key and source are taken in order of size; of rows equal in that too, order does not matter.
+    share a key and source are taken in order of size; of rows equal in that too, order does not matter. Carried columns that bear
+    the name of one of the result are left out; other columns are not read. Texts of any length are counted whole. Empty tables give empty results.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = checkpointed(docs.select(F.col(key).alias("__key"), *carry, F.col(source).alias("source"), size.alias("size"), row_hash(F.col(key)).alias("__h")))
+    carry = tuple(c for c in carry if c not in (key, "source", "size", "source_size", "target", "copies", "extra"))
+    carried = [F.col(f"`{c}`").alias(f"__carry_{i}") for i, c in enumerate(carry)]
+    rows = checkpointed(docs.select(F.col(key).alias("__key"), *carried, F.col(source).alias("source"), size.alias("size"), row_hash(F.col(key)).alias("__h")))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = F.floor(F.col("target") + 0.5).cast("long")
     base = F.when(F.col("source_size") > 0, F.expr("goal div source_size")).otherwise(F.lit(0))
@@ -86,12 +89,12 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     room = F.col("rest") - F.col("e_below") - F.coalesce(F.col("__below"), F.lit(0))
     cut = at_edge.withColumn("__below", below).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), room)))
     others = bounded.filter("__side is null or __side <> 0").withColumn("extra", F.when(F.col("__side") < 0, F.col("size")).otherwise(F.lit(0)))
-    columns = [F.col("__key").alias(key), *[F.col(c) for c in carry], F.col("source"), F.col("size"), F.col("source_size"), F.col("target"), F.col("base").cast("long").alias("copies"), F.col("extra").cast("long").alias("extra")]
+    columns = [F.col("__key").alias(key), *[F.col(f"__carry_{i}").alias(c) for i, c in enumerate(carry)], F.col("source"), F.col("size"), F.col("source_size"), F.col("target"), F.col("base").cast("long").alias("copies"), F.col("extra").cast("long").alias("extra")]
     return others.select(*columns).unionByName(cut.select(*columns))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    """The op3 contract."""
+    """The op3 contract: a row for each row of documents. Null texts and sources are cases of their own, repeated rows are taken one by one, ties of the hash in order of key and size."""
     taken = (F.col("copies") * F.col("size") + F.col("extra")).alias("taken")
     return mix(docs).select("doc_id", "size", "source_size", "target", taken)
 
