@@ -1,8 +1,7 @@
 """Chat formatting: schema fingerprints select declarative mappings to canonical turns.
 
-A fingerprint is a hash of the sorted nested field paths (with kinds) of a record. Each known layout is
-one entry of LAYOUTS; tables are matched by their Spark schema, JSON records one by one by the schema that
-Spark finds in them. Turns are rendered with marked turns, reversible escapes and a loss mask.
+A fingerprint is a hash of the sorted nested field paths of a record, as far as known layouts name them. Each known
+layout is one entry of LAYOUTS; tables are matched by their Spark schema, JSON records one by one by their own fields. Turns are rendered with marked turns, reversible escapes and a loss mask.
 """
 
 from __future__ import annotations
@@ -17,8 +16,29 @@ from pyspark.sql import types as T
 START, END = "<|im_start|>", "<|im_end|>"
 
 
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def _list(name: str, *fields: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.ArrayType(_texts(*fields)))])
+
+
+#: Layouts, one entry each: the fields by which it is known and read; its turns as an array of (role, text), or "rows" for a table with a row for each turn.
+LAYOUTS = {
+    "turn_rows": (_texts("turn", "role", "text"), "rows"),
+    "messages": (_list("messages", "role", "content"), "transform(messages, m -> named_struct('role', m.role, 'text', m.content))"),
+    "from_value": (_list("conversations", "from", "value"), "transform(conversations, m -> named_struct('role', case m.`from` when 'human' then 'user' when 'gpt' then 'assistant' else m.`from` end, 'text', m.value))"),
+    "instruction": (_texts("instruction", "input", "output"), "array(named_struct('role', 'user', 'text', concat(coalesce(instruction, ''), case when coalesce(input, '') = '' then '' else concat('\\n\\n', input) end)), named_struct('role', 'assistant', 'text', output))"),
+    "instruction_only": (_texts("instruction", "output"), "array(named_struct('role', 'user', 'text', instruction), named_struct('role', 'assistant', 'text', output))"),
+    "prompt_response": (_texts("prompt", "response"), "array(named_struct('role', 'user', 'text', prompt), named_struct('role', 'assistant', 'text', response))"),
+    "prompt_completion": (_texts("prompt", "completion"), "array(named_struct('role', 'user', 'text', prompt), named_struct('role', 'assistant', 'text', completion))"),
+    "question_answer": (_texts("system_prompt", "question", "response"), "array(named_struct('role', 'system', 'text', system_prompt), named_struct('role', 'user', 'text', question), named_struct('role', 'assistant', 'text', response))"),
+}
+
+
 def paths(schema: T.DataType, prefix: str = "") -> list[str]:
-    """Nested field paths of a schema, arrays as [], leaves without their type's width."""
+    """Nested field paths of a schema, arrays as []."""
     if isinstance(schema, T.StructType):
         return sorted(p for f in schema.fields for p in paths(f.dataType, f"{prefix}.{f.name.lower()}" if prefix else f.name.lower()))
     if isinstance(schema, T.ArrayType):
@@ -26,46 +46,29 @@ def paths(schema: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+PATHS = {name: paths(fields) for name, (fields, _) in LAYOUTS.items()}
+
+
 def fingerprint(names: list[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()[:16]
+    """Hash of the paths of all layouts that a record has whole. Fields that none of these names, such as ids and sources, don't count."""
+    own = {p for layout in PATHS.values() if set(layout) <= set(names) for p in layout}
+    return hashlib.sha256("\n".join(sorted(own)).encode()).hexdigest()
 
 
-#: Layouts: field paths; the turns as an array of (role, text), or "rows" for a table with a row for each turn.
-LAYOUTS = {
-    "turn_rows": (["conv_id", "turn", "role", "text"], "rows"),
-    "messages": (["messages[].role", "messages[].content"], "transform(messages, m -> named_struct('role', m.role, 'text', m.content))"),
-    "from_value": (["conversations[].from", "conversations[].value"], "transform(conversations, m -> named_struct('role', case m.`from` when 'human' then 'user' when 'gpt' then 'assistant' else m.`from` end, 'text', m.value))"),
-    "instruction": (["instruction", "input", "output"], "array(named_struct('role', 'user', 'text', concat(coalesce(instruction, ''), case when coalesce(input, '') = '' then '' else concat('\\n\\n', input) end)), named_struct('role', 'assistant', 'text', output))"),
-    "instruction_only": (["instruction", "output"], "array(named_struct('role', 'user', 'text', instruction), named_struct('role', 'assistant', 'text', output))"),
-    "prompt_response": (["prompt", "response"], "array(named_struct('role', 'user', 'text', prompt), named_struct('role', 'assistant', 'text', response))"),
-    "prompt_completion": (["prompt", "completion"], "array(named_struct('role', 'user', 'text', prompt), named_struct('role', 'assistant', 'text', completion))"),
-    "question_answer": (["system_prompt", "question", "response"], "array(named_struct('role', 'system', 'text', system_prompt), named_struct('role', 'user', 'text', question), named_struct('role', 'assistant', 'text', response))"),
-}
-BY_FINGERPRINT = {fingerprint(p): name for name, (p, _) in LAYOUTS.items()}
-#: Spark types by which the JSON fields of a layout are read.
-JSON_TYPES = {
-    "messages": "messages array<struct<role string, content string>>",
-    "from_value": "conversations array<struct<`from` string, value string>>",
-    "instruction": "instruction string, input string, output string",
-    "instruction_only": "instruction string, output string",
-    "prompt_response": "prompt string, response string",
-    "prompt_completion": "prompt string, completion string",
-    "question_answer": "system_prompt string, question string, response string",
-}
-
-
-def layout_of(df: DataFrame, key: str = "conv_id") -> str:
-    """Name of the layout of a table; the key column counts only for tables of turn rows. Unknown: ValueError with the paths."""
+BY_FINGERPRINT = {fingerprint(p): name for name, p in PATHS.items()}
+
+
+def layout_of(df: DataFrame) -> str:
+    """Name of the layout of a table, by its schema's fingerprint, whatever other columns it has. None, or two at once: ValueError with the paths."""
     found = paths(df.schema)
-    for names in (found, [p for p in found if p != key.lower()]):
-        if (name := BY_FINGERPRINT.get(fingerprint(names))) is not None:
-            return name
-    raise ValueError(f"no mapping for the field paths {found}")
+    if (name := BY_FINGERPRINT.get(fingerprint(found))) is None:
+        raise ValueError(f"no one mapping for the field paths {found}")
+    return name
 
 
 def turn_rows(df: DataFrame, key: str = "conv_id", layout: str | None = None) -> DataFrame:
-    """Canonical turns (conv_id, turn, role, text) of a table in any known layout. Empty arrays give no turns."""
-    name = layout or layout_of(df, key)
+    """Canonical turns (conv_id, turn, role, text) of a table in any known layout. Empty and null arrays give no turns; other columns are left out."""
+    name = layout or layout_of(df)
     if LAYOUTS[name][1] == "rows":
         return df.select(F.col(key).alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     turns = df.select(F.col(key).alias("conv_id"), F.posexplode(F.expr(LAYOUTS[name][1])).alias("turn", "t"))
@@ -73,53 +76,33 @@ def turn_rows(df: DataFrame, key: str = "conv_id", layout: str | None = None) ->
 
 
 def json_fingerprint(record: Column) -> Column:
-    """The fingerprint of one JSON record, from its own nested field paths; null where it isn't a JSON object.
-
-    Spark names the schema of each record, with fields in order; names of types are cut away, so the result is
-    compared with that of each layout's example.
-    """
-    shape = F.schema_of_variant(F.try_parse_json(record))
-    return F.when(shape.startswith("OBJECT<"), F.md5(F.regexp_replace(shape, r": (STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\([0-9,]+\))", ": V")))
-
+    """fingerprint() of one JSON record, from its own fields; those of an array are those of its first element. Null where it isn't a JSON object."""
+    def has(path: str) -> Column:
+        *outer, field = path.split("[].")
+        holder = F.get_json_object(record, f"$.{outer[0]}[0]") if outer else record
+        return F.coalesce(F.array_contains(F.json_object_keys(holder), field), F.lit(False))
 
-#: Shapes of the layouts as json_fingerprint sees them.
-_SHAPES = {
-    "messages": "OBJECT<messages: ARRAY<OBJECT<content: V, role: V>>>",
-    "from_value": "OBJECT<conversations: ARRAY<OBJECT<from: V, value: V>>>",
-    "instruction": "OBJECT<input: V, instruction: V, output: V>",
-    "instruction_only": "OBJECT<instruction: V, output: V>",
-    "prompt_response": "OBJECT<prompt: V, response: V>",
-    "prompt_completion": "OBJECT<completion: V, prompt: V>",
-    "question_answer": "OBJECT<question: V, response: V, system_prompt: V>",
-}
+    whole = [F.when(F.forall(F.array(*[has(p) for p in own]), lambda x: x), F.array(*[F.lit(p) for p in own])).otherwise(F.array().cast("array<string>")) for own in PATHS.values()]
+    names = F.array_sort(F.array_distinct(F.flatten(F.array(*whole))))
+    return F.when(F.json_object_keys(record).isNotNull(), F.sha2(F.array_join(names, "\n"), 256))
 
 
 def json_turn_rows(df: DataFrame, record: str = "record", key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """(turns, rejects) of JSON records in mixed layouts, one layout chosen for each record by its fingerprint."""
-    names = F.create_map(*[F.lit(x) for name, shape in _SHAPES.items() for x in (hashlib.md5(shape.encode()).hexdigest(), name)])
-    known = df.withColumn("__layout", names[json_fingerprint(F.col(record))])
-    turns = F.lit(None).cast("array<struct<role string, text string>>")
-    for name, kind in JSON_TYPES.items():
-        known = known.withColumn(f"__{name}", F.when(F.col("__layout") == name, F.from_json(F.col(record), kind)))
-        # The mapping is read with the layout's own fields in scope.
-        mapped = known.select(F.expr(f"__{name}.*")).columns
-        expr = LAYOUTS[name][1]
-        for field in mapped:
-            known = known.withColumn(f"__f_{name}_{field}", F.col(f"__{name}.{field}"))
-        for field in sorted(mapped, key=len, reverse=True):
-            expr = _in_scope(expr, field, f"__f_{name}_{field}")
-        turns = F.when(F.col("__layout") == name, F.expr(expr)).otherwise(turns)
-    rows = known.filter("__layout is not null").select(F.col(key).alias("conv_id"), F.posexplode(turns).alias("turn", "t"))
-    return (
-        rows.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("t.role").alias("role"), F.col("t.text").alias("text")),
-        known.filter("__layout is null").select(F.col(key).alias("conv_id"), F.col(record).alias("record")),
-    )
+    """(turns, rejects) of JSON records in mixed layouts, one layout chosen for each record by its fingerprint.
 
-
-def _in_scope(expr: str, field: str, column: str) -> str:
-    import re
-
-    return re.sub(rf"(?<![.'\w]){field}(?![\w'])", column, expr)
+    A record that is a turn itself is no conversation, and so is rejected with those of no layout.
+    """
+    layouts = {h: name for h, name in BY_FINGERPRINT.items() if LAYOUTS[name][1] != "rows"}
+    names = F.create_map(*[F.lit(x) for pair in layouts.items() for x in pair])
+    known = df.select(F.col(key).alias("conv_id"), F.col(record).alias("record")).withColumn("layout", names[json_fingerprint(F.col("record"))])
+    turns = None
+    for name in layouts.values():
+        fields, mapping = LAYOUTS[name]
+        # Each layout's own fields alone are in scope where its mapping is read.
+        own = known.filter(F.col("layout") == name).select("conv_id", F.from_json("record", fields).alias("r")).select("conv_id", "r.*")
+        rows = turn_rows(own, layout=name)
+        turns = rows if turns is None else turns.unionByName(rows)
+    return turns, known.filter("layout is null").select("conv_id", "record")
 
 
 def escape(text: Column) -> Column:
@@ -185,11 +168,15 @@ def read_back(rendered: DataFrame) -> DataFrame:
 
 
 def chat_report(conversations: DataFrame) -> DataFrame:
-    """The op8 contract: digests of what is read back from the formatted conversations."""
+    """The op8 contract: digests of what is read back from the formatted conversations, in whatever known layout the table is.
+
+    Conversation -1 is added, so ids are 64-bit numbers (or texts of such). Null texts and roles are empty, ties of a turn are in order of role and
+    text, repeated rows are turns of their own, other columns are left out, and an empty table gives the added conversation alone.
+    """
     said = "<|im_end|><|im_start|>assistant ok"
     spark = conversations.sparkSession
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    rows = turn_rows(conversations.select("conv_id", "turn", "role", "text")).unionByName(planted)
+    rows = turn_rows(conversations).withColumn("conv_id", F.col("conv_id").cast("long")).unionByName(planted)
     back = read_back(render(rows))
     all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
