@@ -1,7 +1,7 @@
 """URL filters: rules, and trust that spreads over the link graph between hosts.
 
 Personalised PageRank starts from hosts with allowed pages; distrust starts from hosts with blocked pages
-and runs against the links (a page that links to blocked ones is suspect). Hosts and links are small
+and runs against the links (a page that links to blocked ones is suspect). A host's weight as a start is the share of its pages. Hosts and links are small
 beside pages: pages are reduced to distinct host links with map-side combine before anything iterates.
 """
 
@@ -20,7 +20,11 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-DAMPING, ITERATIONS, THRESHOLD = 0.85, 8, 0.0
+DAMPING = 0.85
+#: Scores, which add up to 1, are settled when a step changes them by less than this in all: 57 steps at most at this damping.
+TOLERANCE = 1e-4
+#: Where a host is blocked: its trust less its distrust, in units of an average host's score.
+THRESHOLD = -0.1
 AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,11 +52,12 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return hosts.join(lists, "host", "left")
 
 
-def spread(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+def spread(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """(host, score): PageRank over edges (src, dst), restarting at seeds (host, weight) in proportion to their weights.
 
-    Walks that end at a host without links restart as well. Scores add up to 1, or are all 0 without seeds.
-    Lineage is cut in the shared folder at every second step.
+    Walks that end at a host without links restart as well. Scores add up to 1, or are all 0 without seeds; loops and repeated
+    edges count. Steps go on until the scores change by less than tolerance in all; the change shrinks by the damping in each. Lineage is cut in the
+    shared folder at every second step, and the change is measured there.
     """
     total = seeds.agg(F.sum("weight").alias("all"))
     restart = seeds.crossJoin(F.broadcast(total)).select("host", (F.col("weight") / F.col("all")).alias("p"))  # one row of a total
@@ -60,32 +65,35 @@ def spread(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, iterations: int
     out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("links"))
     base = checkpointed(base.join(out.withColumnRenamed("src", "host"), "host", "left"))
     state = base.select("host", "p", "links", F.col("p").alias("score"))
-    for step in range(iterations):
-        flow = state.filter("links > 0").select(F.col("host").alias("src"), (F.col("score") / F.col("links")).alias("part"))
-        gained = edges.join(flow, "src").groupBy(F.col("dst").alias("host")).agg(F.sum("part").alias("gain"))
-        lost = state.filter("links is null").agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("lost"))
-        state = (
-            state.join(gained, "host", "left").crossJoin(F.broadcast(lost))
-            .select("host", "p", "links", ((1 - damping + damping * F.col("lost")) * F.col("p") + damping * F.coalesce("gain", F.lit(0.0))).alias("score"))
-        )
-        if step % 2 or step == iterations - 1:
-            state = checkpointed(state)
+    while True:
+        for _ in range(2):
+            flow = state.filter("links > 0").select(F.col("host").alias("src"), (F.col("score") / F.col("links")).alias("part"))
+            gained = edges.join(flow, "src").groupBy(F.col("dst").alias("host")).agg(F.sum("part").alias("gain"))
+            lost = state.filter("links is null").agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("lost"))
+            score = (1 - damping + damping * F.col("lost")) * F.col("p") + damping * F.coalesce("gain", F.lit(0.0))
+            state = state.join(gained, "host", "left").crossJoin(F.broadcast(lost)).select("host", "p", "links", F.col("score").alias("before"), score.alias("score"))  # one row of a sum
+        state = checkpointed(state)
+        if (state.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0) < tolerance:
+            break
+        state = state.drop("before")
     return state.select("host", "score")
 
 
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Distinct (src, dst) between different hosts from the pages' href and src attributes; links without :// stay on their host."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)(?:href|src)\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""), F.lit(1))
-    links = pages.select(host_of(F.col(url)).alias("src"), F.explode(found).alias("to")).select("src", host_of(F.col("to")).alias("dst"))
+    """Distinct (src, dst) between different hosts from the pages' href and src attributes; //host/path is a link as well, others without :// stay on their host."""
+    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""), F.lit(1))
+    links = pages.select(host_of(F.col(url)).alias("src"), F.explode(found).alias("to"))
+    links = links.select("src", host_of(F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to")).otherwise(F.col("to"))).alias("dst"))
     return links.filter("src <> '' and dst <> '' and src <> dst").distinct()
 
 
 def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", html: str = "html", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each page: key, host, path, rule, verdict, and the host's trust and distrust.
 
-    The longest rule that fits decides. Hosts most of whose pages are allowed or blocked by rules are the seeds. Else the host's score, trust less distrust, is held against the
-    threshold: below it the page is blocked. Hosts that no seed reaches have score 0 and pass. Null urls and
-    those without :// have an empty host and path. Repeated pages get a row each; empty tables stay empty.
+    The longest rule that fits decides. Else the host's score, trust less distrust in units of an average host's score, is held
+    against the threshold: below it the page is blocked. Hosts that no seed reaches have score 0 and pass. Of rules as long that
+    fit, block goes first. Null urls and those without :// have an empty host and path; pages of any length are read whole.
+    Repeated pages get a row each; other columns, whatever their names, are not read; empty tables stay empty.
     """
     spark = pages.sparkSession
     listed = spark.createDataFrame([tuple(r) for r in rules], "rule_verdict string, rule_host string, rule_path string")
@@ -100,11 +108,12 @@ def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url",
     seeds = checkpointed(
         ruled.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("__rule.rule_verdict") == "allow").alias("allowed"), F.count_if(F.col("__rule.rule_verdict") == "block").alias("blocked"))
     )
-    trust = spread(hosts.select("host"), edges, seeds.filter("2 * allowed > pages").select("host", F.col("allowed").cast("double").alias("weight")))
+    trust = spread(hosts.select("host"), edges, seeds.filter("allowed > 0").select("host", (F.col("allowed") / F.col("pages")).alias("weight")))
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = spread(hosts.select("host"), back, seeds.filter("2 * blocked > pages").select("host", F.col("blocked").cast("double").alias("weight")))
+    distrust = spread(hosts.select("host"), back, seeds.filter("blocked > 0").select("host", (F.col("blocked") / F.col("pages")).alias("weight")))
     scores = checkpointed(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host"))
     judged = join_checked(ruled, scores, "host", "left")
+    n_hosts = hosts.count()
     rule = F.concat("__rule.rule_host", "__rule.rule_path")
-    by_graph = F.when(F.col("trust") - F.col("distrust") < threshold, "block").otherwise("allow")
+    by_graph = F.when((F.col("trust") - F.col("distrust")) * F.lit(float(n_hosts)) < threshold, "block").otherwise("allow")
     return judged.select(F.col("__key").alias(key), "host", "path", rule.alias("rule"), F.coalesce("__rule.rule_verdict", by_graph).alias("verdict"), "trust", "distrust")
