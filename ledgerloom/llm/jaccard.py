@@ -270,7 +270,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = links.union(_verified(checkpointed(candidates(sets, open_)), sets))
 
     part = checkpointed(_rooted(classes.select("id", "a", "b", "least"), links))
-    smallest = part.groupBy("root").agg(F.min("least").alias("component_id"))
+    smallest = checkpointed(part.groupBy("root").agg(F.min("least").alias("component_id")))  # so that the join deals both sides anew, and can split a large component
     member = checkpointed(part.join(smallest, "root").select("a", "b", "component_id"))
     # Rows without words have the name of the empty set, which is no class; their own keys spread them over the join.
     out = rows.select("key", "n", F.when(F.col("n") > 0, F.col("a")).otherwise(F.xxhash64("key")).alias("a"), F.when(F.col("n") > 0, F.col("b")).alias("b"))
