@@ -63,6 +63,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Python and in the JVM, is collected, which can be long after: so both are asked for.
     """
     shared_folder(df.sparkSession)
+    send_library(df.sparkSession)
     out = df.checkpoint()
     del df
     gc.collect()
