@@ -1,0 +1,33 @@
+"""Gapless places of rows in an order, within groups of any size, without a task that sees a whole group."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ledgerloom.plans.common import checkpointed, join_checked
+
+_ROW_BITS = 33
+
+
+def placed(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """rows with pos (from 0) in the order within their group, and n, the group's size. The group's column must not be null.
+
+    Rows are dealt by ranges of (group, order) and sorted there; a row's place is its place in its range and the number of
+    rows of its group in the ranges before, of which there is one count for each group and range. Ties get any places, so
+    order by what tells rows apart. rows is evaluated twice, so pass what is stored.
+    """
+    spark = rows.sparkSession
+    keys = [F.col(group), *order]
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id())
+    dealt = checkpointed(dealt)  # a range's number and the places in it are fixed from here on
+    part = F.shiftright("__at", _ROW_BITS)
+    dealt = dealt.withColumn("__part", part)
+    runs = dealt.groupBy(group, "__part").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__k"))
+    before = Window.partitionBy(group).orderBy("__part")
+    whole = Window.partitionBy(group)
+    offsets = runs.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), "__first", (F.sum("__k").over(before) - F.col("__k")).alias("__before"), F.sum("__k").over(whole).alias("n"))
+    offsets = checkpointed(offsets)
+    found = join_checked(dealt, offsets, (F.col(group) == F.col("__g")) & (F.col("__part") == F.col("__p")))
+    return found.withColumn("pos", F.col("__at") - F.col("__first") + F.col("__before")).drop("__at", "__part", "__first", "__before", "__g", "__p")
