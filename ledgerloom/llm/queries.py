@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, dedup, jaccard, leaks, licenses, merkle, mixing, sharding, spans, toxicity, urls, variants
+from ledgerloom.llm import chat, dedup, jaccard, leaks, licenses, merkle, mixing, sharding, spans, toxicity, urls, variants, vectors
 from ledgerloom.plans.common import table
 
 
@@ -53,11 +54,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(table(spark, sf_dir, "documents"))
 
 
+def op12_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_ngram_jaccard_join, op3_source_mixing, op4_benchmark_decontamination, op5_toxicity, op6_license_scan, op7_exact_dedup, op8_chat_format, op9_url_filter, op10_substring_dedup, op11_merkle_manifest, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_ngram_jaccard_join, op3_source_mixing, op4_benchmark_decontamination, op5_toxicity, op6_license_scan, op7_exact_dedup, op8_chat_format, op9_url_filter, op10_substring_dedup, op11_merkle_manifest, op12_top_k_search, op13_spelling_variants)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES = {
@@ -69,5 +74,6 @@ FROM r WINDOW w AS (PARTITION BY t)
 """,
     "op8_chat_format": chat.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_top_k_search": vectors.ORACLE,
     "op13_spelling_variants": variants.ORACLE,
 }
