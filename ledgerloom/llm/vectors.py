@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from ledgerloom.plans.common import checkpointed
 #: Routing vectors of the order of blocks: a sample of at most so many, wherever the rest of the index covers all rows.
 ROUTERS = 256
 #: Vectors of a block, queries that meet it together, and vectors of a page.
-BLOCK, QUERIES, PAGE = 8192, 4096, 64
+BLOCK, QUERIES, PAGE = 8192, 4096, 512
 #: Children of a node.
 FAN = 16
 #: Blocks and queries whose bounds are compared together.
@@ -58,20 +59,31 @@ def bound(q2: float | np.ndarray, x2: float | np.ndarray, far: float | np.ndarra
     return (q2 + x2 - low * low) / 2 + 0.25 + 1e-12 * (q2 + x2)
 
 
-class Tree:
-    """An M-tree over the rows of a table of whole numbers.
+class Node(NamedTuple):
+    """Routing row, covering radius, distance to the parent's routing row, the largest squared norm, and either children or a page.
 
-    A node has its routing row, covering radius, distance to its parent's routing row, the largest squared norm, and either
-    its children or a page: rows, and their distances to the routing row.
+    below has of all children their numbers, routing vectors, radii, distances to this routing row and norms; page has rows,
+    their distances to the routing row, vectors and norms.
     """
 
+    route: int
+    radius: float
+    up: float
+    n2: float
+    below: tuple[np.ndarray, ...] | None
+    page: tuple[np.ndarray, ...] | None
+
+
+class Tree:
+    """An M-tree over the rows of a table of whole numbers."""
+
     def __init__(self, table: np.ndarray, least: list[int]):
         """least: of each row the key by which it goes before others of the same score."""
         self.whole, self.least = table, least
         self.table = table.astype(np.float64)
         self.n2 = (self.table * self.table).sum(1)
         self.most = max(abs(int(table.max(initial=0))), abs(int(table.min(initial=0))))
-        self.nodes: list[tuple] = []
+        self.nodes: list[Node] = []
         self.root = self._build(np.arange(len(table)), None)
 
     def _build(self, rows: np.ndarray, parent: int | None) -> int:
@@ -82,17 +94,19 @@ class Tree:
         inner = len(rows) > PAGE and here.max() > 0
         below: list[int] = []
         if inner:
-            seeds = [int(np.argmax(here))]  # children lie around rows far from each other
-            near = _distances(own, own[seeds])[:, 0]
-            while len(seeds) < FAN and near.max() > 0:
-                seeds.append(int(np.argmax(near)))
-                near = np.minimum(near, _distances(own, own[seeds[-1:]])[:, 0])
+            # Children lie around rows at all distances from the middle, so that they get about as many rows.
+            seeds = np.argsort(here, kind="stable")[np.linspace(0, len(rows) - 1, min(FAN, 1 + 2 * len(rows) // PAGE)).astype(int)]
             side = np.argmin(_distances(own, own[seeds]), 1)
             parts = [rows[side == x] for x in range(len(seeds))]
             parts = parts if max(map(len, parts)) < len(rows) else np.array_split(rows, FAN)
             below = [self._build(p, route) for p in parts if len(p)]
-        self.nodes.append((route, float(here.max()), up, float(self.n2[rows].max()), below, None if inner else rows, None if inner else here))
-        return len(self.nodes) - 1
+        at = len(self.nodes)
+        if inner:
+            held = (np.array(below), self.table[[self.nodes[x].route for x in below]], *(np.array([getattr(self.nodes[x], f) for x in below]) for f in ("radius", "up", "n2")))
+            self.nodes.append(Node(route, float(here.max()), up, float(self.n2[rows].max()), held, None))
+        else:
+            self.nodes.append(Node(route, float(here.max()), up, float(self.n2[rows].max()), None, (rows, here, own, self.n2[rows])))
+        return at
 
     def best(self, query: np.ndarray, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
         """(score, row) of the k rows of largest score, ties by least, as far as they reach floor."""
@@ -102,32 +116,38 @@ class Tree:
         exact = sums < 1 << 53  # else in Python's integers
         held: list[tuple[int, int, int]] = []  # (score, -least, row) of the k best so far, the worst first
         first = self.nodes[self.root]
-        d = float(_distances(q, self.table[[first[0]]])[0, 0])
-        queue = [(-float(bound(q2, first[3], max(0.0, d - first[1]))), self.root, d)]
+        d = float(_distances(q, self.table[[first.route]])[0, 0])
+        queue = [(-float(bound(q2, first.n2, max(0.0, d - first.radius))), self.root, d)]
         while queue:
             most, at, d = heapq.heappop(queue)
             if -most < floor:
                 break
-            _, _, _, _, below, rows, here = self.nodes[at]
-            if rows is not None:
-                some = rows[bound(q2, self.n2[rows], np.abs(d - here)) >= floor]  # of the others no distance is computed
-                scores = (self.table[some] @ q[0]).tolist() if exact else (self.whole[some].astype(object) @ query.astype(object)).tolist()
-                for score, row in zip(map(int, scores), some.tolist(), strict=True):
-                    if score >= floor:
-                        entry = (score, -self.least[row], row)
-                        if len(held) < k:
-                            heapq.heappush(held, entry)
-                        elif entry > held[0]:
-                            heapq.heapreplace(held, entry)
-                        if len(held) == k:
-                            floor = max(floor, held[0][0])
+            node = self.nodes[at]
+            if node.page is not None:
+                rows, here, own, n2 = node.page
+                some = np.flatnonzero(bound(q2, n2, np.abs(d - here)) >= floor)  # the others are no answer, and if they are many no product of theirs is computed
+                scores = (own[some] @ q[0] if 2 * len(some) < len(rows) else (own @ q[0])[some]) if exact else np.array([int(x) for x in self.whole[rows[some]].astype(object) @ query.astype(object)], object)
+                good = scores >= floor
+                if np.count_nonzero(good) > k:
+                    good &= scores >= sorted(scores[good].tolist())[-k]
+                for score, row in zip(map(int, scores[good].tolist()), rows[some[good]].tolist(), strict=True):
+                    entry = (score, -self.least[row], row)
+                    if len(held) < k:
+                        heapq.heappush(held, entry)
+                    elif entry > held[0]:
+                        heapq.heapreplace(held, entry)
+                if len(held) == k:
+                    floor = max(floor, held[0][0])
                 continue
+            below, routes, radius, up, n2 = node.below
             # Children that their distance to this node's routing row rules out are not looked at.
-            ways = [x for x in below if bound(q2, self.nodes[x][3], max(0.0, abs(d - self.nodes[x][2]) - self.nodes[x][1])) >= floor]
-            for x, far in zip(ways, _distances(q, self.table[[self.nodes[x][0] for x in ways]])[0].tolist() if ways else [], strict=True):
-                limit = float(bound(q2, self.nodes[x][3], max(0.0, far - self.nodes[x][1])))
-                if limit >= floor:
-                    heapq.heappush(queue, (-limit, x, far))
+            ways = np.flatnonzero(bound(q2, n2, np.maximum(np.abs(d - up) - radius, 0)) >= floor)
+            if len(ways):
+                far = _distances(q, routes[ways])[0]
+                limits = bound(q2, n2[ways], np.maximum(far - radius[ways], 0))
+                for limit, x, away in zip(limits.tolist(), below[ways].tolist(), far.tolist(), strict=True):
+                    if limit >= floor:
+                        heapq.heappush(queue, (-limit, x, away))
         return [(score, row) for score, _, row in held if score >= floor]
 
 
