@@ -4,7 +4,7 @@ Rows are leaves. Each source has a tree in which every three consecutive nodes h
 are the leaves of one tree above them. A changed leaf makes a new version of the tree that shares all nodes but the leaf's
 ancestors, which are copied; so a version costs one node a level, however large the tree is.
 
-A tree is cut into aligned blocks of 3^LEVELS leaves. One task holds one block: it builds the block's nodes, and copies the
+A tree is cut into aligned blocks of 3^levels leaves. One task holds one block: it builds the block's nodes, and copies the
 ancestors of each changed leaf up to the block's root. The roots of the blocks are the leaves of the next blocks, until one is
 left. What a node needs from above its block, the siblings of its block's ancestors, is one short list for the whole block.
 """
@@ -23,7 +23,6 @@ from ledgerloom.plans.common import checkpointed, join_checked
 ARITY = 3
 #: Levels of a block, which has 729 leaves at most.
 LEVELS = 6
-_WIDE = ARITY**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -42,10 +41,10 @@ def joined(digests: list[str]) -> str:
     return sha256("".join(digests).encode()).hexdigest()
 
 
-def nodes_of(leaves: list[str], whole: bool) -> list[list[str]]:
-    """All levels of a block's nodes, leaves first. whole: the block is a tree of its own and ends at one node; else it has LEVELS levels."""
+def nodes_of(leaves: list[str], n: int, depth: int) -> list[list[str]]:
+    """All levels of a block's nodes, leaves first. A tree of n leaves that fits a block ends at one node; else each block is depth levels high."""
     levels = [leaves]
-    while len(levels[-1]) > 1 if whole else len(levels) <= LEVELS:
+    while len(levels[-1]) > 1 if n <= ARITY**depth else len(levels) <= depth:
         below = levels[-1]
         levels.append([joined(below[i : i + ARITY]) for i in range(0, len(below), ARITY)])
     return levels
@@ -72,43 +71,44 @@ def version(above: list[tuple[list[str], list[str]]], changed: str) -> list[str]
 _ABOVE = "array<struct<l: array<string>, r: array<string>>>"
 
 
-def _block_roots(nodes: DataFrame) -> DataFrame:
+def _block_roots(nodes: DataFrame, depth: int) -> DataFrame:
     """(tree, pos, n, digest) of the blocks of nodes (tree, block, pos, n, digest): pos counts blocks."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("pos")
         n = rows["n"][0].as_py()
-        top = nodes_of(rows["digest"].to_pylist(), n <= _WIDE)[-1][0]
-        return pa.table({"tree": rows["tree"][:1], "pos": rows["block"][:1], "n": pa.array([-(-n // _WIDE)], pa.int64()), "digest": [top]})
+        top = nodes_of(rows["digest"].to_pylist(), n, depth)[-1][0]
+        return pa.table({"tree": rows["tree"][:1], "pos": rows["block"][:1], "n": pa.array([-(-n // ARITY**depth)], pa.int64()), "digest": [top]})
 
     return nodes.groupBy("tree", "block").applyInArrow(run, "tree string, pos long, n long, digest string")
 
 
-def _paths(nodes: DataFrame) -> DataFrame:
+def _paths(nodes: DataFrame, depth: int) -> DataFrame:
     """(tree, pos, above, root) of few nodes (tree, pos, n, digest): siblings of each from its own level to the root.
 
-    The rows are block roots, one for _WIDE leaves, or one a source. Blocks are held one at a time; where a tree has more than
+    The rows are block roots, or one a source. Blocks are held one at a time; where a tree has more than
     one block, their roots are taken in the same way, and their siblings follow.
     """
-    nodes = nodes.withColumn("block", F.expr(f"pos div {_WIDE}"))
+    wide = ARITY**depth
+    nodes = nodes.withColumn("block", F.expr(f"pos div {wide}"))
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("pos")
-        levels = nodes_of(rows["digest"].to_pylist(), rows["n"][0].as_py() <= _WIDE)
+        levels = nodes_of(rows["digest"].to_pylist(), rows["n"][0].as_py(), depth)
         above = [[{"l": a, "r": b} for a, b in siblings_of(levels, i)] for i in range(rows.num_rows)]
         kind = pa.list_(pa.struct([("l", pa.list_(pa.string())), ("r", pa.list_(pa.string()))]))
         return pa.table({"tree": rows["tree"], "block": rows["block"], "pos": rows["pos"], "n": rows["n"], "above": pa.array(above, kind), "root": pa.array([levels[-1][0]] * rows.num_rows)})
 
     own = checkpointed(nodes.groupBy("tree", "block").applyInArrow(run, f"tree string, block long, pos long, n long, above {_ABOVE}, root string"))
-    if own.filter(F.col("n") > _WIDE).isEmpty():
+    if own.filter(F.col("n") > wide).isEmpty():
         return own.select("tree", "pos", "above", "root")
     tops = own.groupBy("tree", "block").agg(F.first("root").alias("digest"), F.first("n").alias("n"))
-    upper = _paths(tops.select("tree", F.col("block").alias("pos"), F.expr(f"(n + {_WIDE - 1}) div {_WIDE}").alias("n"), "digest"))
+    upper = _paths(tops.select("tree", F.col("block").alias("pos"), F.expr(f"(n + {wide - 1}) div {wide}").alias("n"), "digest"), depth)
     upper = checkpointed(upper.select(F.col("tree").alias("__t"), F.col("pos").alias("__b"), F.col("above").alias("__above"), F.col("root").alias("__root")))
     both = join_checked(own, upper, (F.col("tree") == F.col("__t")) & (F.col("block") == F.col("__b")))
     return both.select("tree", "pos", F.concat("above", "__above").alias("above"), F.col("__root").alias("root"))
 
 
-def manifest(docs: DataFrame, changed: Column, changes: dict[str, Column], key: str = "doc_id", tree: str = "source", fields: tuple[str, ...] = FIELDS) -> DataFrame:
+def manifest(docs: DataFrame, changed: Column, changes: dict[str, Column], key: str = "doc_id", tree: str = "source", fields: tuple[str, ...] = FIELDS, depth: int = LEVELS) -> DataFrame:
     """One row for each of docs: key, leaf, subroot, root, proof_sha256, folded_root and verified.
 
     Leaves of a tree ascend by key. changed says which rows a later copy of the data may hold in another form, changes what
@@ -118,7 +118,7 @@ def manifest(docs: DataFrame, changed: Column, changes: dict[str, Column], key:
     A null tree comes first, then trees by bytes. Rows that repeat a key are leaves of their own, in the order of their leaf's
     digest, so equal rows may change places and nothing else changes; null keys come first. Null fields differ from empty
     ones. Texts are hashed whole where they lie, and only digests are shuffled. An empty table gives no rows and has no root.
-    Other columns are not read. Each of fields must exist.
+    Other columns are not read. Each of fields must exist. Blocks are depth levels high.
     """
     c = F.col
     name = F.coalesce(F.concat(F.lit("s"), c(tree).cast("string")), F.lit(""))
@@ -127,18 +127,18 @@ def manifest(docs: DataFrame, changed: Column, changes: dict[str, Column], key:
     rows = docs.select(c(key).cast("long").alias("key"), name.alias("tree"), digest.alias("leaf"), F.when(F.coalesce(changed, F.lit(False)), leaf(after)).alias("later"))
     rows = rows.withColumn("later", F.nullif("later", "leaf"))
     leaves = placed(checkpointed(rows), "tree", [c("key"), c("leaf")])
-    leaves = checkpointed(leaves.withColumn("block", F.expr(f"pos div {_WIDE}")))
-    below = checkpointed(_block_roots(leaves.select("tree", "block", "pos", "n", c("leaf").alias("digest"))))
-    upper = checkpointed(_paths(below).withColumnRenamed("root", "subroot"))
+    leaves = checkpointed(leaves.withColumn("block", F.expr(f"pos div {ARITY**depth}")))
+    below = checkpointed(_block_roots(leaves.select("tree", "block", "pos", "n", c("leaf").alias("digest")), depth))
+    upper = checkpointed(_paths(below, depth).withColumnRenamed("root", "subroot"))
     subroots = checkpointed(upper.groupBy("tree").agg(F.first("subroot").alias("digest")))
     sources = checkpointed(placed(subroots.select(F.lit("").alias("all"), c("tree").alias("name"), "digest"), "all", [c("name")]))
-    tops = _paths(sources.select(c("all").alias("tree"), "pos", "n", "digest"))
+    tops = _paths(sources.select(c("all").alias("tree"), "pos", "n", "digest"), depth)
     named = checkpointed(sources.select(c("name").alias("__tree"), c("pos").alias("__pos")).join(tops.select(c("pos").alias("__p"), c("above").alias("__above"), "root"), F.expr("__pos = __p")).drop("__p", "__pos"))
     heads = join_checked(upper, named, c("tree") == c("__tree")).select("tree", c("pos").alias("block"), F.concat("above", "__above").alias("above"), "subroot", "root")
 
     def run(table: pa.Table, head: pa.Table) -> pa.Table:
         rows, (head,) = table.sort_by("pos"), head.to_pylist()
-        levels = nodes_of(rows["leaf"].to_pylist(), rows["n"][0].as_py() <= _WIDE)
+        levels = nodes_of(rows["leaf"].to_pylist(), rows["n"][0].as_py(), depth)
         rest = [(x["l"], x["r"]) for x in head["above"]]
         shared = "".join(d for x in rest for side in x for d in side).encode()
         proofs, folded = [], []
@@ -155,10 +155,10 @@ def manifest(docs: DataFrame, changed: Column, changes: dict[str, Column], key:
     return out.select(c("key").alias(key), "leaf", "subroot", "root", "proof_sha256", "folded_root", (c("folded_root") == c("root")).alias("verified"))
 
 
-def manifest_report(docs: DataFrame) -> DataFrame:
+def manifest_report(docs: DataFrame, depth: int = LEVELS) -> DataFrame:
     """manifest() of documents, of which those whose doc_id's CRC-32 is even may have lost their line feeds."""
     odd = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
-    return manifest(docs, odd, {"text": F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(""))})
+    return manifest(docs, odd, {"text": F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(""))}, depth=depth)
 
 
 #: CRC-32 of {x}, text of ASCII or UTF-8, in SQL that has lambdas and no such function: byte by byte, by the list crc_t of the one row of `crc`.
