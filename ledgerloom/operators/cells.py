@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.units import confidence
+
 CELL = ["form_code", "indicator_raw", "series", "province", "year"]
 
 
@@ -33,9 +35,9 @@ def series_for(v: DataFrame, form: str, indicator: str, province: str | None = N
     return own.groupBy("series").agg(F.countDistinct("province").alias("provinces"), F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("provinces"), F.desc("row_count"), "series")
 
 
-def pick_series(v: DataFrame, form: str, indicator: str, series: str | None = None) -> str:
-    """The series asked for, or the only one; otherwise ValueError with the menu."""
-    menu = [r["series"] for r in series_for(v, form, indicator).limit(50).collect()]
+def pick_series(v: DataFrame, form: str, indicator: str, series: str | None = None, province: str | None = None) -> str:
+    """The series asked for, or the only one, of one publisher if given; otherwise ValueError with the menu."""
+    menu = [r["series"] for r in series_for(v, form, indicator, province).limit(50).collect()]
     if series is not None and series in menu:
         return series
     if series is None and len(menu) == 1:
@@ -51,18 +53,22 @@ def coverage_gap(rows: DataFrame, dim: DataFrame, key: str = "province") -> Data
     return counts.crossJoin(missing)  # one row each
 
 
+def _flag(odd: Column) -> Column:
+    """What is wrong with a cell: several figures, one out of all magnitude, or one that can't be an amount of money."""
+    several = (F.col("n") > 1) & (F.col("lo") != F.col("hi"))
+    return F.when(several, "AMBIGUOUS").when(odd, "MAGNITUDE?").otherwise(confidence(F.col("lo"), F.col("series"), F.col("unit")))
+
+
 def timeseries(v: DataFrame, form: str, indicator: str, series: str, province: str | None = None) -> DataFrame:
-    """Every (or one) publisher's yearly figures; AMBIGUOUS cells are blank with their range; MAGNITUDE? where a history spans a hundredfold."""
+    """Every (or one) publisher's yearly figures; AMBIGUOUS cells are blank with their range; MAGNITUDE? where a history of positive figures spans more than a hundredfold."""
     c = cells(v, form, indicator, series, province)
-    own = Window.partitionBy("province")
-    low, high = F.min(F.when(F.col("lo") > 0, F.col("lo"))).over(own), F.max(F.when(F.col("lo") > 0, F.col("lo"))).over(own)
-    flagged = c.withColumn("amb", (F.col("n") > 1) & (F.col("lo") != F.col("hi"))).withColumn("off", F.coalesce(high > low * 100, F.lit(False)))
-    flag = F.when(F.col("amb"), "AMBIGUOUS").when(F.col("off"), "MAGNITUDE?").otherwise("")
-    return flagged.select("province", "year", F.when(~F.col("amb"), F.col("hi")).alias("vnd"), "lo", "hi", flag.alias("flag"))
+    own, positive = Window.partitionBy("province"), F.when(F.col("lo") > 0, F.col("lo"))
+    flagged = c.withColumn("flag", _flag(F.coalesce(F.max(positive).over(own) > F.min(positive).over(own) * 100, F.lit(False))))
+    return flagged.select("province", "year", F.when(F.col("flag") != "AMBIGUOUS", F.col("lo")).alias("vnd"), "lo", "hi", "n", "flag")
 
 
 def compare_publishers(v: DataFrame, form: str, indicator: str, series: str, year: int | None = None) -> DataFrame:
-    """Publishers by figure in the given year, or the one that most publish (the latest of several); with flags."""
+    """Publishers by figure in the given year, or the one that most publish (the latest of several); MAGNITUDE? below a hundredth of the median of positive ones. A published 0 is a figure."""
     c = cells(v, form, indicator, series)
     if year is None:
         best = c.groupBy("year").agg(F.countDistinct("province").alias("k")).agg(F.max_by("year", F.struct("k", "year")).alias("__y"))
@@ -70,22 +76,29 @@ def compare_publishers(v: DataFrame, form: str, indicator: str, series: str, yea
     else:
         c = c.filter(F.col("year") == year)
     positive = c.filter("lo > 0").agg(upper_median("lo").alias("median"))
-    flag = F.when((F.col("n") > 1) & (F.col("lo") != F.col("hi")), "AMBIGUOUS").when(F.col("lo") * 100 < F.col("median"), "MAGNITUDE?").otherwise("")
-    return c.crossJoin(F.broadcast(positive)).select("province", "year", "lo", "hi", flag.alias("flag"))  # one row of a median
+    low = F.coalesce((F.col("lo") != 0) & (F.col("lo") * 100 < F.col("median")), F.lit(False))
+    return c.crossJoin(F.broadcast(positive)).select("province", "year", "lo", "hi", "n", _flag(low).alias("flag"))  # one row of a median
+
+
+def medians(v: DataFrame, form: str, series: str) -> DataFrame:
+    """(province, indicator_raw, median): upper median of a publisher's positive figures of a label, of three or more."""
+    pos = v.filter((F.col("form_code") == form) & (F.col("series") == series) & (F.col("vnd") > 0))
+    return pos.groupBy("province", "indicator_raw").agg(upper_median("vnd").alias("median"), F.count(F.lit(1)).alias("n")).filter("n >= 3").drop("n")
 
 
 def cell_medians(v: DataFrame, form: str, series: str) -> DataFrame:
-    """Upper median of each publisher's positive figures of a label, of three or more, and each figure's flag."""
+    """medians() beside each positive figure, with its flag."""
     pos = v.filter((F.col("form_code") == form) & (F.col("series") == series) & (F.col("vnd") > 0))
-    key = ["province", "indicator_raw"]
-    med = pos.groupBy(*key).agg(upper_median("vnd").alias("median"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
     off = (F.col("vnd") * 100 < F.col("median")) | (F.col("vnd") > F.col("median") * 100)
-    return pos.join(med, key).select("id", *key, "year", "vnd", "median", F.when(off, "MAGNITUDE?").otherwise("").alias("flag"))
+    key = ["province", "indicator_raw"]
+    return pos.join(medians(v, form, series), key).select("id", *key, "year", "vnd", "median", F.when(off, "MAGNITUDE?").otherwise("").alias("flag"))
 
 
-def plan_vs_outturn(v: DataFrame, form: str, indicator: str, plan: str = "PLAN", actual: str = "OUTTURN") -> DataFrame:
-    """Publishers and years with one plan and one outturn figure, neither 0, and their ratio: one pass, no self-join."""
+def plan_vs_outturn(v: DataFrame, form: str, indicator: str, plan: str = "PLAN", actual: str = "OUTTURN", province: str | None = None, year: int | None = None) -> DataFrame:
+    """Publishers and years, or those given, with one plan and one outturn figure, neither 0, and their ratio: one pass, no self-join."""
     own = v.filter((F.col("form_code") == form) & (F.col("indicator_raw") == indicator) & F.col("series").isin(plan, actual) & F.col("vnd").isNotNull())
+    for column, given in (("province", province), ("year", year)):
+        own = own if given is None else own.filter(F.col(column) == given)
     def of(series: str, name: str) -> list[Column]:
         at = F.when(F.col("series") == series, F.col("vnd"))
         return [F.count(at).alias(f"n_{name}"), F.max(at).alias(name)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,8 @@ from pyspark.sql import types as T
 from ledgerloom.functions import text as X
 from ledgerloom.functions.units import canon_unit, to_vnd, unit_factor
 from ledgerloom.operators import dedup, forms
+from ledgerloom.operators.order import placed
+from ledgerloom.operators.star import dim_encode
 from ledgerloom.plans.common import checkpointed
 
 _STRINGS = ("province_current", "province_source", "doc_no", "doc_date", "period", "agency", "scope", "table_label", "indicator_raw", "series", "raw")
@@ -17,6 +21,7 @@ LONG_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in _STRINGS] + [T.StructField("value", T.DoubleType()), T.StructField("unit", T.StringType()), T.StructField("vnd", T.DoubleType()), T.StructField("source_url", T.StringType()), T.StructField("note", T.StringType())]
     + [T.StructField("report_id", T.LongType()), T.StructField("method", T.StringType()), T.StructField("file", T.StringType()), T.StructField("sheet", T.StringType()), T.StructField("row_ord", T.IntegerType()), T.StructField("col_ord", T.IntegerType())]
 )
+COLUMNS = [f.name for f in LONG_SCHEMA.fields[:16]]
 LINEAGE = ["report_id", "file", "sheet", "row_ord", "col_ord"]
 #: Columns that make a logical duplicate, beside the published text.
 KEY = ["province_source", "doc_no", "period", "table_label", "indicator_raw", "series"]
@@ -73,9 +78,13 @@ def build_long(tags: DataFrame, cells: DataFrame, files: DataFrame, reports: Dat
     """
     tags, cells = checkpointed(tags.filter("error is null")), checkpointed(cells.filter("error is null"))
     rows = forms.prefer_source(checkpointed(long_from_xml(tags, files, reports).unionByName(long_from_sheets(cells, files, reports))))
-    placed = checkpointed(rows.orderBy(*LINEAGE).withColumn("ord", F.monotonically_increasing_id()))  # grows along a sorted table, so no task numbers all rows
-    columns = [f.name for f in LONG_SCHEMA.fields[:16]]
-    return dedup.dedup_logical(placed, columns, [*KEY, "raw"], "ord")
+    return dedup.dedup_logical(in_source_order(rows), COLUMNS, [*KEY, "raw"], "ord")
+
+
+def in_source_order(rows: DataFrame) -> DataFrame:
+    """rows with ord, their place in the order of reports, files, sheets, rows and columns: 0, 1, ... without gaps."""
+    at = placed(checkpointed(rows.withColumn("__all", F.lit(0))), "__all", [F.col(x) for x in LINEAGE])
+    return checkpointed(at.withColumnRenamed("pos", "ord").drop("n", "__all"))
 
 
 def parsed_counts(tags: DataFrame, cells: DataFrame, rows: DataFrame, files: DataFrame) -> DataFrame:
@@ -86,34 +95,39 @@ def parsed_counts(tags: DataFrame, cells: DataFrame, rows: DataFrame, files: Dat
     return landed.join(by, "report_id", "left").join(failed, "report_id", "left").select("report_id", F.coalesce("xml_rows", F.lit(0)).alias("xml_rows"), F.coalesce("sheet_rows", F.lit(0)).alias("sheet_rows"), "error")
 
 
-def _dim(df: DataFrame, label: Column, **more: Column) -> DataFrame:
-    """(id, label, more): distinct labels, numbered where they lie, so that a dimension may be large."""
-    return checkpointed(df.select(F.coalesce(label, F.lit("")).alias("label"), *[c.alias(n) for n, c in more.items()]).dropDuplicates(["label"]).withColumn("id", F.monotonically_increasing_id()))
+#: Dimensions that the fact points to: the long row's column, and what is known of a label.
+_DIMS: dict[str, tuple[Callable[[], Column], dict[str, Callable[[Column], Column]]]] = {
+    "province": (lambda: F.col("province_current"), {"slug": X.slug}),
+    "period": (lambda: F.col("period"), {"year": X.period_year, "kind": X.period_kind}),
+    "scope": (lambda: F.col("scope"), {}),
+    "table": (lambda: F.col("table_label"), {"form_code": X.form_code}),
+    "indicator": (lambda: F.col("indicator_raw"), {"clean": X.indicator_clean, "depth": X.indicator_depth}),
+    "series": (lambda: F.col("series"), {}),
+    # The label is the unit as published; what it is worth is said by the unit of the row that had it first.
+    "unit": (lambda: X.note_unit(F.col("note"), F.col("unit")), {"factor": lambda _: F.coalesce(unit_factor(F.col("unit")), F.lit(0)), "canon": lambda _: canon_unit(F.col("unit"))}),
+    "raw": (lambda: F.col("raw"), {}),
+}
 
 
-def build_star(rows: DataFrame, status: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(fact, dimensions) of long rows and the status of all reports: eight dimensions that the fact points to, and reports.
+def build_star(rows: DataFrame, status: DataFrame, known: dict[str, DataFrame] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(fact, dimensions) of long rows (with ord) and the status of all reports: eight dimensions that the fact points to, and reports.
 
-    The fact keeps no converted figure: it is value times the factor of the published unit's canonical form. ord gives source order.
+    known has the dimensions of a standing warehouse: their rows keep id and attributes, and new labels follow them in order of
+    appearance. Ids are dense and equal in every run. The fact keeps no converted figure: it is value times the factor of the
+    published unit's canonical form. ord gives source order. rows is read once for each dimension, so pass what is stored.
     """
-    c = F.col
-    source = X.note_unit(c("note"), c("unit"))
-    of = {
-        "province": c("province_current"), "period": c("period"), "scope": c("scope"), "table": c("table_label"), "indicator": c("indicator_raw"), "series": c("series"), "unit": source, "raw": c("raw"),
-    }
-    dims = {
-        "province": _dim(rows.select(of["province"].alias("p")).distinct(), c("p"), slug=X.slug(c("p"))),
-        "period": _dim(rows.select(of["period"].alias("p")).distinct(), c("p"), year=X.period_year(c("p")), kind=X.period_kind(c("p"))),
-        "scope": _dim(rows.select(of["scope"].alias("p")).distinct(), c("p")),
-        "table": _dim(rows.select(of["table"].alias("p")).distinct(), c("p"), form_code=X.form_code(c("p"))),
-        "indicator": _dim(rows.select(of["indicator"].alias("p")).distinct(), c("p"), clean=X.indicator_clean(c("p")), depth=X.indicator_depth(c("p"))),
-        "series": _dim(rows.select(of["series"].alias("p")).distinct(), c("p")),
-        "unit": _dim(rows.select(source.alias("p"), c("unit").alias("u")).distinct(), c("p"), factor=F.coalesce(unit_factor(c("u")), F.lit(0)), canon=canon_unit(c("u"))),
-        "raw": _dim(rows.select(of["raw"].alias("p")).distinct(), c("p")),
-    }
-    fact = rows.select("ord", X.note_report(c("note")).cast("long").alias("report_id"), "value", *[F.coalesce(v, F.lit("")).alias(f"__{n}") for n, v in of.items()])
-    for name, dim in dims.items():
-        fact = fact.join(dim.select(c("label").alias(f"__{name}"), c("id").alias(f"{name}_id")), f"__{name}").drop(f"__{name}")
+    c, dims = F.col, {}
+    fact = rows.select("ord", "report_id", "value", *[F.coalesce(label(), F.lit("")).alias(f"__{n}") for n, (label, _) in _DIMS.items()])
+    for name, (label, more) in _DIMS.items():
+        own = rows.select("ord", F.coalesce(label(), F.lit("")).alias("label"), *[f(label()).alias(a) for a, f in more.items()])
+        old = (known or {}).get(name)
+        start = 0
+        if old is not None:
+            own = own.join(old.select("label"), "label", "left_anti")
+            start = old.agg(F.max("id")).first()[0] or 0
+        fresh = checkpointed(dim_encode(own, "label", list(more), "ord", start))
+        dims[name] = fresh if old is None else checkpointed(old.select(fresh.columns).unionByName(fresh))
+        fact = fact.join(dims[name].select(c("label").alias(f"__{name}"), c("id").alias(f"{name}_id")), f"__{name}").drop(f"__{name}")
     reports = status.join(dims["province"].select(c("label").alias("province"), c("id").alias("province_id")), "province", "left").select("report_id", "province_id", "title", "year", "method", "reason", "exts", "rows")
     return fact, {**dims, "report": reports}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import fold
+from ledgerloom.functions.text import fold, slug
 
 
 def resolve_name(df: DataFrame, column: str, dim: DataFrame, name: str, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -21,6 +21,20 @@ def resolve_name(df: DataFrame, column: str, dim: DataFrame, name: str, aliases:
     return out.withColumn("resolved", F.coalesce("__e", "__f", "__t")).select(*df.columns, "resolved")
 
 
+def rejected_names(resolved: DataFrame, column: str, dim: DataFrame, name: str) -> DataFrame:
+    """(column, row_count, valid): names of resolve_name()'s rows that are nobody's, beside the names that there are. The list is as long as there are publishers."""
+    valid = dim.select(name).distinct().agg(F.array_join(F.sort_array(F.collect_list(name)), "; ").alias("valid"))
+    return resolved.filter("resolved is null").groupBy(column).agg(F.count(F.lit(1)).alias("row_count")).crossJoin(F.broadcast(valid))  # one row
+
+
+def resolve_slug(df: DataFrame, column: str, dim: DataFrame, name: str, aliases: dict[str, str] | None = None) -> DataFrame:
+    """df with resolved: the listed name with this slug, or the one that the slug is an alias of; else null. Of names with one slug the least."""
+    known = dim.groupBy(slug(F.col(name)).alias("__s")).agg(F.min(name).alias("__n"))
+    also = df.sparkSession.createDataFrame(list((aliases or {}).items()), "__a string, __t string")
+    out = df.join(known, F.col(column) == F.col("__s"), "left").join(F.broadcast(also), F.col(column) == F.col("__a"), "left")  # a list given by hand
+    return out.select(*df.columns, F.coalesce("__n", "__t").alias("resolved"))
+
+
 def suggest_name(rejects: DataFrame, column: str, dim: DataFrame, name: str, n: int = 5, cutoff: float = 0.6) -> DataFrame:
     """Up to n listed names like each rejected one, by edit distance; for people to read, no row gets them.
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import is_settled
 from ledgerloom.operators import cells as C
 from ledgerloom.operators import hierarchy as H
-from ledgerloom.operators import marts as M
 
 
 def narrowed(v: DataFrame, province: str | None, year: int | None) -> DataFrame:
@@ -18,20 +17,23 @@ def narrowed(v: DataFrame, province: str | None, year: int | None) -> DataFrame:
 
 
 def balance_sheet(v: DataFrame, form: str, named: dict[str, str], series: str, ratios: dict[str, tuple[str, str]], required: list[str], province: str | None = None, year: int | None = None) -> DataFrame:
-    """Named unambiguous cells by publisher, of the year asked for or the latest complete one, and ratios in hundredths of a percent as text.
+    """Named cells by publisher and year, and ratios in hundredths of a percent as text.
 
-    A ratio reads ? where either figure is flagged as out of its history's magnitude, and is blank where one lacks.
+    A cell counts if it has one figure, however often that is published. Without a year or publisher each publisher has one
+    row: its latest year in which the required cells are published, be they 0. With a publisher all its years are shown.
+    A ratio is blank where a figure lacks or is 0, and reads ? where either is out of its history's magnitude; so flagged is the row.
     """
-    own = M.unambiguous_cells(v, form, series).filter(F.col("indicator_raw").isin(*named.values()))
+    own = C.cells(v, form, None, series, province, year).filter(F.col("indicator_raw").isin(*named.values())).filter("n = 1 or lo = hi")
+    off = (F.col("lo") != 0) & ((F.col("lo") * 100 < F.col("median")) | (F.col("lo") > F.col("median") * 100))
+    own = own.join(C.medians(v, form, series), ["province", "indicator_raw"], "left").withColumn("off", F.coalesce(off, F.lit(False)))
     at = lambda label, column: F.max(F.when(F.col("indicator_raw") == label, F.col(column)))
-    wide = narrowed(own, province, year).groupBy("province", "year").agg(*[at(x, "vnd").alias(n) for n, x in named.items()])
-    wide = wide if year is not None else M.latest_complete(wide, required)
-    odd = C.cell_medians(v, form, series).filter((F.col("flag") != "") & F.col("indicator_raw").isin(*named.values()))
-    odd = odd.groupBy("province", "year").agg(F.collect_set("indicator_raw").alias("__odd"))  # names of cells, a few at most
-    bad = lambda n: F.coalesce(F.array_contains("__odd", named[n]), F.lit(False))
-    share = lambda a, b: F.when((F.col(a) != 0) & (F.col(b) != 0), F.floor(F.col(a) / F.col(b) * 10000 + 0.5).cast("long").cast("string"))
-    shown = {n: F.when(bad(a) | bad(b), "?").otherwise(F.coalesce(share(a, b), F.lit(""))) for n, (a, b) in ratios.items()}
-    return wide.join(odd, ["province", "year"], "left").withColumns(shown).drop("__odd")
+    wide = own.groupBy("province", "year").agg(*[at(x, "lo").alias(n) for n, x in named.items()], *[F.coalesce(at(x, "off"), F.lit(False)).alias(f"__{n}") for n, x in named.items()])
+    if year is None and province is None:
+        last = Window.partitionBy("province").orderBy(F.desc("year"))
+        wide = wide.dropna(subset=required).withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r")
+    share = lambda a, b: F.when((F.col(a) != 0) & (F.col(b) != 0), F.when(F.col(f"__{a}") | F.col(f"__{b}"), "?").otherwise(F.floor(F.col(a) / F.col(b) * 10000 + 0.5).cast("long").cast("string")))
+    flag = F.when(F.greatest(*[F.col(f"__{n}") for n in named]), "MAGNITUDE?").otherwise("")
+    return wide.select("province", "year", *named, *[F.coalesce(share(a, b), F.lit("")).alias(n) for n, (a, b) in ratios.items()], flag.alias("flag"))
 
 
 def breakdown_of(v: DataFrame, block: list[str], form: str, parent: str, series: str, province: str | None = None, year: int | None = None) -> DataFrame:

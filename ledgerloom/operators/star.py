@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.order import placed
+from ledgerloom.plans.common import checkpointed
 
-def dim_encode(df: DataFrame, label: str, attributes: list[str], order: str = "ord") -> DataFrame:
-    """(id, label, attributes): ids from 1 in order of first appearance; the first attributes win. Only distinct labels are numbered."""
+
+def dim_encode(df: DataFrame, label: str, attributes: list[str], order: str = "ord", start: int = 0) -> DataFrame:
+    """(id, label, attributes): ids from start + 1 in order of first appearance, equal in every run; the first attributes win.
+
+    Distinct labels are dealt by ranges of their first appearance and numbered range by range, so no task sees them all.
+    """
     firsts = df.groupBy(label).agg(F.min(order).alias("__o"), *[F.min_by(a, order).alias(a) for a in attributes])
-    return firsts.withColumn("id", F.row_number().over(Window.orderBy("__o")).cast("long")).select("id", label, *attributes)
+    at = placed(checkpointed(firsts.withColumn("__all", F.lit(0))), "__all", [F.col("__o"), F.col(label)])
+    return at.select((F.col("pos") + 1 + start).alias("id"), label, *attributes)
 
 
 def star_view(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -96,6 +96,14 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.unionByName(exact).unionByName(logical)
 
 
+def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forms with figures published twice, figures of 0, and figures that are no amount of money."""
+    v, there = forms(spark, sf_dir), F.col("vnd").isNotNull()
+    vnd = F.when(there & (F.col("id") % 31 == 1), 0).when(there & (F.col("id") % 37 == 2), 2 * 10**15).otherwise(F.col("vnd")).cast("long")
+    v = v.withColumn("vnd", vnd)
+    return v.unionByName(v.filter("id % 29 = 0"))
+
+
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog: a report for each nation and year, with its attachments."""
     o = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").cast("int").alias("year"))
@@ -142,6 +150,9 @@ v AS (SELECT id, pub AS province, CAST(nk AS INT) AS nk, CAST(y AS INT) AS year,
 landed AS (SELECT *, 'r' || report_id AS source_url, id * 4 AS ord FROM v
            UNION ALL SELECT *, 'r' || report_id, id * 4 + 1 FROM v WHERE id % 97 = 0
            UNION ALL SELECT *, 'r' || report_id || 'x', id * 4 + 2 FROM v WHERE id % 89 = 0)"""
+PLANTED_SQL = """
+p0 AS (SELECT * REPLACE (CASE WHEN vnd IS NOT NULL AND id % 31 = 1 THEN 0 WHEN vnd IS NOT NULL AND id % 37 = 2 THEN 2000000000000000 ELSE vnd END AS vnd) FROM v),
+pv AS (SELECT * FROM p0 UNION ALL SELECT * FROM p0 WHERE id % 29 = 0)"""
 REPORTS_SQL = """
 rk AS (SELECT DISTINCT c_nationkey, year(o_orderdate) AS year FROM orders JOIN customer ON o_custkey = c_custkey),
 rr AS (SELECT CAST(n_nationkey * 10 + year % 10 AS INT) AS report_id, n_name AS province, CAST(year AS INT) AS year FROM rk JOIN nation ON c_nationkey = n_nationkey),

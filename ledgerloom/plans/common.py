@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -56,18 +57,24 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().get()
 
 
+#: Seconds between two collections of the driver's garbage, and when the last one was.
+COLLECT_S, _COLLECTED = 2.0, [0.0]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df written once to the shared folder, its lineage cut.
 
     Shuffle files of what led to it are no longer needed, but Spark removes them only when the driver's garbage, in
-    Python and in the JVM, is collected, which can be long after: so both are asked for.
+    Python and in the JVM, is collected, which can be long after: so both are asked for, once in COLLECT_S seconds at most.
     """
     shared_folder(df.sparkSession)
     send_library(df.sparkSession)
     out = df.checkpoint()
     del df
-    gc.collect()
-    out.sparkSession._jvm.System.gc()
+    if time.monotonic() - _COLLECTED[0] >= COLLECT_S:
+        gc.collect()
+        out.sparkSession._jvm.System.gc()
+        _COLLECTED[0] = time.monotonic()
     return out
 
 

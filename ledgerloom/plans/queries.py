@@ -17,7 +17,7 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reads as R
 from ledgerloom.operators import search as S
 from ledgerloom.operators import star as T
-from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, REPORTS_SQL, UNITS, forms, landed, lines, reports
+from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, PLANTED_SQL, REPORTS_SQL, UNITS, forms, landed, lines, planted, reports
 from ledgerloom.plans.common import table
 from ledgerloom.sources import catalog as K
 
@@ -310,6 +310,19 @@ def resolve_name(spark, sf_dir):
     return N.resolve_name(_asked(spark, sf_dir), "asked", table(spark, sf_dir, "nation"), "n_name", {"uk": "UNITED KINGDOM"})
 
 
+@query(f"SELECT asked, count(*) AS row_count, (SELECT string_agg(n_name, '; ' ORDER BY n_name) FROM nation) AS valid FROM (SELECT {_ASKED} AS asked FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE asked <> 'uk' AND lower(asked) NOT IN (SELECT lower(n_name) FROM nation) GROUP BY 1")
+def rejected_names(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    return N.rejected_names(N.resolve_name(_asked(spark, sf_dir), "asked", nation, "n_name", {"uk": "UNITED KINGDOM"}), "asked", nation, "n_name")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN regexp_replace(n_name, '[^A-Za-z0-9]+', '_', 'g') WHEN c_custkey % 3 = 1 THEN 'UK' ELSE n_name || '_x' END AS folder, CASE c_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN 'UNITED KINGDOM' END AS resolved FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def slug_lookup(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    folder = F.when(F.col("c_custkey") % 3 == 0, F.regexp_replace("n_name", "[^A-Za-z0-9]+", "_")).when(F.col("c_custkey") % 3 == 1, "UK").otherwise(F.concat("n_name", F.lit("_x")))
+    return N.resolve_slug(c.select("c_custkey", folder.alias("folder")), "folder", table(spark, sf_dir, "nation"), "n_name", {"UK": "UNITED KINGDOM"})
+
+
 _SIM = "CAST(floor((1 - levenshtein(lower(asked), lower(n_name)) / greatest(length(asked), length(n_name))) * 10000 + 0.5) AS BIGINT)"
 
 
@@ -732,27 +745,51 @@ def magnitude_flag(spark, sf_dir):
     return m.select("id", U.magnitude_flag(F.col("vnd"), F.col("median")).alias("flag"))
 
 
-_TS = f"ts AS (SELECT *, n > 1 AND lo <> hi AS amb, coalesce(max(CASE WHEN lo > 0 THEN lo END) OVER w > 100 * min(CASE WHEN lo > 0 THEN lo END) OVER w, FALSE) AS off FROM cl WHERE series = 'PLAN' AND indicator_raw = '5 LOW' WINDOW w AS (PARTITION BY province))"
+# Written from the reads' definition, not from the library: figures by publisher and year, then one CASE for each flag.
+_AMOUNT = "CASE WHEN series LIKE '%\\%%' ESCAPE '\\' OR unit LIKE '%\\%%' ESCAPE '\\' THEN 'not_currency' WHEN abs(lo) > 1000000000000000 THEN 'implausible' ELSE '' END"
+_PC = f"{PLANTED_SQL}, pc AS (SELECT form_code, indicator_raw, series, province, year, count(*) AS n, min(vnd) AS lo, max(vnd) AS hi, arg_min(unit, id) AS unit FROM pv WHERE vnd IS NOT NULL GROUP BY 1, 2, 3, 4, 5)"
 
 
-@query(v_sql("SELECT province, year, CASE WHEN NOT amb THEN hi END AS vnd, lo, hi, CASE WHEN amb THEN 'AMBIGUOUS' WHEN off THEN 'MAGNITUDE?' ELSE '' END AS flag FROM ts", f"{_CELLS}, {_TS}"))
+@query(v_sql(f"SELECT a.province, a.year, CASE WHEN NOT (n > 1 AND lo <> hi) THEN lo END AS vnd, lo, hi, n, CASE WHEN n > 1 AND lo <> hi THEN 'AMBIGUOUS' WHEN most > 100 * least THEN 'MAGNITUDE?' ELSE {_AMOUNT} END AS flag FROM pc a LEFT JOIN (SELECT province, min(lo) AS least, max(lo) AS most FROM pc WHERE series = 'PLAN' AND indicator_raw = '5 LOW' AND lo > 0 GROUP BY 1) b ON a.province = b.province WHERE series = 'PLAN' AND indicator_raw = '5 LOW'", _PC))
 def timeseries(spark, sf_dir):
-    return C.timeseries(forms(spark, sf_dir), FORM, "5 LOW", "PLAN")
+    return C.timeseries(planted(spark, sf_dir), FORM, "5 LOW", "PLAN")
+
 
+_BEST_YEAR = f"(SELECT year FROM pc WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' GROUP BY 1 ORDER BY count(DISTINCT province) DESC, year DESC LIMIT 1)"
 
-@query(v_sql(f"SELECT province, year, lo, hi, CASE WHEN n > 1 AND lo <> hi THEN 'AMBIGUOUS' WHEN lo * 100 < med THEN 'MAGNITUDE?' ELSE '' END AS flag FROM (SELECT * FROM cl WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' AND year = (SELECT year FROM cl WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' GROUP BY 1 ORDER BY count(DISTINCT province) DESC, year DESC LIMIT 1)) c, (SELECT list_sort(list(lo))[count(*) // 2 + 1] AS med FROM cl WHERE lo > 0 AND series = 'PLAN' AND indicator_raw = '{TOTAL}' AND year = (SELECT year FROM cl WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' GROUP BY 1 ORDER BY count(DISTINCT province) DESC, year DESC LIMIT 1)) m", _CELLS))
+
+@query(v_sql(f"SELECT province, year, lo, hi, n, CASE WHEN n > 1 AND lo <> hi THEN 'AMBIGUOUS' WHEN lo <> 0 AND lo * 100 < med THEN 'MAGNITUDE?' ELSE {_AMOUNT} END AS flag FROM pc, (SELECT list_sort(list(lo))[count(*) // 2 + 1] AS med FROM pc WHERE lo > 0 AND series = 'PLAN' AND indicator_raw = '{TOTAL}' AND year = {_BEST_YEAR}) m WHERE series = 'PLAN' AND indicator_raw = '{TOTAL}' AND year = {_BEST_YEAR}", _PC))
 def compare_publishers(spark, sf_dir):
-    return C.compare_publishers(forms(spark, sf_dir), FORM, TOTAL, "PLAN")
+    return C.compare_publishers(planted(spark, sf_dir), FORM, TOTAL, "PLAN")
+
+
+@query(v_sql(f"SELECT province, year, lo, hi, n, CASE WHEN n > 1 AND lo <> hi THEN 'AMBIGUOUS' WHEN lo <> 0 AND lo * 100 < med THEN 'MAGNITUDE?' ELSE {_AMOUNT} END AS flag FROM pc, (SELECT list_sort(list(lo))[count(*) // 2 + 1] AS med FROM pc WHERE lo > 0 AND series = 'OUTTURN' AND indicator_raw = '{TOTAL}' AND year = 1998) m WHERE series = 'OUTTURN' AND indicator_raw = '{TOTAL}' AND year = 1998", _PC))
+def compare_publishers_year(spark, sf_dir):
+    return C.compare_publishers(planted(spark, sf_dir), FORM, TOTAL, "OUTTURN", 1998)
 
 
 _SHEET = {"total": TOTAL, "own": "I AUTOMOBILE", "inv": "II BUILDING", "borrow": "III FURNITURE", "house": "IV HOUSEHOLD", "mach": "V MACHINERY"}
-_SHEET_SQL = ", ".join(f"max(CASE WHEN indicator_raw = '{x}' THEN vnd END) AS {n}, coalesce(max(CASE WHEN indicator_raw = '{x}' THEN flag END), '') AS f_{n}" for n, x in _SHEET.items())
-_BP = lambda a, b: f"CASE WHEN f_{a} <> '' OR f_{b} <> '' THEN '?' WHEN {a} <> 0 AND {b} <> 0 THEN CAST(CAST(floor({a} / {b} * 10000 + 0.5) AS BIGINT) AS VARCHAR) ELSE '' END"
+_BS = f"""{_PC}, bm AS (SELECT province, indicator_raw, list_sort(list(vnd))[count(*) // 2 + 1] AS med FROM pv WHERE series = 'PLAN' AND vnd > 0 GROUP BY 1, 2 HAVING count(*) >= 3),
+bc AS (SELECT c.province, c.year, c.indicator_raw, lo, coalesce(lo <> 0 AND (lo * 100 < med OR lo > med * 100), FALSE) AS off FROM pc c LEFT JOIN bm ON c.province = bm.province AND c.indicator_raw = bm.indicator_raw WHERE series = 'PLAN' AND lo = hi AND c.indicator_raw IN ({', '.join(repr(x) for x in _SHEET.values())})),
+bw AS (SELECT province, year, bool_or(off) AS odd, {', '.join(f"max(lo) FILTER (WHERE indicator_raw = '{x}') AS {n}, coalesce(bool_or(off) FILTER (WHERE indicator_raw = '{x}'), FALSE) AS f_{n}" for n, x in _SHEET.items())} FROM bc GROUP BY 1, 2)"""
+_BP = lambda a, b: f"CASE WHEN coalesce({a}, 0) = 0 OR coalesce({b}, 0) = 0 THEN '' WHEN f_{a} OR f_{b} THEN '?' ELSE CAST(CAST(floor({a} / {b} * 10000 + 0.5) AS BIGINT) AS VARCHAR) END"
+_BALANCE = f"SELECT province, year, {', '.join(_SHEET)}, {_BP('own', 'total')} AS self_bp, {_BP('inv', 'total')} AS inv_bp, CASE WHEN odd THEN 'MAGNITUDE?' ELSE '' END AS flag FROM bw"
+_RATIOS = {"self_bp": ("own", "total"), "inv_bp": ("inv", "total")}
 
 
-@query(v_sql(f"SELECT province, year, {', '.join(_SHEET)}, {_BP('own', 'total')} AS self_bp, {_BP('inv', 'total')} AS inv_bp FROM (SELECT u.province, u.year, {_SHEET_SQL} FROM (SELECT * FROM uk WHERE n = 1) u LEFT JOIN (SELECT province, indicator_raw, year, max(CASE WHEN vnd * 100 < median OR vnd > median * 100 THEN 'MAGNITUDE?' ELSE '' END) AS flag FROM mp JOIN mm USING (province, indicator_raw) GROUP BY 1, 2, 3) m USING (province, year, indicator_raw) GROUP BY 1, 2) WHERE coalesce(own, 0) <> 0 AND coalesce(total, 0) <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1", f"{_UC}, {_MED}"))
+@query(v_sql(f"{_BALANCE} WHERE own IS NOT NULL AND total IS NOT NULL QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1", _BS))
 def balance_sheet(spark, sf_dir):
-    return R.balance_sheet(forms(spark, sf_dir), FORM, _SHEET, "PLAN", {"self_bp": ("own", "total"), "inv_bp": ("inv", "total")}, ["own", "total"])
+    return R.balance_sheet(planted(spark, sf_dir), FORM, _SHEET, "PLAN", _RATIOS, ["own", "total"])
+
+
+@query(v_sql(f"{_BALANCE} WHERE province = 'NATION_3'", _BS))
+def balance_sheet_history(spark, sf_dir):
+    return R.balance_sheet(planted(spark, sf_dir), FORM, _SHEET, "PLAN", _RATIOS, ["own", "total"], province="NATION_3")
+
+
+@query(v_sql(f"{_BALANCE} WHERE year = 1997", _BS))
+def balance_sheet_year(spark, sf_dir):
+    return R.balance_sheet(planted(spark, sf_dir), FORM, _SHEET, "PLAN", _RATIOS, ["own", "total"], year=1997)
 
 
 @query(v_sql(f"SELECT province, year, naive, published, floor(naive / published * 10000 + 0.5) / 10000.0 AS ratio FROM (SELECT province, year, CAST(sum(vnd) AS BIGINT) AS naive, max(CASE WHEN indicator_raw = '{TOTAL}' THEN vnd END) AS published FROM v WHERE series = 'PLAN' GROUP BY 1, 2) WHERE published > 0"))
