@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.search import label_stats, open_index, store_index
 from ledgerloom.plans.common import shared_folder, table
 
 #: Published spellings of the unit, by nation; the factor of each.
@@ -124,6 +125,21 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", F.col("line").cast("long").alias("line"), F.concat(mark, "text").alias("label"), "text", "province", "form")
 
 
+#: The label index of a folder, as it was stored in this application.
+_INDEXED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def label_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored index of all labels of lines(); written once for an application and input. A line's year and figure stand for a row's."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _INDEXED:
+        path = f"{shared_folder(spark)}/labels-{uuid4().hex}"
+        rows = lines(spark, sf_dir).withColumn("year", (1990 + F.col("doc_id") % 30).cast("int")).withColumn("vnd", F.when(F.col("line") % 3 != 1, F.col("doc_id")))
+        store_index(label_stats(rows, "label", "form", "province", "year", "vnd"), path)
+        _INDEXED[at] = open_index(spark, path)
+    return _INDEXED[at]
+
+
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)
 _FACTORS = ", ".join("NULL" if f is None else str(f) for f in FACTORS)
 #: The same as CTEs: v (forms), landed, reports and lines.

@@ -17,7 +17,7 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reads as R
 from ledgerloom.operators import search as S
 from ledgerloom.operators import star as T
-from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, PLANTED_SQL, REPORTS_SQL, UNITS, forms, landed, lines, planted, reports
+from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, PLANTED_SQL, REPORTS_SQL, UNITS, forms, label_index, landed, lines, planted, reports
 from ledgerloom.plans.common import table
 from ledgerloom.sources import catalog as K
 
@@ -864,12 +864,20 @@ def capped_result(spark, sf_dir):
 # 2.9 search ------------------------------------------------------------------------------------------
 
 _IDX = f"WITH {LINES_SQL}, ix AS (SELECT text AS label, form, count(*) AS row_count, count(DISTINCT province) AS provinces FROM lines GROUP BY 1, 2), tk AS (SELECT DISTINCT label, form, unnest(string_split_regex({_FOLD.format('label')}, '[^\\p{{L}}\\p{{N}}]+')) AS token FROM ix)"
+# The stored index, whose tokens are those of labels without their marks.
+_STORED_IDX = f"""WITH {LINES_SQL}, ix AS (SELECT label, form, count(*) AS row_count, count(DISTINCT province) AS provinces, count(*) FILTER (WHERE line % 3 <> 1) AS convertible, min(CAST(1990 + doc_id % 30 AS INT)) AS first_year, max(CAST(1990 + doc_id % 30 AS INT)) AS last_year FROM lines GROUP BY 1, 2),
+ic AS (SELECT *, coalesce(nullif(regexp_replace(regexp_replace(label, '^\\s+|\\s+$', '', 'g'), '^(?:{_ONE})+', ''), ''), label) AS clean FROM ix),
+tk AS (SELECT DISTINCT label, form, unnest(string_split_regex({_FOLD.format('clean')}, '[^\\p{{L}}\\p{{N}}]+')) AS token FROM ic)"""
 
 
-@query(f"{_IDX} SELECT token, count(*) AS labels FROM tk WHERE token <> '' GROUP BY 1")
+@query(f"{_STORED_IDX} SELECT token, count(*) AS labels FROM tk WHERE token <> '' GROUP BY 1")
 def search_index(spark, sf_dir):
-    _, tokens = S.search_index(lines(spark, sf_dir), "text", "form", "province")
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("labels"))
+    return label_index(spark, sf_dir)[1].groupBy("token").agg(F.count(F.lit(1)).alias("labels"))
+
+
+@query(f"{_STORED_IDX} SELECT label, clean, form, row_count, provinces, convertible, first_year, last_year FROM ic")
+def search_stats(spark, sf_dir):
+    return label_index(spark, sf_dir)[0].drop("id", "part")
 
 
 _HIT = "(SELECT label, form FROM tk WHERE token = 'and' INTERSECT SELECT label, form FROM tk WHERE token LIKE 'the%')"
@@ -881,9 +889,14 @@ def search_tokens(spark, sf_dir):
     return S.search_tokens(tokens, "And *the")
 
 
-@query(f"{_IDX} SELECT label, form, row_count, provinces FROM ix JOIN {_HIT} USING (label, form) ORDER BY provinces DESC, row_count DESC, label, form LIMIT 15")
+@query(f"{_STORED_IDX} SELECT label, clean, form, row_count, provinces, convertible, first_year, last_year FROM ic JOIN {_HIT} USING (label, form) ORDER BY provinces DESC, row_count DESC, label, form LIMIT 15")
 def find_indicators(spark, sf_dir):
-    return S.find_indicators(S.search_index(lines(spark, sf_dir), "text", "form", "province"), "and the")
+    return S.find_stored(label_index(spark, sf_dir), "and the")
+
+
+@query(f"{_STORED_IDX} SELECT label, clean, form, row_count, provinces, convertible, first_year, last_year FROM ic JOIN (SELECT label, form FROM tk WHERE token LIKE 'der%') USING (label, form) WHERE form = 'de' AND provinces >= 2 ORDER BY provinces DESC, row_count DESC, label, form LIMIT 50")
+def find_indicators_in_form(spark, sf_dir):
+    return S.find_stored(label_index(spark, sf_dir), "DER", form="de", min_provinces=2, limit=90)
 
 
 @query(r_sql("SELECT title, 1 AS provinces, 1 AS row_count FROM (SELECT title FROM reports WHERE title LIKE '% 1997' ORDER BY title LIMIT 10)").replace("1 AS provinces, 1 AS row_count", "CAST(1 AS BIGINT) AS provinces, CAST(1 AS BIGINT) AS row_count"))
