@@ -111,6 +111,79 @@ def sheet_melt(cells: DataFrame, rows: DataFrame, paths: DataFrame) -> DataFrame
     )
 
 
+# All of a sheet in one grouping ------------------------------------------------------------------------
+
+
+def sheet_lines(cells: DataFrame) -> DataFrame:
+    """(path, sheet, row_no, cells): each row of a sheet with its cells (col_no, text) from left to right, texts stripped."""
+    cell = F.struct("col_no", strip(F.coalesce("text", F.lit(""))).alias("text"))
+    return cells.groupBy(*SHEET, "row_no").agg(F.array_sort(F.collect_list(cell)).alias("cells"))  # one row of one sheet
+
+
+def _any(test) -> Column:
+    return F.exists("cells", test)
+
+
+def _units() -> Column:
+    """Of a line's cells the units they state: sure or bare, column, unit; a label alone takes the next text of its line."""
+    def of(pattern: str, order: int) -> Column:
+        def one(cell: Column, i: Column) -> Column:
+            inside = strip(F.regexp_extract(cell["text"], pattern, 1))
+            after = F.filter(F.slice("cells", i + 2, F.size("cells")), lambda x: x["text"] != "")
+            unit = F.when(inside != "", inside).otherwise(F.coalesce(F.try_element_at(after, F.lit(1))["text"], F.lit("")))
+            return F.struct(F.lit(order).alias("o"), F.col("row_no").alias("r"), cell["col_no"].alias("c"), F.when(cell["text"].rlike(pattern), unit).otherwise("").alias("unit"))
+
+        return F.transform("cells", one)
+
+    sure = F.filter(of(UNIT_SURE, 0), lambda x: x["unit"] != "")
+    bare = F.filter(of(UNIT_BARE, 1), lambda x: looks_like_unit(x["unit"]))
+    return F.array_min(F.concat(sure, bare))
+
+
+def sheet_meta(lines: DataFrame) -> DataFrame:
+    """(path, sheet, hdr_row, data_row, src_unit, form, decision, series) of the sheets that have a header, in one aggregate over their lines.
+
+    series has the header path of each column. What is kept of a sheet on the way is its first lines.
+    """
+    c, last = F.col, SCAN_HEADER + SCAN_DATA
+    low = lambda x: F.lower(x["text"])
+    filled = F.size(F.filter("cells", lambda x: x["text"] != ""))
+    head = (c("row_no") < SCAN_HEADER) & (filled >= 3) & _any(lambda x: (x["col_no"] < 3) & low(x).rlike(INDEX_CELL) | (x["col_no"] < 4) & low(x).rlike(LABEL_CELL))
+    data = (c("row_no") <= last) & _any(lambda x: (x["col_no"] == 1) & (x["text"] != "")) & _any(lambda x: (x["col_no"] >= 2) & norm_num(x["text"]).isNotNull())
+    top, line = c("row_no") < SCAN_META, F.array_join(F.transform("cells", lambda x: x["text"]), " ")
+    match = lambda pattern: F.when(top, F.nullif(F.regexp_extract(line, pattern, 1), F.lit("")))
+    seen = lines.select(
+        *SHEET, "row_no", F.when(head, c("row_no")).alias("head"), F.when(data, c("row_no")).alias("data"), match(FORM_NO).alias("form"), match(DECISION).alias("decision"),
+        F.when(top & line.rlike(UNIT_BARE.replace(r"\s*[:：]\s*(.*)", "")), _units()).alias("unit"), F.array_max(F.transform("cells", lambda x: x["col_no"])).alias("wide"),
+        F.when(c("row_no") < last, F.struct("row_no", "cells")).alias("line"),
+    )
+    first = lambda n: F.coalesce(F.min_by(n, F.when(c(n).isNotNull(), c("row_no"))), F.lit(""))
+    by = seen.groupBy(*SHEET).agg(F.min("head").alias("hdr_row"), F.collect_list("data").alias("datas"), first("form").alias("form"), first("decision").alias("decision"), F.min("unit").alias("unit"), F.max("wide").alias("wide"), F.collect_list("line").alias("lines"))
+    near = F.filter("datas", lambda r: (r > c("hdr_row")) & (r <= c("hdr_row") + SCAN_DATA))
+    by = by.filter("hdr_row is not null").withColumn("data_row", F.coalesce(F.array_min(near), c("hdr_row") + 1))
+    heads = F.array_sort(F.filter("lines", lambda x: (x["row_no"] >= c("hdr_row")) & (x["row_no"] < c("data_row"))))
+
+    def path(col: Column) -> Column:
+        # A merged cell's text stands in its first column: the nearest text to the left counts.
+        text = lambda row: F.try_element_at(F.filter(row["cells"], lambda x: (x["col_no"] <= col) & (x["text"] != "")), F.lit(-1))["text"]
+        joined = F.array_join(F.array_distinct(F.array_compact(F.transform("heads", text))), " / ")
+        return F.when(joined != "", joined).otherwise(F.concat(F.lit("col"), col))
+
+    by = by.withColumn("heads", heads)
+    return by.select(*SHEET, "hdr_row", "data_row", F.coalesce(c("unit.unit"), F.lit("")).alias("src_unit"), "form", "decision", F.transform(F.sequence(F.lit(0), c("wide")), path).alias("series"))
+
+
+def melted_sheets(cells: DataFrame) -> DataFrame:
+    """(path, sheet, row_no, col_no, indicator_raw, series, raw, src_unit, form, decision) of all cells that hold something under a header: what the operators above find, from one grouping of the cells into lines."""
+    lines = sheet_lines(cells)
+    at = lambda n: F.coalesce(F.try_element_at(F.filter("cells", lambda x: x["col_no"] == n), F.lit(1))["text"], F.lit(""))
+    rows = lines.join(sheet_meta(lines), SHEET).filter(F.col("row_no") >= F.col("data_row")).withColumn("mark", at(0)).withColumn("label", at(1))
+    rows = rows.filter((F.col("label") != "") & ~F.lower("label").isin(*HEADER_WORDS) & ~F.col("label").rlike(RULER))
+    label = F.trim(F.concat_ws(" ", F.nullif(F.col("mark"), F.lit("")), F.col("label")))
+    full = rows.select(*SHEET, "row_no", label.alias("indicator_raw"), "series", "src_unit", "form", "decision", F.explode(F.filter("cells", lambda x: (x["col_no"] >= 2) & (x["text"] != ""))).alias("x"))
+    return full.select(*SHEET, "row_no", "x.col_no", "indicator_raw", F.col("series")[F.col("x.col_no")].alias("series"), F.col("x.text").alias("raw"), "src_unit", "form", "decision")
+
+
 def form_melt(tags: DataFrame) -> DataFrame:
     """(path, row_no, tag_ord, indicator_raw, series, raw): header columns but the first two become series; blank cells stay as blank rows."""
     head = tags.filter((F.col("section") == "header") & ~F.col("tag").isin("f1", "f2")).select("path", "tag", "tag_ord", F.col("text").alias("series"))

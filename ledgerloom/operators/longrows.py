@@ -61,24 +61,27 @@ def long_from_xml(tags: DataFrame, files: DataFrame, reports: DataFrame) -> Data
 
 
 def long_from_sheets(cells: DataFrame, files: DataFrame, reports: DataFrame) -> DataFrame:
-    """Long rows of workbooks; empty cells have none. cells is read about six times, so pass one that is stored."""
-    bounds = forms.first_data_row(cells, forms.header_row(cells))
-    paths = forms.header_path(forms.merged_fill(cells, bounds))
-    melted = forms.sheet_melt(cells, forms.row_filter(cells, bounds), paths)
-    melted = melted.join(forms.find_unit(cells), forms.SHEET, "left").join(forms.first_match_meta(cells), forms.SHEET, "left")
+    """Long rows of workbooks; empty cells have none. cells is read twice at most."""
+    melted = forms.melted_sheets(cells)
     none, c = F.lit(""), F.col
     own = {"unit": c("src_unit"), "period": none, "year": none, "title": none, "form": c("form"), "circular": none, "department": none, "decision": c("decision")}
     return _long(melted, files, reports, "XLSX", own)
 
 
-def build_long(tags: DataFrame, cells: DataFrame, files: DataFrame, reports: DataFrame) -> DataFrame:
-    """The long table of all files: rows of a report's XML forms, those of its workbooks only where these give none; duplicates gone, the first in source order staying.
-
-    Decoded tags and cells are written once before anything reads them, as every reading would decode the files again.
-    """
+def parsed_rows(tags: DataFrame, cells: DataFrame, files: DataFrame, reports: DataFrame) -> DataFrame:
+    """Long rows of all files, before anything is left out. Decoded tags and cells are written once before anything reads them, as every reading would decode the files again."""
     tags, cells = checkpointed(tags.filter("error is null")), checkpointed(cells.filter("error is null"))
-    rows = forms.prefer_source(checkpointed(long_from_xml(tags, files, reports).unionByName(long_from_sheets(cells, files, reports))))
-    return dedup.dedup_logical(in_source_order(rows), COLUMNS, [*KEY, "raw"], "ord")
+    return long_from_xml(tags, files, reports).unionByName(long_from_sheets(cells, files, reports))
+
+
+def long_table(parsed: DataFrame) -> DataFrame:
+    """The long table of stored parsed_rows(), with ord and dup_kind: rows of a report's XML forms, those of its workbooks only where these give none; of duplicates the first in source order has a blank dup_kind."""
+    return dedup.mark_duplicates(in_source_order(forms.prefer_source(parsed)), COLUMNS, [*KEY, "raw"], "ord")
+
+
+def build_long(tags: DataFrame, cells: DataFrame, files: DataFrame, reports: DataFrame) -> DataFrame:
+    """long_table() of files without its duplicates."""
+    return long_table(checkpointed(parsed_rows(tags, cells, files, reports))).filter("dup_kind = ''").drop("dup_kind")
 
 
 def in_source_order(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.plans.common import send_library
 
 TAGS = "path string, section string, row_no int, tag_ord int, tag string, text string, error string"
 CELLS = "path string, sheet string, row_no int, col_no int, text string, error string"
@@ -70,7 +73,8 @@ def _cells(path: str, raw: bytes) -> Iterator[tuple]:
                     yield path, sheet.rsplit("/", 1)[1][:-4], r, _column(cell.get("r", "")) if cell.get("r") else c, text.strip(), None
 
 
-def _read(spark: SparkSession, path: str, glob: str, decode, schema: str) -> DataFrame:
+def _each_file(files: DataFrame, decode, schema: str) -> DataFrame:
+    """Rows of files (path, content). A file that can't be read is one row with its reason."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,19 +82,33 @@ def _read(spark: SparkSession, path: str, glob: str, decode, schema: str) -> Dat
             for name, raw in zip(batch["path"], batch["content"], strict=True):
                 try:
                     rows = list(decode(name, raw))
-                except Exception as e:  # a file that can't be read is a row with its reason
+                except Exception as e:
                     rows = [(name, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"[:180])]
                 yield pd.DataFrame(rows, columns=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    send_library(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, schema)
 
 
+def decode_xml(files: DataFrame) -> DataFrame:
+    """Tags of the XML forms among files (path, content); UTF-8, UTF-16 or Latin-1, whatever they declare."""
+    return _each_file(files.filter(F.col("path").rlike(r"(?i)\.xml$")), _tags, TAGS)
+
+
+def decode_grids(files: DataFrame) -> DataFrame:
+    """Cells of the workbooks among files (path, content), by their first bytes rather than their name; others give a row with error."""
+    return _each_file(files.filter(F.col("path").rlike(r"(?i)\.xls[^.]*$")), _cells, CELLS)
+
+
+def _landed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+
+
 def read_xml_forms(spark: SparkSession, path: str) -> DataFrame:
-    """Tags of all XML forms under a path; UTF-8, UTF-16 or Latin-1, whatever they declare. Unreadable files: one row with error."""
-    return _read(spark, path, "*.[xX][mM][lL]", _tags, TAGS)
+    """Tags of all XML forms under a path."""
+    return decode_xml(_landed(spark, path, "*.[xX][mM][lL]"))
 
 
 def read_grids(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of all workbooks under a path, by their first bytes rather than their name; others give one row with error."""
-    return _read(spark, path, "*.[xX][lL][sS]*", _cells, CELLS)
+    """Cells of all workbooks under a path."""
+    return decode_grids(_landed(spark, path, "*.[xX][lL][sS]*"))
