@@ -12,7 +12,6 @@ from ledgerloom.functions import text as X
 from ledgerloom.functions.units import canon_unit, to_vnd, unit_factor
 from ledgerloom.operators import dedup, forms
 from ledgerloom.operators.order import placed
-from ledgerloom.operators.star import dim_encode
 from ledgerloom.plans.common import checkpointed
 
 _STRINGS = ("province_current", "province_source", "doc_no", "doc_date", "period", "agency", "scope", "table_label", "indicator_raw", "series", "raw")
@@ -117,19 +116,25 @@ def build_star(rows: DataFrame, status: DataFrame, known: dict[str, DataFrame] |
 
     known has the dimensions of a standing warehouse: their rows keep id and attributes, and new labels follow them in order of
     appearance. Ids are dense and equal in every run. The fact keeps no converted figure: it is value times the factor of the
-    published unit's canonical form. ord gives source order. rows is read once for each dimension, so pass what is stored.
+    published unit's canonical form. ord gives source order. rows is read twice, so pass what is stored.
     """
-    c, dims = F.col, {}
-    fact = rows.select("ord", "report_id", "value", *[F.coalesce(label(), F.lit("")).alias(f"__{n}") for n, (label, _) in _DIMS.items()])
-    for name, (label, more) in _DIMS.items():
-        own = rows.select("ord", F.coalesce(label(), F.lit("")).alias("label"), *[f(label()).alias(a) for a, f in more.items()])
-        old = (known or {}).get(name)
-        start = 0
-        if old is not None:
-            own = own.join(old.select("label"), "label", "left_anti")
-            start = old.agg(F.max("id")).first()[0] or 0
-        fresh = checkpointed(dim_encode(own, "label", list(more), "ord", start))
-        dims[name] = fresh if old is None else checkpointed(old.select(fresh.columns).unionByName(fresh))
+    c = F.col
+    names = F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.coalesce(label(), F.lit("")).alias("label")) for n, (label, _) in _DIMS.items()]))
+    firsts = rows.select("ord", "unit", names.alias("x")).select("ord", "unit", "x.*").groupBy("dim", "label").agg(F.min("ord").alias("first"), F.min_by("unit", "ord").alias("unit"))
+    starts, old = F.lit(0), None
+    for name in (n for n in _DIMS if n in (known or {})):
+        own = known[name].select(F.lit(name).alias("dim"), "label", "id")
+        old = own if old is None else old.unionByName(own)
+    if old is not None:
+        firsts = firsts.join(old.select("dim", "label"), ["dim", "label"], "left_anti")
+        for r in old.groupBy("dim").agg(F.max("id").alias("id")).collect():  # one row a dimension
+            starts = F.when(c("dim") == r["dim"], r["id"]).otherwise(starts)
+    # All dimensions are numbered together, each from its own start, range by range of first appearance.
+    fresh = checkpointed(placed(checkpointed(firsts), "dim", [c("first"), c("label")]).select("dim", "label", "unit", (c("pos") + 1 + starts).cast("long").alias("id")))
+    dims, fact = {}, rows.select("ord", "report_id", "value", *[F.coalesce(label(), F.lit("")).alias(f"__{n}") for n, (label, _) in _DIMS.items()])
+    for name, (_, more) in _DIMS.items():
+        dim = fresh.filter(c("dim") == name).select("id", "label", *[f(c("label")).alias(a) for a, f in more.items()])
+        dims[name] = known[name].select(dim.columns).unionByName(dim) if name in (known or {}) else dim
         fact = fact.join(dims[name].select(c("label").alias(f"__{name}"), c("id").alias(f"{name}_id")), f"__{name}").drop(f"__{name}")
     reports = status.join(dims["province"].select(c("label").alias("province"), c("id").alias("province_id")), "province", "left").select("report_id", "province_id", "title", "year", "method", "reason", "exts", "rows")
     return fact, {**dims, "report": reports}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import fold, slug
@@ -35,16 +35,33 @@ def resolve_slug(df: DataFrame, column: str, dim: DataFrame, name: str, aliases:
     return out.select(*df.columns, F.coalesce("__n", "__t").alias("resolved"))
 
 
+def _grams(values: DataFrame, q: int) -> DataFrame:
+    """(v, n, gram): runs of q letters of each folded value, its ends padded; a run's second occurrence is another gram."""
+    text = F.concat(F.lit("\x01" * (q - 1)), "k", F.lit("\x02" * (q - 1)))
+    cut = values.withColumn("n", F.char_length("k")).filter("n > 0").withColumn("__x", F.transform(F.sequence(F.lit(1), F.char_length(text) - q + 1), lambda i: F.substr(text, i, F.lit(q))))
+    nth = F.transform("__x", lambda x, i: F.concat(x, F.size(F.filter(F.slice("__x", 1, i), lambda y: y == x)).cast("string")))  # names are short
+    return cut.select("v", "n", F.explode(nth).alias("gram"))
+
+
 def suggest_name(rejects: DataFrame, column: str, dim: DataFrame, name: str, n: int = 5, cutoff: float = 0.6) -> DataFrame:
     """Up to n listed names like each rejected one, by edit distance; for people to read, no row gets them.
 
-    The listed names are one broadcast list, as long as there are publishers; rejects are reduced to distinct ones.
+    Names within the cutoff share a known number of runs of two letters (of one, below a cutoff of 0.5), so they meet at one of
+    the rarest that each has: of its runs only as many are looked at as that takes. So pairs grow with likeness, not with
+    rejects times names. Ties go by name.
     """
-    names = dim.select(name).distinct().agg(F.sort_array(F.collect_list(name)).alias("__names"))
-    asked = rejects.select(column).distinct().crossJoin(F.broadcast(names))  # one row: the list
-    pair = asked.select(column, F.explode("__names").alias("suggestion"))
-    a, b = fold(F.col(column)), fold(F.col("suggestion"))
+    q = 2 if cutoff > 0.5 else 1
+    asked = rejects.select(F.col(column).alias("v")).distinct().filter("v is not null").withColumn("k", fold(F.col("v")))
+    listed = dim.select(F.col(name).alias("v")).distinct().filter("v is not null").withColumn("k", fold(F.col("v")))
+    left, right = _grams(asked, q), _grams(listed, q)
+    often = right.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # Of length + q - 1 runs two values share so many at least, as their distance is (1 - cutoff) of the longer one at most.
+    shared = F.greatest(F.ceil(F.col("n") * (1 - q * (1 - cutoff)) + (q - 1) - 1e-9), F.lit(1))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.coalesce("df", F.lit(0)), "gram"))
+    front = lambda grams: grams.join(often, "gram", "left").withColumn("__r", rank).filter(F.col("__r") <= F.col("n") + (q - 1) - shared + 1).select("v", "gram")
+    pairs = front(left).join(front(right).withColumnRenamed("v", "suggestion"), "gram").select("v", "suggestion").distinct()
+    a, b = fold(F.col("v")), fold(F.col("suggestion"))
     similar = 1 - F.levenshtein(a, b) / F.greatest(F.char_length(a), F.char_length(b), F.lit(1))
-    entry = F.struct((-F.floor(similar * 10000 + 0.5)).cast("long").alias("o"), "suggestion")
-    best = pair.filter(similar >= cutoff).groupBy(column).agg(F.slice(F.array_sort(F.collect_list(entry)), 1, n).alias("best"))
-    return best.select(column, F.posexplode("best").alias("rank", "b")).select(column, (F.col("rank") + 1).alias("rank"), "b.suggestion")
+    entry = pairs.filter(similar >= cutoff).withColumn("__o", (-F.floor(similar * 10000 + 0.5)).cast("long"))
+    at = F.row_number().over(Window.partitionBy("v").orderBy("__o", "suggestion"))
+    return entry.withColumn("rank", at).filter(F.col("rank") <= n).select(F.col("v").alias(column), "rank", "suggestion")

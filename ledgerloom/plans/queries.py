@@ -15,6 +15,7 @@ from ledgerloom.operators import forms as P
 from ledgerloom.operators import hierarchy as H
 from ledgerloom.operators import marts as M
 from ledgerloom.operators import names as N
+from ledgerloom.operators import partials as A
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reads as R
 from ledgerloom.operators import search as S
@@ -638,6 +639,21 @@ def multiset_diff(spark, sf_dir):
     return D.multiset_diff(o, o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 50 == 0, "Z").otherwise(F.col("o_orderstatus"))))
 
 
+@query("SELECT o_orderkey, o_orderstatus, y, 'left' AS side FROM (SELECT *, CAST(year(o_orderdate) AS INT) AS y FROM orders) WHERE y = 1997 AND o_orderkey % 50 = 0 UNION ALL SELECT o_orderkey, 'Z', y, 'right' FROM (SELECT *, CAST(year(o_orderdate) AS INT) AS y FROM orders) WHERE y = 1997 AND o_orderkey % 50 = 0")
+def diff_by_part(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").cast("int").alias("y"))
+    return D.diff_by_part(o, o.withColumn("o_orderstatus", F.when((F.col("o_orderkey") % 50 == 0) & (F.col("y") == 1997), "Z").otherwise(F.col("o_orderstatus"))), "y")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS y, count(*) AS rows_left, count(*) FILTER (WHERE o_orderkey % 7 <> 0 OR year(o_orderdate) <> 1996) AS rows_right FROM orders WHERE year(o_orderdate) IN (1996, 1998) GROUP BY 1")
+def changed_parts(spark, sf_dir):
+    # One year lacks rows, in another two columns changed places in one row, all others are the same in another order.
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("y"))
+    swap = (F.col("y") == 1998) & (F.col("o_orderkey") != F.col("o_custkey"))
+    other = o.select(F.when(swap, F.col("o_custkey")).otherwise(F.col("o_orderkey")).alias("o_orderkey"), F.when(swap, F.col("o_orderkey")).otherwise(F.col("o_custkey")).alias("o_custkey"), "y", (~((F.col("y") == 1996) & (F.col("o_orderkey") % 7 == 0))).alias("kept")).filter("kept").drop("kept")
+    return D.changed_parts(o, other.repartition(3), "y")
+
+
 # 2.6 marts -------------------------------------------------------------------------------------------
 
 
@@ -765,6 +781,34 @@ def share_stats(spark, sf_dir):
     return M.share_stats(_balance(spark, sf_dir), "self", "invest")
 
 
+_PARTIALS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _partial(spark, sf_dir) -> DataFrame:
+    """The stored partial aggregate of the warehouse."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _PARTIALS:
+        path = _warehouse(spark, sf_dir)
+        _PARTIALS[at] = checkpointed(A.partial_counts(versions.read(spark, path, "fact_row"), {n: versions.read(spark, path, n) for n in warehouse.DIMENSIONS}))
+    return _PARTIALS[at]
+
+
+def _of_partial(name: str, sql: str) -> None:
+    @query(w_sql(sql), f"partial_{name}")
+    def run(spark, sf_dir):
+        return A.marts(_partial(spark, sf_dir))[name]
+
+
+_of_partial("kpi", "SELECT count(*) AS row_count, count(n * factor) AS convertible, count(DISTINCT province) AS provinces, count(DISTINCT year) AS years, count(DISTINCT indicator_raw) AS indicators FROM wn WHERE dup_kind = ''")
+_of_partial("coverage_grid", "SELECT province, year, count(*) AS row_count FROM wn WHERE dup_kind = '' GROUP BY 1, 2")
+_of_partial("timeline", "SELECT year, scope, count(*) AS row_count FROM wn WHERE dup_kind = '' GROUP BY 1, 2")
+_of_partial("volume", "SELECT province, count(*) AS row_count, count(n * factor) AS convertible FROM wn WHERE dup_kind = '' GROUP BY 1")
+_of_partial("unit_profile", "SELECT unit, CAST(CASE WHEN factor IS NULL THEN 0 ELSE 1 END AS BIGINT) AS factor, count(*) AS row_count FROM wn WHERE dup_kind = '' GROUP BY 1, 2")
+_of_partial("period_kinds", "SELECT 'Năm' AS kind, count(*) AS row_count FROM wn WHERE dup_kind = ''")
+_of_partial("top_indicators", "SELECT substr(indicator_raw, instr(indicator_raw, ' ') + 1) AS indicator, count(*) AS row_count FROM wn WHERE dup_kind = '' AND length(indicator_raw) - instr(indicator_raw, ' ') > 6 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25")
+_of_partial("breadth", "SELECT province, count(DISTINCT indicator_raw) AS indicators FROM wn WHERE dup_kind = '' GROUP BY 1")
+
+
 # 2.7 cells and hierarchy -----------------------------------------------------------------------------
 
 _CELLS = "cl AS (SELECT form_code, indicator_raw, series, province, year, count(*) AS n, min(vnd) AS lo, max(vnd) AS hi, min(id) AS first_id, arg_min(unit, id) AS unit FROM v WHERE vnd IS NOT NULL GROUP BY 1, 2, 3, 4, 5)"

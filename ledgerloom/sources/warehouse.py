@@ -30,16 +30,18 @@ def load(spark: SparkSession, path: str, rows: DataFrame, status: DataFrame) ->
     expected = rows.count()
 
     def audit(written: dict[str, DataFrame]) -> list[str]:
-        fact_, wrong = written["fact_row"], []
-        if (n := fact_.count()) != expected:
-            wrong.append(f"{n} facts for {expected} rows")
+        c, wrong, all_dims, fact_ = F.col, [], None, written["fact_row"]
         for name in DIMENSIONS:
-            dim = written[name]
-            n, labels, ids, top = dim.agg(F.count(F.lit(1)), F.countDistinct("label"), F.countDistinct("id"), F.coalesce(F.max("id"), F.lit(0))).first()
-            if not n == labels == ids == top:
-                wrong.append(f"{name}: {n} rows, {labels} labels, {ids} ids up to {top}")
-            if not fact_.join(dim, fact_[f"{name}_id"] == dim["id"], "left_anti").isEmpty():
-                wrong.append(f"{name}: facts without a label")
+            own = written[name].select(F.lit(name).alias("dim"), "label", "id")
+            all_dims = own if all_dims is None else all_dims.unionByName(own)
+            fact_ = fact_.join(written[name].select(c("id").alias(f"{name}_id"), F.lit(1).alias(f"__{name}")), f"{name}_id", "left")
+        for r in all_dims.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels"), F.countDistinct("id").alias("ids"), F.max("id").alias("top")).collect():
+            if not r["n"] == r["labels"] == r["ids"] == r["top"]:
+                wrong.append(f"{r['dim']}: {r['n']} rows, {r['labels']} labels, {r['ids']} ids up to {r['top']}")
+        seen = fact_.agg(F.count(F.lit(1)).alias("facts"), *[F.count(f"__{n}").alias(n) for n in DIMENSIONS]).first()
+        if seen["facts"] != expected:
+            wrong.append(f"{seen['facts']} facts for {expected} rows")
+        wrong += [f"{n}: facts without a label" for n in DIMENSIONS if seen[n] != seen["facts"]]
         return wrong
 
     owned = reports.filter("province_id is not null")
