@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.units import confidence
+from ledgerloom.operators.ranks import order_statistics
+from ledgerloom.plans.common import checkpointed
 
 CELL = ["form_code", "indicator_raw", "series", "province", "year"]
 
@@ -75,7 +77,9 @@ def compare_publishers(v: DataFrame, form: str, indicator: str, series: str, yea
         c = c.join(F.broadcast(best), F.col("year") == F.col("__y")).drop("__y")  # one row
     else:
         c = c.filter(F.col("year") == year)
-    positive = c.filter("lo > 0").agg(upper_median("lo").alias("median"))
+    c = checkpointed(c)
+    # Publishers may be many: their median is found by counting.
+    positive = order_statistics(c.filter("lo > 0").withColumn("__all", F.lit(0)), "__all", "lo", {"median": (1, 2)}).agg(F.max("median").alias("median"))
     low = F.coalesce((F.col("lo") != 0) & (F.col("lo") * 100 < F.col("median")), F.lit(False))
     return c.crossJoin(F.broadcast(positive)).select("province", "year", "lo", "hi", "n", _flag(low).alias("flag"))  # one row of a median
 

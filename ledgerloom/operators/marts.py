@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.cells import ratio
+from ledgerloom.operators.ranks import order_statistics
+from ledgerloom.plans.common import checkpointed
 
 
 def kpi(v: DataFrame, reports: DataFrame) -> DataFrame:
@@ -101,10 +103,9 @@ def trend_quartiles(cells: DataFrame, indicator: str, min_n: int = 8) -> DataFra
 
     cells are unambiguous ones; figures of 0 are no figures.
     """
-    own = cells.filter((F.col("indicator_raw") == indicator) & (F.col("vnd") != 0))
-    listed = own.groupBy("year").agg(F.sort_array(F.collect_list("vnd")).alias("x")).withColumn("n", F.size("x")).filter(F.col("n") >= min_n)  # one figure for each publisher
-    at = lambda k: F.element_at("x", (F.floor(F.lit(k) * F.col("n") / 4) + 1).cast("int"))
-    return listed.select("year", F.col("n").cast("long").alias("n"), at(1).alias("q1"), at(2).alias("median"), at(3).alias("q3"))
+    own = checkpointed(cells.filter((F.col("indicator_raw") == indicator) & (F.col("vnd") != 0)).select("year", "vnd"))
+    found = order_statistics(own, "year", "vnd", {"q1": (1, 4), "median": (2, 4), "q3": (3, 4)})
+    return found.filter(F.col("n") >= min_n).select("year", "n", "q1", "median", "q3")
 
 
 def correlation(wide: DataFrame, a: str, b: str) -> DataFrame:
@@ -122,3 +123,20 @@ def beaten(compared: DataFrame) -> DataFrame:
     """One row: of plans and outturns how many there are, how many outturns lie above the plan, and that share."""
     n, over = F.count(F.lit(1)), F.count_if(F.col("ratio") > 1)
     return compared.agg(n.alias("n"), over.alias("over_plan"), (F.floor(over / n * 10000 + 0.5) / 10000.0).alias("share"))
+
+
+def spread(wide: DataFrame, column: str) -> DataFrame:
+    """One row: the largest and the smallest positive figure, whose they are, and how many times one is the other."""
+    own = wide.filter(F.col(column) > 0)
+    ends = own.agg(F.max_by("province", F.struct(F.col(column), "province")).alias("largest_of"), F.max(column).alias("largest"), F.min_by("province", F.struct(F.col(column), "province")).alias("smallest_of"), F.min(column).alias("smallest"))
+    return ends.withColumn("times", ratio(F.col("largest"), F.col("smallest")))
+
+
+def compared_shares(wide: DataFrame, total: str, a: str, b: str) -> DataFrame:
+    """One row: of the rows that have a total and both parts, how many there are, in how many a exceeds b, and the median share of either in ten-thousandths."""
+    own = wide.filter((F.col(total) > 0) & F.col(a).isNotNull() & F.col(b).isNotNull())
+    share = lambda x: F.floor(F.col(x) / F.col(total) * 10000 + 0.5).cast("long")
+    own = checkpointed(own.select(F.lit(0).alias("__all"), share(a).alias("x"), share(b).alias("y"), (F.col(a) > F.col(b)).alias("over")))
+    counts = own.agg(F.count(F.lit(1)).alias("n"), F.count_if("over").alias("larger"))
+    middle = lambda x, name: order_statistics(own, "__all", x, {name: (1, 2)}).select(name)
+    return counts.crossJoin(middle("x", f"median_{a}")).crossJoin(middle("y", f"median_{b}"))  # one row each

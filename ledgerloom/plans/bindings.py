@@ -22,21 +22,21 @@ BLOCK = ["province", "year", "form_code", "series", "report_id", "table_label"]
 
 
 #: Where the forms of a folder were stored in this application.
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, bool], str] = {}
 
 
-def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
     """The stored rows of the forms: computed and written to the shared folder once for an application and input, read by every query after that."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+    at = (spark.sparkContext.applicationId, sf_dir, by_customer)
     if at not in _STORED:
         path = f"{shared_folder(spark)}/forms-{uuid4().hex}"
-        built_forms(spark, sf_dir).write.parquet(path)
+        built_forms(spark, sf_dir, by_customer).write.parquet(path)
         _STORED[at] = path
     return spark.read.parquet(_STORED[at])
 
 
-def built_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the forms, in columns of the fact view, with their place in the hierarchy.
+def built_forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
+    """Rows of the forms, in columns of the fact view, with their place in the hierarchy. Publishers are nations, or customers: then the forms grow with the input.
 
     Order lines are summed by order before the join; the hierarchy comes from one grouping over four
     levels; ids number the rows of a form depth first, so no global order is needed.
@@ -54,6 +54,7 @@ def built_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sums = [F.sum("plan").alias("PLAN"), F.sum("outturn").alias("OUTTURN")]
     top = ["pub", "nk", "y"]
+    base = base.withColumn("pub", F.concat(F.lit("C"), "c_custkey")) if by_customer else base
     finest = base.groupBy(*top, "s", "p", "st").agg(*sums)  # the rest is summed from these few rows
     again = [F.sum("PLAN").alias("PLAN"), F.sum("OUTTURN").alias("OUTTURN")]
     sets = [[], ["s"], ["s", "p"], ["s", "p", "st"]]
@@ -71,7 +72,8 @@ def built_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = F.explode(F.array(*[F.struct(F.lit(k).alias("series"), F.lit(i).alias("k"), F.col(k).alias("v")) for i, k in enumerate(("PLAN", "OUTTURN"))])).alias("x")
     rows = numbered.select("*", series).select("*", "x.series", "x.k", "x.v")
     at = (F.col("nk") % 8 + 1).cast("int")
-    ident = ((F.col("nk") * 10000 + F.col("y")).cast("long") * 1000 + F.col("n")) * 2 + F.col("k")
+    own = F.substring("pub", 2, 19).cast("long") if by_customer else F.col("nk")
+    ident = ((own * 10000 + F.col("y")).cast("long") * 1000 + F.col("n")) * 2 + F.col("k")
     blank = F.col("v").isNull() | (F.col("id") % 13 == 5)
     value = F.when((F.col("nk") % 11 == 3) & (F.col("y") % 3 == 0), F.expr("v div 1000000")).otherwise(F.col("v"))
     return (
@@ -166,6 +168,8 @@ v AS (SELECT id, pub AS province, CAST(nk AS INT) AS nk, CAST(y AS INT) AS year,
 landed AS (SELECT *, 'r' || report_id AS source_url, id * 4 AS ord FROM v
            UNION ALL SELECT *, 'r' || report_id, id * 4 + 1 FROM v WHERE id % 97 = 0
            UNION ALL SELECT *, 'r' || report_id || 'x', id * 4 + 2 FROM v WHERE id % 89 = 0)"""
+#: v with customers as publishers.
+LARGE_SQL = FORMS_SQL.replace("n_name AS pub", "'C' || c_custkey AS pub").replace("(nk * 10000 + y)::BIGINT", "(substr(pub, 2)::BIGINT * 10000 + y)")
 PLANTED_SQL = """
 p0 AS (SELECT * REPLACE (CASE WHEN vnd IS NOT NULL AND id % 31 = 1 THEN 0 WHEN vnd IS NOT NULL AND id % 37 = 2 THEN 2000000000000000 ELSE vnd END AS vnd) FROM v),
 pv AS (SELECT * FROM p0 UNION ALL SELECT * FROM p0 WHERE id % 29 = 0)"""

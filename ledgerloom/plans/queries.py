@@ -20,7 +20,7 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reads as R
 from ledgerloom.operators import search as S
 from ledgerloom.operators import star as T
-from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LINES_SQL, PLANTED_SQL, REPORTS_SQL, UNITS, forms, label_index, landed, lines, planted, reports
+from ledgerloom.plans.bindings import BLOCK, FORM, FORMS_SQL, LARGE_SQL, LINES_SQL, PLANTED_SQL, REPORTS_SQL, UNITS, forms, label_index, landed, lines, planted, reports
 from ledgerloom.operators import longrows as L
 from ledgerloom.plans.common import checkpointed, shared_folder, table
 from ledgerloom.sources import catalog as K
@@ -781,6 +781,57 @@ def share_stats(spark, sf_dir):
     return M.share_stats(_balance(spark, sf_dir), "self", "invest")
 
 
+@query(v_sql(f"SELECT count(*) AS n, count(*) FILTER (WHERE ratio > 1) AS over_plan, floor(count(*) FILTER (WHERE ratio > 1) / count(*) * 10000 + 0.5) / 10000.0 AS share FROM (SELECT province, year, floor(max(vnd) FILTER (WHERE series = 'OUTTURN') / max(vnd) FILTER (WHERE series = 'PLAN') * 10000 + 0.5) / 10000.0 AS ratio FROM v WHERE indicator_raw = '{TOTAL}' AND vnd IS NOT NULL AND vnd <> 0 GROUP BY 1, 2 HAVING count(DISTINCT series) = 2)"))
+def beaten(spark, sf_dir):
+    return M.beaten(C.plan_vs_outturn(forms(spark, sf_dir), FORM, TOTAL))
+
+
+@query(v_sql(f"SELECT province, year, plan, outturn, ratio, count(*) FILTER (WHERE outturn > plan) OVER () AS over_plan FROM (SELECT province, year, max(vnd) FILTER (WHERE series = 'PLAN') AS plan, max(vnd) FILTER (WHERE series = 'OUTTURN') AS outturn, floor(max(vnd) FILTER (WHERE series = 'OUTTURN') / max(vnd) FILTER (WHERE series = 'PLAN') * 10000 + 0.5) / 10000.0 AS ratio FROM v WHERE indicator_raw = '{TOTAL}' AND vnd IS NOT NULL AND vnd <> 0 AND year = 1998 GROUP BY 1, 2 HAVING count(DISTINCT series) = 2)"))
+def over_plan(spark, sf_dir):
+    return R.over_plan(C.plan_vs_outturn(forms(spark, sf_dir), FORM, TOTAL, year=1998))
+
+
+@query(v_sql("SELECT arg_max(province, (total, province)) AS largest_of, max(total) AS largest, arg_min(province, (total, province)) AS smallest_of, min(total) AS smallest, floor(max(total) / min(total) * 10000 + 0.5) / 10000.0 AS times FROM lc WHERE total > 0", f"{_PIVOT}, {_LATEST}"))
+def largest_smallest(spark, sf_dir):
+    return M.spread(M.latest_complete(_balance(spark, sf_dir), ["own", "total"]), "total")
+
+
+@query(v_sql("SELECT count(*) AS n, count(*) FILTER (WHERE own > inv) AS larger, list_sort(list(CAST(floor(own / total * 10000 + 0.5) AS BIGINT)))[count(*) // 2 + 1] AS median_own, list_sort(list(CAST(floor(inv / total * 10000 + 0.5) AS BIGINT)))[count(*) // 2 + 1] AS median_inv FROM bq WHERE total > 0 AND own IS NOT NULL AND inv IS NOT NULL", _PIVOT))
+def compared_shares(spark, sf_dir):
+    return M.compared_shares(_balance(spark, sf_dir), "total", "own", "inv")
+
+
+@query(v_sql("SELECT count(*) AS n, count(*) FILTER (WHERE borrowed > repaid) AS larger, list_sort(list(CAST(floor(borrowed / spending * 10000 + 0.5) AS BIGINT)))[count(*) // 2 + 1] AS median_borrowed, list_sort(list(CAST(floor(repaid / spending * 10000 + 0.5) AS BIGINT)))[count(*) // 2 + 1] AS median_repaid FROM (SELECT province, year, max(CASE WHEN indicator_raw = 'A TOTAL' THEN vnd END) AS spending, max(CASE WHEN indicator_raw = 'III FURNITURE' THEN vnd END) AS borrowed, max(CASE WHEN indicator_raw = 'V MACHINERY' THEN vnd END) AS repaid FROM uk WHERE n = 1 GROUP BY 1, 2 HAVING max(CASE WHEN indicator_raw = 'A TOTAL' THEN vnd END) <> 0 QUALIFY row_number() OVER (PARTITION BY province ORDER BY year DESC) = 1) WHERE spending > 0 AND borrowed IS NOT NULL AND repaid IS NOT NULL", _UC))
+def borrowing_shares(spark, sf_dir):
+    return M.compared_shares(debt(spark, sf_dir), "spending", "borrowed", "repaid")
+
+
+# The same marts where every customer publishes forms: rows grow with the input, and so do publishers.
+_LARGE = {
+    "kpi": ("SELECT (SELECT count(*) FROM v) AS row_count, (SELECT count(DISTINCT province) FROM v) AS provinces, (SELECT count(vnd) FROM v) AS convertible, (SELECT count(DISTINCT year) FROM v) AS years, (SELECT count(DISTINCT indicator_raw) FROM v) AS indicators, (SELECT count(*) FROM status) AS reports, (SELECT count(*) FROM status WHERE rows = 0) AS empty_reports", lambda v, status: M.kpi(v, status)),
+    "coverage_grid": ("SELECT province, year, count(*) AS row_count FROM v GROUP BY 1, 2", lambda v, _: M.coverage_grid(v)),
+    "timeline": ("SELECT year, scope, count(*) AS row_count FROM v GROUP BY 1, 2", lambda v, _: M.counts(v.filter("year is not null"), "year", "scope")),
+    "volume": ("SELECT province, count(*) AS row_count, count(vnd) AS convertible FROM v GROUP BY 1", lambda v, _: M.volume(v)),
+    "unit_profile": ("SELECT unit, factor, count(*) AS row_count FROM v GROUP BY 1, 2", lambda v, _: M.counts(v, "unit", "factor")),
+    "top_indicators": ("SELECT indicator_raw, count(*) AS row_count FROM v WHERE length(indicator_raw) > 6 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25", lambda v, _: M.top(v.filter("char_length(indicator_raw) > 6"), "indicator_raw", 25)),
+    "unambiguous_cells": (f"SELECT form_code, province, year, indicator_raw, vnd FROM ({_UC.removeprefix('uk AS (')[:-1]}) WHERE n = 1", lambda v, _: M.unambiguous_cells(v, FORM, "PLAN")),
+    "plan_vs_outturn": (f"""SELECT province, year, plan, outturn, floor(outturn / plan * 10000 + 0.5) / 10000.0 AS ratio FROM (SELECT province, year, max(CASE WHEN series = 'PLAN' THEN vnd END) AS plan, max(CASE WHEN series = 'OUTTURN' THEN vnd END) AS outturn,
+ count(CASE WHEN series = 'PLAN' THEN vnd END) AS a, count(CASE WHEN series = 'OUTTURN' THEN vnd END) AS b FROM v WHERE indicator_raw = '{TOTAL}' GROUP BY 1, 2) WHERE a = 1 AND b = 1 AND plan <> 0 AND outturn <> 0""", lambda v, _: C.plan_vs_outturn(v, FORM, TOTAL)),
+    "trend_quartiles": (f"SELECT year, n, l[1 * n // 4 + 1] AS q1, l[2 * n // 4 + 1] AS median, l[3 * n // 4 + 1] AS q3 FROM (SELECT year, count(*) AS n, list_sort(list(vnd)) AS l FROM ({_UC.removeprefix('uk AS (')[:-1]}) WHERE n = 1 AND indicator_raw = '{TOTAL}' AND vnd <> 0 GROUP BY 1) WHERE n >= 8", lambda v, _: M.trend_quartiles(M.unambiguous_cells(v, FORM, "PLAN"), TOTAL)),
+    "cells": ("SELECT form_code, indicator_raw, series, province, year, count(*) AS n, min(vnd) AS lo, max(vnd) AS hi, min(id) AS first_id, arg_min(unit, id) AS unit FROM v WHERE vnd IS NOT NULL GROUP BY 1, 2, 3, 4, 5", lambda v, _: C.cells(v, FORM)),
+}
+
+
+def _large(name: str, sql: str, mart) -> None:
+    @query(f"WITH {LARGE_SQL}, {REPORTS_SQL}, {_STATUS_SQL} {sql}", f"large_{name}")
+    def run(spark, sf_dir):
+        return mart(forms(spark, sf_dir, by_customer=True), _status(spark, sf_dir) if name == "kpi" else None)
+
+
+for _name, (_sql, _mart) in _LARGE.items():
+    _large(_name, _sql, _mart)
+
+
 _PARTIALS: dict[tuple[str, str], DataFrame] = {}
 
 
