@@ -113,8 +113,8 @@ def signatures(features: np.ndarray) -> tuple[np.ndarray, int]:
     """(signatures, asked): in each of the set's bands, every subset of two of the three parts of every range; how many of them any partner shares.
 
     Of k / 2 + 1 + m ranges, m + 1 have at most one differing feature, so a signature of theirs is shared. Subsets without features
-    say little and are left out, unless more than m ranges have one: then a set enumerates them all, and so does any partner for
-    which that matters.
+    say little and are left out, so where h ranges have one, m + 1 - h are shared. A set in which more than m ranges have one
+    enumerates them all; a partner may still leave its own out, so one signature is all that can be asked for then.
     """
     out, asked = [], len(features)
     high, mixed = features >> U(32), mix(features + _STEP)
@@ -135,7 +135,7 @@ def signatures(features: np.ndarray) -> tuple[np.ndarray, int]:
         filled = np.roll(full, 1, 1) | np.roll(full, 2, 1)
         hollow = int((~filled).any(1).sum())
         out.append(sigs.ravel() if hollow > more else sigs[filled])
-        asked = min(asked, more + 1 if hollow > more else more + 1 - hollow)
+        asked = min(asked, 1 if hollow > more else more + 1 - hollow)
     return np.concatenate(out) if out else np.empty(0, U), asked
 
 

@@ -57,10 +57,10 @@ def item_windows(benchmark: DataFrame, size: int, item: str, text: str) -> DataF
     return checkpointed(once.select(F.monotonically_increasing_id().alias("window"), F.size("words").alias("n"), "words", "terms", "items"))
 
 
-def _blocks(words: DataFrame) -> Iterator[frozenset[bytes]]:
-    """The distinct words (word) in blocks of about BLOCK_TERMS, so that neither the driver nor a task holds more at once."""
+def _blocks(words: DataFrame, least: int = 0) -> Iterator[frozenset[bytes]]:
+    """The distinct words (word) in blocks of about BLOCK_TERMS, `least` of them at least. Blocks are read one by one, so neither the driver nor a task holds more at once."""
     words = checkpointed(words.distinct())
-    blocks = -(-words.count() // BLOCK_TERMS)
+    blocks = max(least, -(-words.count() // BLOCK_TERMS))
     for b in range(blocks):
         own = words if blocks == 1 else words.filter(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b)
         yield frozenset(bytes(r["word"]) for r in own.collect())
@@ -80,6 +80,7 @@ def term_counts(texts: DataFrame, words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([term_hash(w) for w in total], pa.int64()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 
         one = checkpointed(texts.select("__text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("df")))
+        known.unpersist()
         out = one if out is None else out.unionByName(one)
     return out if out is not None else texts.sparkSession.createDataFrame([], "term long, df long")
 
@@ -88,7 +89,7 @@ def postings(texts: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, postings): (__key, __rid, n_words) of every text, and (row, __key, __rid, n_words, term, at) of every place of a word of words (word)."""
     key_type = dict(texts.dtypes)["__key"]
     docs, lists = None, None
-    for block in [*_blocks(words)] or [frozenset()]:
+    for block in _blocks(words, 1):
         wanted = texts.sparkSession.sparkContext.broadcast({w: term_hash(w) for w in block})
 
         def index(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
@@ -106,6 +107,7 @@ def postings(texts: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
         indexed = texts.mapInArrow(index, f"__key {key_type}, __rid long, n_words long, terms array<bigint>, places array<int>")
         # A row's number is good for one block: the lists of a window are met by key and hash of the text.
         indexed = checkpointed(indexed.withColumn("row", F.xxhash64("__key", "__rid")))
+        wanted.unpersist()
         docs = indexed.select("__key", "__rid", "n_words") if docs is None else docs
         one = indexed.filter("size(terms) > 0").select("row", "__key", "__rid", "n_words", "places", F.posexplode("terms").alias("i", "term")).select("row", "__key", "__rid", "n_words", "term", F.get("places", "i").alias("at"))
         lists = one if lists is None else lists.unionByName(one)

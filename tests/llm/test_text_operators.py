@@ -126,6 +126,46 @@ def test_signatures_guarantee_a_match():
                 assert len(np.intersect1d(a[: jaccard.prefix(len(a))], b[: jaccard.prefix(len(b))])) >= max(jaccard.need(len(a)), jaccard.need(len(b)))
 
 
+def test_small_sets_share_as_many_signatures_as_they_ask_for():
+    import numpy as np
+
+    draw = np.random.default_rng(7)
+    links = 0
+    for size in [*range(1, 41), 60, 120]:
+        for _ in range(120):
+            a = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64) << np.uint64(1))
+            gone, fresh = draw.integers(0, size // 4 + 1), draw.integers(0, size // 3 + 1)
+            b = np.unique(np.r_[draw.permutation(a)[gone:], draw.integers(0, 2**63, fresh, dtype=np.uint64) << np.uint64(1)])
+            both = len(np.intersect1d(a, b))
+            if both < max(len(a), len(b)) and 7 * both >= 3 * (len(a) + len(b)):
+                links += 1
+                (x, least), (y, most) = jaccard.signatures(a), jaccard.signatures(b)
+                assert len(np.intersect1d(x, y)) >= max(least, most) >= 1, (len(a), len(b), both)
+    assert links > 1000
+
+
+def test_benchmark_words_are_held_a_block_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 300}" for j in range(60))) for i in range(20)], "doc_id long, text string")
+    items = spark.createDataFrame([(f"b{i}", " ".join(f"w{(i * 11 + j) % 320}" for j in range(14))) for i in range(25)], "item_id string, text string")
+    want = sorted(map(tuple, leaks.decontaminate(docs, items).select("doc_id", "n_hit", "items_sha256").collect()))
+    alive, most, real = [0], [0], leaks._blocks
+
+    class Held(frozenset):
+        def __new__(cls, words):
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+            return super().__new__(cls, words)
+
+    def watched(words, least=0):
+        for block in real(words, least):
+            yield Held(block)
+            alive[0] -= 1  # asked for the next one: the last is done with
+
+    monkeypatch.setattr(leaks, "BLOCK_TERMS", 50)
+    monkeypatch.setattr(leaks, "_blocks", lambda words, least=0: (frozenset(b) for b in watched(words, least)))
+    assert sorted(map(tuple, leaks.decontaminate(docs, items).select("doc_id", "n_hit", "items_sha256").collect())) == want and most[0] == 1 and any(w[1] for w in want)
+
+
 def test_pairs_found_only_by_signatures(spark):
     """A chain of sets whose least features differ on purpose still links."""
     base = [f"t{i}" for i in range(240)]
