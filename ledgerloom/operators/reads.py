@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def balance_sheet(v: DataFrame, form: str, named: dict[str, str], series: str, r
         last = Window.partitionBy("province").orderBy(F.desc("year"))
         wide = wide.dropna(subset=required).withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r")
     share = lambda a, b: F.when((F.col(a) != 0) & (F.col(b) != 0), F.when(F.col(f"__{a}") | F.col(f"__{b}"), "?").otherwise(F.floor(F.col(a) / F.col(b) * 10000 + 0.5).cast("long").cast("string")))
-    flag = F.when(F.greatest(*[F.col(f"__{n}") for n in named]), "MAGNITUDE?").otherwise("")
+    flag = F.when(reduce(lambda a, b: a | b, [F.col(f"__{n}") for n in named]), "MAGNITUDE?").otherwise("")
     return wide.select("province", "year", *named, *[F.coalesce(share(a, b), F.lit("")).alias(n) for n, (a, b) in ratios.items()], flag.alias("flag"))
 
 

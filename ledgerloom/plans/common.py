@@ -58,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 #: Seconds between two collections of the driver's garbage, and when the last one was.
-COLLECT_S, _COLLECTED = 2.0, [0.0]
+COLLECT_S, _COLLECTED = 0.3, [0.0]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from ledgerloom.operators import longrows as L
 from ledgerloom.operators import marts as M
 from ledgerloom.operators import names as N
 from ledgerloom.operators import quality as Q
+from ledgerloom.operators import reads as B
 from ledgerloom.operators import search as S
 from ledgerloom.sources import catalog as K
 from ledgerloom.sources import files as R
@@ -141,11 +142,28 @@ def test_magnitude_series(spark):
     rows = [(2018, 26003608), (2019, 20625921), (2020, 29106050000000), (2021, 28709234), (2022, 23556345000000)]
     v = spark.createDataFrame([(y, "p", y, "F", "x", "S", n, "VND") for y, n in rows], "id int, province string, year int, form_code string, indicator_raw string, series string, vnd bigint, unit string")
     assert {r["flag"] for r in C.timeseries(v, "F", "x", "S").collect()} == {"MAGNITUDE?"}
-    assert C.pick_series(v, "F", "x") == "S"
+    assert C.pick_series(v, "F", "x") == "S" and C.pick_series(v, "F", "x", province="p") == "S"
+    with pytest.raises(ValueError, match="choose"):
+        C.pick_series(v, "F", "x", province="q")
     with pytest.raises(ValueError, match="choose"):
         C.pick_series(v, "F", "x", "T")
 
 
+def test_reads_flag_what_is_no_amount_of_money_and_keep_zeros(spark):
+    rows = [("p", 2019, 5, "VND"), ("p", 2020, 100, "VND"), ("p", 2020, 100, "VND"), ("q", 2020, 0, "VND"), ("r", 2020, 2 * 10**15, "VND"), ("s", 2020, 90, "%"), ("t", 2020, 7, "VND"), ("t", 2020, 8, "VND"), ("u", 2020, 0, "VND")]
+    v = spark.createDataFrame([(i, p, y, "F", "x", "S", n, u) for i, (p, y, n, u) in enumerate(rows)], "id int, province string, year int, form_code string, indicator_raw string, series string, vnd bigint, unit string")
+    assert {r["province"]: r["flag"] for r in C.compare_publishers(v, "F", "x", "S").collect()} == {"p": "", "q": "", "r": "implausible", "s": "not_currency", "t": "AMBIGUOUS", "u": ""}
+    assert {(r["province"], r["year"]): (r["vnd"], r["flag"]) for r in C.timeseries(v, "F", "x", "S").filter("province in ('p', 'r', 't')").collect()} == {("p", 2019): (5, ""), ("p", 2020): (100, ""), ("r", 2020): (2 * 10**15, "implausible"), ("t", 2020): (None, "AMBIGUOUS")}
+    sheet = lambda **k: {(r["province"], r["year"]): (r["x"], r["share"]) for r in B.balance_sheet(v, "F", {"x": "x"}, "S", {"share": ("x", "x")}, ["x"], **k).collect()}
+    assert sheet()["p", 2020] == (100, "10000") and sheet()["q", 2020] == (0, "") and ("p", 2019) not in sheet() and ("t", 2020) not in sheet()
+    assert set(sheet(province="p")) == {("p", 2019), ("p", 2020)} and set(sheet(year=2019)) == {("p", 2019)}
+
+
+def test_the_publisher_directory(spark):
+    df = spark.createDataFrame([("Sở A", 1), ("Sở B", 2), ("Sở A", 1)], "Title string, ID int")
+    assert sorted(map(tuple, K.departments(df, "Title", "ID").collect())) == [("Sở A", 1), ("Sở B", 2)]
+
+
 def test_names_are_never_guessed(spark):
     dim = spark.createDataFrame([("Bắc Ninh",), ("Hà Nội",), ("TP Hồ Chí Minh",), ("Huế",)], "name string")
     asked = spark.createDataFrame([(x,) for x in ("Bắc Ninh", "bac ninh", "Hanoi", "TPHCM", "thua thien hue", "Bắc Giang")], "asked string")
@@ -262,8 +280,8 @@ def test_files_are_ingested_once(spark, tmp_path):
 
 def test_sinks_replace_only_what_they_write(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "province string, x int")
-    sinks.write_long(df, f"{tmp_path}/long")
-    sinks.write_long(df.filter("province = 'a'").withColumn("x", F.lit(7)), f"{tmp_path}/long")
+    sinks.write_long(df, f"{tmp_path}/long", "province")
+    sinks.write_long(df.filter("province = 'a'").withColumn("x", F.lit(7)), f"{tmp_path}/long", "province")
     assert sorted((r["province"], r["x"]) for r in spark.read.parquet(f"{tmp_path}/long").collect()) == [("a", 7), ("b", 2)]
     sinks.write_star(df.withColumn("province_id", F.lit(1)), {"dim": df}, f"{tmp_path}/star")
     sinks.write_marts({"m": df}, f"{tmp_path}/marts")
