@@ -3,6 +3,7 @@
 Personalised PageRank starts from hosts with allowed pages; distrust starts from hosts with blocked pages
 and runs against the links (a page that links to blocked ones is suspect). A host's weight as a start is the share of its pages. Hosts and links are small
 beside pages: pages are reduced to distinct host links with map-side combine before anything iterates.
+Scores are in units of one seed all of whose pages are allowed, or blocked, so the threshold means the same in a graph of any size.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-#: Scores, which add up to 1, are settled when a step changes them by less than this in all: 57 steps at most at this damping.
-TOLERANCE = 1e-4
-#: Where a host is blocked: its trust less its distrust, in units of an average host's score.
+#: Scores are settled when a step adds less than this to all of them together; each is then within 0.006 of its limit.
+TOLERANCE = 1e-3
+#: Where a host is blocked: its trust less its distrust, in units of one whole seed.
 THRESHOLD = -0.1
 AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,30 +54,32 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def spread(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
-    """(host, score): PageRank over edges (src, dst), restarting at seeds (host, weight) in proportion to their weights.
+    """(host, trust, distrust): what comes of seeds (host, trust, distrust) along edges (src, dst), distinct ones.
 
-    Walks that end at a host without links restart as well. Scores add up to 1, or are all 0 without seeds; loops and repeated
-    edges count. Steps go on until the scores change by less than tolerance in all; the change shrinks by the damping in each. Lineage is cut in the
-    shared folder at every second step, and the change is measured there.
+    Personalised PageRank in units of one whole seed: a seed starts with its weight, and each step hands on `damping` of what came in the
+    step before, in equal parts, trust along the links and distrust against them. What comes to a host without a way on ends there. So a host's
+    scores follow from the seeds that reach it alone, and other hosts, linked or not, however many, don't move them. A step carries `damping` of the last one
+    at most; steps go on until less than tolerance is handed on in all, so every score is within tolerance * damping / (1 - damping).
+    Each step has one join and one grouping, in which a host's own row keeps its scores; lineage is cut in the shared folder at every fourth.
     """
-    total = seeds.agg(F.sum("weight").alias("all"))
-    restart = seeds.crossJoin(F.broadcast(total)).select("host", (F.col("weight") / F.col("all")).alias("p"))  # one row of a total
-    base = nodes.join(restart, "host", "left").select("host", F.coalesce("p", F.lit(0.0)).alias("p"))
-    out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("links"))
-    base = checkpointed(base.join(out.withColumnRenamed("src", "host"), "host", "left"))
-    state = base.select("host", "p", "links", F.col("p").alias("score"))
+    onward = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(True).alias("with_links"))
+    ways = onward.unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b"), F.lit(False).alias("with_links")))
+    many = ways.groupBy("a", "with_links").agg(F.count(F.lit(1)).alias("n"))
+    part = lambda with_links: F.when(F.col("with_links") == F.lit(with_links), damping / F.col("n")).otherwise(F.lit(0.0))
+    shares = ways.join(many, ["a", "with_links"]).select("a", "b", part(True).alias("t"), part(False).alias("d"), F.lit(False).alias("own"))
+    stays = nodes.select(F.col("host").alias("a"), F.col("host").alias("b"), F.lit(0.0).alias("t"), F.lit(0.0).alias("d"), F.lit(True).alias("own"))
+    ways = checkpointed(shares.unionByName(stays))
+    start = [F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")]
+    state = checkpointed(nodes.join(seeds, "host", "left").select("host", start[0].alias("trust"), start[1].alias("distrust"), start[0].alias("new_t"), start[1].alias("new_d")))
     while True:
-        for _ in range(2):
-            flow = state.filter("links > 0").select(F.col("host").alias("src"), (F.col("score") / F.col("links")).alias("part"))
-            gained = edges.join(flow, "src").groupBy(F.col("dst").alias("host")).agg(F.sum("part").alias("gain"))
-            lost = state.filter("links is null").agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("lost"))
-            score = (1 - damping + damping * F.col("lost")) * F.col("p") + damping * F.coalesce("gain", F.lit(0.0))
-            state = state.join(gained, "host", "left").crossJoin(F.broadcast(lost)).select("host", "p", "links", F.col("score").alias("before"), score.alias("score"))  # one row of a sum
+        for _ in range(4):
+            met = ways.join(state, F.col("a") == F.col("host"))
+            kept = [F.sum(F.when(F.col("own"), F.col(c)).otherwise(F.lit(0.0))) for c in ("trust", "distrust")]
+            came = [F.sum(F.col("t") * F.col("new_t")), F.sum(F.col("d") * F.col("new_d"))]
+            state = met.groupBy(F.col("b").alias("host")).agg((kept[0] + came[0]).alias("trust"), (kept[1] + came[1]).alias("distrust"), came[0].alias("new_t"), came[1].alias("new_d"))
         state = checkpointed(state)
-        if (state.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0) < tolerance:
-            break
-        state = state.drop("before")
-    return state.select("host", "score")
+        if (state.agg(F.sum(F.col("new_t") + F.col("new_d"))).first()[0] or 0.0) < tolerance:
+            return state.select("host", "trust", "distrust")
 
 
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -90,7 +93,7 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", html: str = "html", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each page: key, host, path, rule, verdict, and the host's trust and distrust.
 
-    The longest rule that fits decides. Else the host's score, trust less distrust in units of an average host's score, is held
+    The longest rule that fits decides. Else the host's score, trust less distrust in units of one whole seed, is held
     against the threshold: below it the page is blocked. Hosts that no seed reaches have score 0 and pass. Of rules as long that
     fit, block goes first. Null urls and those without :// have an empty host and path; pages of any length are read whole.
     Repeated pages get a row each; other columns, whatever their names, are not read; empty tables stay empty.
@@ -108,12 +111,9 @@ def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url",
     seeds = checkpointed(
         ruled.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("__rule.rule_verdict") == "allow").alias("allowed"), F.count_if(F.col("__rule.rule_verdict") == "block").alias("blocked"))
     )
-    trust = spread(hosts.select("host"), edges, seeds.filter("allowed > 0").select("host", (F.col("allowed") / F.col("pages")).alias("weight")))
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = spread(hosts.select("host"), back, seeds.filter("blocked > 0").select("host", (F.col("blocked") / F.col("pages")).alias("weight")))
-    scores = checkpointed(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host"))
+    share = [(F.col(c) / F.col("pages")).alias(name) for c, name in (("allowed", "trust"), ("blocked", "distrust"))]
+    scores = spread(hosts.select("host"), edges, seeds.filter("allowed + blocked > 0").select("host", *share))
     judged = join_checked(ruled, scores, "host", "left")
-    n_hosts = hosts.count()
     rule = F.concat("__rule.rule_host", "__rule.rule_path")
-    by_graph = F.when((F.col("trust") - F.col("distrust")) * F.lit(float(n_hosts)) < threshold, "block").otherwise("allow")
+    by_graph = F.when(F.col("trust") - F.col("distrust") < threshold, "block").otherwise("allow")
     return judged.select(F.col("__key").alias(key), "host", "path", rule.alias("rule"), F.coalesce("__rule.rule_verdict", by_graph).alias("verdict"), "trust", "distrust")

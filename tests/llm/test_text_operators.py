@@ -397,15 +397,31 @@ def test_pagerank_meets_brute_force(spark):
     edges = sorted({(f"h{draw.randrange(12)}", f"h{draw.randrange(12)}") for _ in range(40)})
     edges = [e for e in edges if e[0] != e[1]]
     hosts = [f"h{i}" for i in range(12)]
-    p = {h: (0.75 if h == "h0" else 0.25 if h == "h1" else 0.0) for h in hosts}
-    s = dict(p)
-    out = Counter(a for a, _ in edges)
-    for _ in range(150):
-        lost = sum(s[h] for h in hosts if not out[h])
-        s = {h: (0.15 + 0.85 * lost) * p[h] + 0.85 * sum(s[a] / out[a] for a, b in edges if b == h) for h in hosts}
-    seeds = spark.createDataFrame([("h0", 3.0), ("h1", 1.0)], "host string, weight double")
-    got = urls.spread(spark.createDataFrame([(h,) for h in hosts], "host string"), spark.createDataFrame(edges, "src string, dst string"), seeds, tolerance=1e-11)
-    assert all(abs(r["score"] - s[r["host"]]) < 1e-9 for r in got.collect())
+    seeds = {"h0": (1.0, 0.0), "h1": (0.25, 0.5), "h7": (0.0, 1.0)}
+
+    def walk(links, start):
+        s, out = dict(start), Counter(a for a, _ in links)
+        for _ in range(250):
+            s = {h: start[h] + 0.85 * sum(s[a] / out[a] for a, b in links if b == h) for h in hosts}
+        return s
+
+    trust = walk(edges, {h: seeds.get(h, (0, 0))[0] for h in hosts})
+    distrust = walk([(b, a) for a, b in edges], {h: seeds.get(h, (0, 0))[1] for h in hosts})
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    given = table([(h, *w) for h, w in seeds.items()], "host string, trust double, distrust double")
+    got = urls.spread(table([(h,) for h in hosts], "host string"), table(edges, "src string, dst string"), given, tolerance=1e-7).collect()
+    assert len(got) == 12 and all(abs(r["trust"] - trust[r["host"]]) < 1e-5 and abs(r["distrust"] - distrust[r["host"]]) < 1e-5 for r in got)
+
+
+def test_verdicts_do_not_move_with_hosts_elsewhere(spark):
+    """A chain of links to a blocked host: distrust shrinks by the damping with each link, whatever other hosts there are."""
+    schema = "page_id long, url string, html string"
+    chain = [(i, f"http://c{i}.org/", f'<a href="http://c{i + 1}.org/">') for i in range(20)] + [(20, "http://c20.org/", '<a href="http://bad.net/">'), (21, "http://bad.net/es/", "")]
+    elsewhere = [(100 + i, f"http://o{i}.{('org', 'com', 'net')[i % 3]}/es/", "") for i in range(600)]
+    alone = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(chain, schema)).collect()}
+    among = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(chain + elsewhere, schema)).collect()}
+    assert alone == {i: among[i] for i in alone}
+    assert alone == {i: "block" if 0.85 ** (21 - i) > 0.1 else "allow" for i in range(22)}
 
 
 def test_repeated_passages_go_but_for_the_first(spark, empty):
