@@ -8,6 +8,9 @@ so that no source is ever sorted or held in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,13 +57,13 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
     size counts words; a null text has none. A source's words come to its target, rounded; the one row at
     the boundary is cut to meet it. Rows are chosen by a hash of the key, so reruns agree. Rows that
-    share a key and source are taken in order of size; of rows equal in that too, order does not matter. Carried columns that bear
+    share a key and source, or have none, however many, are taken in order of size; of rows equal in that too, order does not matter. Carried columns that bear
     the name of one of the result are left out; other columns are not read. Texts of any length are counted whole. Empty tables give empty results.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     carry = tuple(c for c in carry if c not in (key, "source", "size", "source_size", "target", "copies", "extra"))
     carried = [F.col(f"`{c}`").alias(f"__carry_{i}") for i, c in enumerate(carry)]
-    rows = checkpointed(docs.select(F.col(key).alias("__key"), *carried, F.col(source).alias("source"), size.alias("size"), row_hash(F.col(key)).alias("__h")))
+    rows = checkpointed(docs.select(F.col(key).alias("__key"), *carried, F.col(source).alias("source"), size.alias("size"), row_hash(F.col(key)).alias("__h"), F.spark_partition_id().alias("__part")))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = F.floor(F.col("target") + 0.5).cast("long")
     base = F.when(F.col("source_size") > 0, F.expr("goal div source_size")).otherwise(F.lit(0))
@@ -84,10 +87,17 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     # A source with nothing left over has its edge at the first bucket that has words; one without words has none.
     bounded = join_checked(rows, plan.withColumnRenamed("source", "p_source"), F.col("source").eqNullSafe(F.col("p_source")), "left")
     bounded = join_checked(bounded, edge, F.col("source").eqNullSafe(F.col("e_source")), "left").withColumn("__side", F.shiftright("__h", left) - F.col("e_prefix"))
-    at_edge = bounded.filter("__side = 0")  # a 2**30th of a source
-    below = F.sum("size").over(Window.partitionBy("source").orderBy("__h", "__key", "size").rowsBetween(Window.unboundedPreceding, -1))
-    room = F.col("rest") - F.col("e_below") - F.coalesce(F.col("__below"), F.lit(0))
-    cut = at_edge.withColumn("__below", below).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), room)))
+    at_edge = bounded.filter("__side = 0")  # a 2**30th of a source, and all rows that share one key
+    # Rows alike in hash, key and size are counted by the part they were written in, and numbered within it, so no task orders them all.
+    alike = ["source", "__h", "__key", "size", "__part"]
+    lots = at_edge.groupBy(*alike).agg(F.count(F.lit(1)).alias("n"))
+    below = F.coalesce(F.sum(F.col("n") * F.col("size")).over(Window.partitionBy("source").orderBy(*alike[1:]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lots = checkpointed(lots.select(*[F.col(c).alias(f"l_{c}") for c in alike], below.alias("__below")))
+    at_edge = at_edge.withColumn("__i", F.row_number().over(Window.partitionBy(*alike).orderBy(F.lit(1))) - 1)
+    match = [F.col(c).eqNullSafe(F.col(f"l_{c}")) for c in alike]
+    met = join_checked(at_edge, lots, reduce(and_, match)).withColumn("__below", F.col("__below") + F.col("__i") * F.col("size"))
+    room = F.col("rest") - F.col("e_below") - F.col("__below")
+    cut = met.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), room)))
     others = bounded.filter("__side is null or __side <> 0").withColumn("extra", F.when(F.col("__side") < 0, F.col("size")).otherwise(F.lit(0)))
     columns = [F.col("__key").alias(key), *[F.col(f"__carry_{i}").alias(c) for i, c in enumerate(carry)], F.col("source"), F.col("size"), F.col("source_size"), F.col("target"), F.col("base").cast("long").alias("copies"), F.col("extra").cast("long").alias("extra")]
     return others.select(*columns).unionByName(cut.select(*columns))
