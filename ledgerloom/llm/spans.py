@@ -103,6 +103,24 @@ def _joined(text: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.nda
     return own, (first - origin[own]) << 32 | (last - origin[own])
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (key, th, spans) in which sorted stretches of one text that touch become one, in one pass over each batch."""
+    for batch in batches:
+        lists = batch.column(2)
+        x, counts = np.asarray(lists.flatten()), np.asarray(pc.list_value_length(lists))
+        text = np.repeat(np.arange(len(counts)), counts)
+        start, end = x >> 32, x & 0xFFFFFFFF
+        # Ends so far, told apart by text: those of a text before are below any start of the next one.
+        reach = np.maximum.accumulate(end + (text << 32)) if len(x) else end
+        new = np.ones(len(x), bool)
+        new[1:] = start[1:] + (text[1:] << 32) > reach[:-1]
+        new[1:] |= text[1:] != text[:-1]
+        last = np.append(np.flatnonzero(new)[1:], len(x)) - 1 if len(x) else np.empty(0, np.int64)
+        joined = start[new] << 32 | (reach[last] & 0xFFFFFFFF)
+        split = long_lists(np.split(joined, np.searchsorted(text[new], np.arange(1, batch.num_rows))))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), split], names=["key", "th", "spans"])
+
+
 def span_lists(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, th, h, start, size, again) of each row: the hashes of its runs, each once, at its first place in words; again has the stretches that their other places cover."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,16 +157,8 @@ def removed_stretches(docs: DataFrame, key: str, text: str) -> DataFrame:
     first = checkpointed(repeated.groupBy("h").agg(F.min(F.struct("key", "th")).alias("f")))
     later = repeated.join(first, "h").filter(~F.struct("key", "th").eqNullSafe(F.col("f"))).select("key", "th", (F.shiftleft(F.col("s").cast("long"), 32) + F.col("s") + F.col("w")).alias("x"))
     inside = rows.filter(F.size("again") > 0).select("key", "th", F.explode("again").alias("x"))
-    # A group is one text: its stretches in order, then those that touch as one.
-    lists = later.unionByName(inside).groupBy("key", "th").agg(F.sort_array(F.collect_set("x")).alias("all"))
-    low, last = F.lit((1 << 32) - 1), lambda done: F.element_at(done, -1)
-    touches = lambda done, x: (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).bitwiseAND(low) >= F.shiftright(x, 32))
-    longer = lambda a, x: a - a.bitwiseAND(low) + F.greatest(a.bitwiseAND(low), x.bitwiseAND(low))
-    joined = F.aggregate(
-        "all", F.array().cast("array<bigint>"),
-        lambda done, x: F.when(touches(done, x), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer(last(done), x)))).otherwise(F.concat(done, F.array(x))),
-    )
-    return lists.select("key", "th", joined.alias("spans"))
+    lists = later.unionByName(inside).groupBy("key", "th").agg(F.sort_array(F.collect_set("x")).alias("spans"))  # a group is one text
+    return lists.mapInArrow(_merged, lists.schema)
 
 
 def remove_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
