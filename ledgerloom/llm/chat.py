@@ -76,11 +76,18 @@ def turn_rows(df: DataFrame, key: str = "conv_id", layout: str | None = None) ->
 
 
 def json_fingerprint(record: Column) -> Column:
-    """fingerprint() of one JSON record, from its own fields; those of an array are those of its first element. Null where it isn't a JSON object."""
+    """fingerprint() of one JSON record, from its own fields. Null where it isn't a JSON object.
+
+    Fields of an array are those that any element has; an empty array has all that layouts name there, as a table's column has. Names are read as
+    they are written, case included.
+    """
     def has(path: str) -> Column:
         *outer, field = path.split("[].")
-        holder = F.get_json_object(record, f"$.{outer[0]}[0]") if outer else record
-        return F.coalesce(F.array_contains(F.json_object_keys(holder), field), F.lit(False))
+        if not outer:
+            return F.coalesce(F.array_contains(F.json_object_keys(record), field), F.lit(False))
+        array = F.get_json_object(record, f"$.{outer[0]}")
+        elements = F.from_json(array, "array<map<string,string>>")
+        return F.coalesce((F.json_array_length(array) == 0) | F.exists(elements, lambda m: F.coalesce(F.map_contains_key(m, field), F.lit(False))), F.lit(False))
 
     whole = [F.when(F.forall(F.array(*[has(p) for p in own]), lambda x: x), F.array(*[F.lit(p) for p in own])).otherwise(F.array().cast("array<string>")) for own in PATHS.values()]
     names = F.array_sort(F.array_distinct(F.flatten(F.array(*whole))))
