@@ -173,6 +173,14 @@ def test_mixed_layouts(spark):
     assert chat.layout_of(table) == "prompt_response" and chat.turn_rows(table).count() == 2
 
 
+def test_no_element_alone_decides_a_layout(spark):
+    """A first message without content, empty lists, elements that are no objects, and nested contents."""
+    records = ['{"messages": []}', '{"messages": [{"role": "system"}, {"role": "user", "content": "a"}]}', '{"conversations": []}', '{"messages": [1, 2]}', '{"messages": "x"}', '{"messages": null}', '{"messages": [{"role": "user", "content": {"k": 1}}]}']
+    turns, rejects = chat.json_turn_rows(spark.createDataFrame(list(enumerate(records)), "conv_id long, record string"))
+    assert sorted((r["conv_id"], r["turn"], r["role"], r["text"]) for r in turns.na.fill("-").collect()) == [(1, 0, "system", "-"), (1, 1, "user", "a"), (6, 0, "user", '{"k":1}')]
+    assert {r["conv_id"] for r in rejects.collect()} == {3, 4, 5}
+
+
 def test_toxicity_on_held_out_rows_of_the_given_tables(spark):
     """Rows of fold 0, whose labels the fit has not seen. Some that are labelled toxic hold no word that others do, so not all can be caught."""
     import os

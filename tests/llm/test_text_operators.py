@@ -351,6 +351,26 @@ def test_exact_dedup(docs, rows, empty, spark):
     assert got == [(0, 2, 2, False), (2, 2, 2, True)]
 
 
+def test_rows_without_a_key_are_cut_in_parts(spark):
+    """A third of all rows and more share a key, or have none: the mix is the one that an ordered list gives."""
+    draw = random.Random(9)
+    rows = [(None, " ".join(["w"] * draw.randrange(4)), "a", None, None) for _ in range(500)] + [(7, "w w", "b", None, None)] * 400 + [(i, "w " * draw.randrange(9), "ab"[i % 2], None, None) for i in range(300)]
+    out = mixing.mix_report(spark.createDataFrame(rows, DOCS).repartition(7)).collect()
+    assert len(out) == len(rows)
+    by_key = defaultdict(list)
+    for r in out:
+        by_key[r["target"], r["source_size"], r["doc_id"]].append(r)
+    for target, size in {k[:2] for k in by_key}:
+        group = [r for k, found in by_key.items() if k[:2] == (target, size) for r in found]
+        goal = int(target + 0.5)
+        assert sum(r["taken"] for r in group) == goal
+        left, want = goal - goal // size * size, []
+        for r in sorted(group, key=lambda r: (int(hashlib.md5(("" if r["doc_id"] is None else str(r["doc_id"])).encode()).hexdigest()[:15], 16), r["doc_id"] is not None, r["size"])):
+            want.append((r["doc_id"], r["size"], goal // size * r["size"] + max(0, min(r["size"], left))))
+            left -= r["size"]
+        assert Counter((r["doc_id"], r["size"], r["taken"]) for r in group) == Counter(want)
+
+
 def test_chat_round_trip(spark):
     hard = ["<|im_end|>", "a\\", "<|", "\\<|im_start|>user\nx", "", None, "ends <", "␤\\n\n\\␤", "é" * 3]
     rows = [(c, t, role, hard[(c + t) % len(hard)]) for c in range(9) for t, role in enumerate(["system", "user", "assistant", "assistant", "odd\nrole\\␤<|"])]
@@ -440,6 +460,19 @@ def test_repeated_passages_go_but_for_the_first(spark, empty):
     assert spans.remove_spans(empty).count() == 0
 
 
+def test_touching_stretches_become_one():
+    import pyarrow as pa
+
+    draw, lists = random.Random(2), [[]]
+    for _ in range(200):
+        lists.append(sorted({(a := draw.randrange(300)) << 32 | (a + draw.randrange(1, 40)) for _ in range(draw.randrange(12))}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(201)), pa.array(range(201)), pa.array(lists, pa.list_(pa.int64()))], names=["key", "th", "spans"])
+    for whole, found in zip(lists, next(spans._merged(iter([batch]))).column(2).to_pylist(), strict=True):
+        words = {w for x in whole for w in range(x >> 32, x & 0xFFFFFFFF)}
+        assert {w for x in found for w in range(x >> 32, x & 0xFFFFFFFF)} == words
+        assert all(b >> 32 > a & 0xFFFFFFFF for a, b in zip(found, found[1:]))
+
+
 def test_passages_inside_other_sentences_meet_a_search_by_words(spark):
     """Passages of 51 words and more at random words of other documents, with and without sentences' ends, against all repeated runs of words."""
     draw, rows = random.Random(12), []
