@@ -183,8 +183,12 @@ def chat_report(conversations: DataFrame) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     spark = conversations.sparkSession
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    rows = turn_rows(conversations).withColumn("conv_id", F.col("conv_id").cast("long")).unionByName(planted)
-    back = read_back(render(rows))
+    return digests(turn_rows(conversations).withColumn("conv_id", F.col("conv_id").cast("long")).unionByName(planted))
+
+
+def digests(turns: DataFrame) -> DataFrame:
+    """What is read back from the formatted turns, a row for each conversation: numbers and digests of its turns and of what is learned."""
+    back = read_back(render(turns))
     all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.encode(all_turns, "UTF-8"), 256).alias("turns_sha256"),
@@ -193,6 +197,29 @@ def chat_report(conversations: DataFrame) -> DataFrame:
     )
 
 
+def as_records(turns: DataFrame) -> DataFrame:
+    """(conv_id, record): canonical turns as one JSON record for each conversation, in one of the layouts.
+
+    A question and its answer are prompt and response, prompt and completion, or instruction and output, as conv_id has it; other conversations are lists
+    of messages, with roles of either kind. Null roles and texts count as empty; roles that the other kind would rename are kept as messages.
+    """
+    part = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("t"))
+    said = lambda i: F.get("t", F.lit(i))["text"]
+    pair = lambda first, second: F.to_json(F.struct(said(0).alias(first), said(1).alias(second)))
+    other = lambda role: F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
+    roles = F.transform("t", lambda m: m["role"])
+    messages = F.to_json(F.struct(F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"))).alias("messages")))
+    values = F.to_json(F.struct(F.transform("t", lambda m: F.struct(other(m["role"]).alias("from"), m["text"].alias("value"))).alias("conversations")))
+    turn_about, clash = roles == F.array(F.lit("user"), F.lit("assistant")), F.exists(roles, lambda r: r.isin("human", "gpt"))
+    kind = F.pmod(F.xxhash64("conv_id"), F.lit(3))
+    record = (
+        F.when(turn_about & (kind == 0), pair("prompt", "response")).when(turn_about & (kind == 1), pair("prompt", "completion")).when(turn_about, pair("instruction", "output"))
+        .when((kind == 0) | clash, messages).otherwise(values)
+    )
+    return whole.select("conv_id", record.alias("record"))
+
+
 ORACLE = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -42,6 +42,12 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(table(spark, sf_dir, "conversations"))
 
 
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as JSON records in mixed layouts, each read by its own fingerprint and formatted."""
+    turns, _ = chat.json_turn_rows(chat.as_records(chat.turn_rows(table(spark, sf_dir, "conversations"))))
+    return chat.digests(turns)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -62,7 +68,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_ngram_jaccard_join, op3_source_mixing, op4_benchmark_decontamination, op5_toxicity, op6_license_scan, op7_exact_dedup, op8_chat_format, op9_url_filter, op10_substring_dedup, op11_merkle_manifest, op12_top_k_search, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_ngram_jaccard_join, op3_source_mixing, op4_benchmark_decontamination, op5_toxicity, op6_license_scan, op7_exact_dedup, op8_chat_format, op9_url_filter, op10_substring_dedup, op11_merkle_manifest, op12_top_k_search, op13_spelling_variants, chat_layouts)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES = {
@@ -73,6 +79,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM r WINDOW w AS (PARTITION BY t)
 """,
     "op8_chat_format": chat.ORACLE,
+    "chat_layouts": f"{chat.ORACLE} WHERE conv_id IS DISTINCT FROM -1",
     "op11_merkle_manifest": merkle.ORACLE,
     "op12_top_k_search": vectors.ORACLE,
     "op13_spelling_variants": variants.ORACLE,
