@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from itertools import chain
 
 from pyspark.sql import Column
@@ -119,7 +120,16 @@ def confidence(vnd: Column, series: Column, unit: Column) -> Column:
     return F.when(vnd.isNull(), "").when(percent, "not_currency").when(F.abs(vnd) > IMPLAUSIBLE, "implausible").otherwise("")
 
 
+def times(amount: Column, n: int) -> Column:
+    """n times an amount, to be compared: a decimal where amounts are whole numbers, as the product of large ones is no long."""
+    return amount * F.lit(Decimal(n))
+
+
+def out_of_magnitude(value: Column, median: Column) -> Column:
+    """Whether a value is a hundred times off a median, either way."""
+    return (times(value, 100) < median) | (value > times(median, 100))
+
+
 def magnitude_flag(value: Column, median: Column) -> Column:
     """MAGNITUDE? for a value a hundred times off its history's median."""
-    off = (value * 100 < median) | (value > median * 100)
-    return F.when((median > 0) & off, "MAGNITUDE?").otherwise("")
+    return F.when((median > 0) & out_of_magnitude(value, median), "MAGNITUDE?").otherwise("")
