@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.units import confidence
+from ledgerloom.functions.units import confidence, out_of_magnitude
 from ledgerloom.operators.ranks import order_statistics
 from ledgerloom.plans.common import checkpointed
 
@@ -93,7 +93,7 @@ def medians(v: DataFrame, form: str, series: str) -> DataFrame:
 def cell_medians(v: DataFrame, form: str, series: str) -> DataFrame:
     """medians() beside each positive figure, with its flag."""
     pos = v.filter((F.col("form_code") == form) & (F.col("series") == series) & (F.col("vnd") > 0))
-    off = (F.col("vnd") * 100 < F.col("median")) | (F.col("vnd") > F.col("median") * 100)
+    off = out_of_magnitude(F.col("vnd"), F.col("median"))
     key = ["province", "indicator_raw"]
     return pos.join(medians(v, form, series), key).select("id", *key, "year", "vnd", "median", F.when(off, "MAGNITUDE?").otherwise("").alias("flag"))
 

@@ -23,3 +23,8 @@ def test_a_large_value_and_its_median(spark):
     assert [r[0] for r in df.select(U.magnitude_flag(F.col("v"), F.col("m"))).collect()] == ["", "MAGNITUDE?", "", "MAGNITUDE?", ""]
     small = spark.createDataFrame([(0.009, 1.0), (0.01, 1.0), (100.5, 1.0)], "v double, m double")
     assert [r[0] for r in small.select(U.magnitude_flag(F.col("v"), F.col("m"))).collect()] == ["MAGNITUDE?", "", "MAGNITUDE?"]
+
+
+def test_medians_of_large_cells(spark):
+    found = C.cell_medians(rows(spark, BIG, BIG + 1, BIG // 100, BIG // 100 - 1, BIG * 20), "F", "PLAN").orderBy("id")
+    assert [(r["median"], r["flag"]) for r in found.collect()] == [(BIG, ""), (BIG, ""), (BIG, ""), (BIG, "MAGNITUDE?"), (BIG, "")]
