@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import is_settled
+from ledgerloom.functions.units import out_of_magnitude
 from ledgerloom.operators import cells as C
 from ledgerloom.operators import hierarchy as H
 
@@ -26,7 +27,7 @@ def balance_sheet(v: DataFrame, form: str, named: dict[str, str], series: str, r
     A ratio is blank where a figure lacks or is 0, and reads ? where either is out of its history's magnitude; so flagged is the row.
     """
     own = C.cells(v, form, None, series, province, year).filter(F.col("indicator_raw").isin(*named.values())).filter("n = 1 or lo = hi")
-    off = (F.col("lo") != 0) & ((F.col("lo") * 100 < F.col("median")) | (F.col("lo") > F.col("median") * 100))
+    off = (F.col("lo") != 0) & out_of_magnitude(F.col("lo"), F.col("median"))
     own = own.join(C.medians(v, form, series), ["province", "indicator_raw"], "left").withColumn("off", F.coalesce(off, F.lit(False)))
     at = lambda label, column: F.max(F.when(F.col("indicator_raw") == label, F.col(column)))
     wide = own.groupBy("province", "year").agg(*[at(x, "lo").alias(n) for n, x in named.items()], *[F.coalesce(at(x, "off"), F.lit(False)).alias(f"__{n}") for n, x in named.items()])

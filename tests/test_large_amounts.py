@@ -28,3 +28,10 @@ def test_a_large_value_and_its_median(spark):
 def test_medians_of_large_cells(spark):
     found = C.cell_medians(rows(spark, BIG, BIG + 1, BIG // 100, BIG // 100 - 1, BIG * 20), "F", "PLAN").orderBy("id")
     assert [(r["median"], r["flag"]) for r in found.collect()] == [(BIG, ""), (BIG, ""), (BIG, ""), (BIG, "MAGNITUDE?"), (BIG, "")]
+
+
+def test_a_balance_sheet_of_large_amounts(spark):
+    v = rows(spark, BIG, BIG, BIG // 100 - 1).unionByName(rows(spark, BIG // 2, BIG // 2, BIG // 2, label="B"))
+    sheet = lambda **one: {r["year"]: (r["share"], r["flag"]) for r in B.balance_sheet(v, "F", {"a": "A", "b": "B"}, "PLAN", {"share": ("b", "a")}, ["a", "b"], **one).collect()}
+    assert sheet() == {2002: ("?", "MAGNITUDE?")} and sheet(year=2001) == {2001: ("5000", "")}
+    assert sheet(province="p") == {2000: ("5000", ""), 2001: ("5000", ""), 2002: ("?", "MAGNITUDE?")}
