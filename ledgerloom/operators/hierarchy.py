@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import LETTERS, ROMAN, SECTION, bare_marker, outline_level
+from ledgerloom.functions.units import times
 
 #: All levels that a mark can have, dotted ones with up to ten dots.
 LEVELS = range(0, 17)
@@ -63,5 +64,5 @@ def break_down(rows: DataFrame, block: list[str], order: str = "id", value: str
     residual = F.col("published") - F.col("children_sum")
     return summed.withColumn("residual", residual).withColumn(
         "reconciles",
-        F.when(F.col("published").isNull(), F.lit(None).cast("boolean")).when(F.col("published") == 0, residual == 0).otherwise(F.abs(residual) * 200 <= F.abs("published")),
+        F.when(F.col("published").isNull(), F.lit(None).cast("boolean")).when(F.col("published") == 0, residual == 0).otherwise(times(F.abs(residual), 200) <= F.abs("published")),
     )

@@ -35,3 +35,10 @@ def test_a_balance_sheet_of_large_amounts(spark):
     sheet = lambda **one: {r["year"]: (r["share"], r["flag"]) for r in B.balance_sheet(v, "F", {"a": "A", "b": "B"}, "PLAN", {"share": ("b", "a")}, ["a", "b"], **one).collect()}
     assert sheet() == {2002: ("?", "MAGNITUDE?")} and sheet(year=2001) == {2001: ("5000", "")}
     assert sheet(province="p") == {2000: ("5000", ""), 2001: ("5000", ""), 2002: ("?", "MAGNITUDE?")}
+
+
+def test_residuals_of_large_amounts(spark):
+    labels = [("I one", BIG), ("1 a", BIG - BIG // 200), ("II two", BIG), ("1 b", BIG - BIG // 200 - 1), ("III three", BIG), ("1 c", BIG // 4)]
+    v = spark.createDataFrame([(i, "p", label, x) for i, (label, x) in enumerate(labels)], "id long, province string, indicator_raw string, vnd long")
+    found = H.break_down(H.block_levels(v, ["province"]), ["province"])
+    assert {r["parent_id"]: (r["residual"], r["reconciles"]) for r in found.collect()} == {0: (BIG // 200, True), 2: (BIG // 200 + 1, False), 4: (BIG - BIG // 4, False)}
