@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.units import confidence, out_of_magnitude
+from ledgerloom.functions.units import confidence, out_of_magnitude, times
 from ledgerloom.operators.ranks import order_statistics
 from ledgerloom.plans.common import checkpointed
 
@@ -65,7 +65,7 @@ def timeseries(v: DataFrame, form: str, indicator: str, series: str, province: s
     """Every (or one) publisher's yearly figures; AMBIGUOUS cells are blank with their range; MAGNITUDE? where a history of positive figures spans more than a hundredfold."""
     c = cells(v, form, indicator, series, province)
     own, positive = Window.partitionBy("province"), F.when(F.col("lo") > 0, F.col("lo"))
-    flagged = c.withColumn("flag", _flag(F.coalesce(F.max(positive).over(own) > F.min(positive).over(own) * 100, F.lit(False))))
+    flagged = c.withColumn("flag", _flag(F.coalesce(F.max(positive).over(own) > times(F.min(positive).over(own), 100), F.lit(False))))
     return flagged.select("province", "year", F.when(F.col("flag") != "AMBIGUOUS", F.col("lo")).alias("vnd"), "lo", "hi", "n", "flag")
 
 
@@ -80,7 +80,7 @@ def compare_publishers(v: DataFrame, form: str, indicator: str, series: str, yea
     c = checkpointed(c)
     # Publishers may be many: their median is found by counting.
     positive = order_statistics(c.filter("lo > 0").withColumn("__all", F.lit(0)), "__all", "lo", {"median": (1, 2)}).agg(F.max("median").alias("median"))
-    low = F.coalesce((F.col("lo") != 0) & (F.col("lo") * 100 < F.col("median")), F.lit(False))
+    low = F.coalesce((F.col("lo") != 0) & (times(F.col("lo"), 100) < F.col("median")), F.lit(False))
     return c.crossJoin(F.broadcast(positive)).select("province", "year", "lo", "hi", "n", _flag(low).alias("flag"))  # one row of a median
 
 

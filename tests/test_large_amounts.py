@@ -42,3 +42,13 @@ def test_residuals_of_large_amounts(spark):
     v = spark.createDataFrame([(i, "p", label, x) for i, (label, x) in enumerate(labels)], "id long, province string, indicator_raw string, vnd long")
     found = H.break_down(H.block_levels(v, ["province"]), ["province"])
     assert {r["parent_id"]: (r["residual"], r["reconciles"]) for r in found.collect()} == {0: (BIG // 200, True), 2: (BIG // 200 + 1, False), 4: (BIG - BIG // 4, False)}
+
+
+def test_large_amounts_of_publishers_and_years(spark):
+    figures = [BIG, BIG, BIG // 100, BIG // 100 - 1, BIG]
+    v = spark.createDataFrame([(i, "F", "A", "PLAN", f"p{i}", 2000, x, "VND") for i, x in enumerate(figures)], V)
+    of_amount = "implausible"  # all are beyond what an amount of money can be
+    for year in (None, 2000):
+        assert [r["flag"] for r in C.compare_publishers(v, "F", "A", "PLAN", year).orderBy("province").collect()] == [of_amount] * 3 + ["MAGNITUDE?", of_amount]
+    history = lambda *x: {r["flag"] for r in C.timeseries(rows(spark, *x), "F", "A", "PLAN").collect()}
+    assert history(BIG * 10, BIG // 10) == {of_amount} and history(BIG * 10 + 1, BIG // 10) == {"MAGNITUDE?"}
