@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.units import CURRENCY, canon_unit, clean_unit, norm_num, unit_factor
+from ledgerloom.functions.units import CURRENCY, canon_unit, clean_unit, norm_num, times, unit_factor
 
 
 def unit_audit(df: DataFrame, unit: str = "unit") -> DataFrame:
@@ -136,7 +136,7 @@ def dq_magnitude(v: DataFrame, spread: int = 100) -> DataFrame:
         F.min("vnd").alias("least"), F.max("vnd").alias("most"), F.count(F.lit(1)).alias("years"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("year", "vnd"))), lambda x: F.concat(x["year"].cast("string"), F.lit("="), x["vnd"].cast("string"))), ", ").alias("history"),
     )
-    return span.filter((F.col("years") >= 2) & (F.col("most") >= F.col("least") * spread))
+    return span.filter((F.col("years") >= 2) & (F.col("most") >= times(F.col("least"), spread)))
 
 
 def dq_units(v: DataFrame) -> DataFrame:

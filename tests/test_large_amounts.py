@@ -52,3 +52,8 @@ def test_large_amounts_of_publishers_and_years(spark):
         assert [r["flag"] for r in C.compare_publishers(v, "F", "A", "PLAN", year).orderBy("province").collect()] == [of_amount] * 3 + ["MAGNITUDE?", of_amount]
     history = lambda *x: {r["flag"] for r in C.timeseries(rows(spark, *x), "F", "A", "PLAN").collect()}
     assert history(BIG * 10, BIG // 10) == {of_amount} and history(BIG * 10 + 1, BIG // 10) == {"MAGNITUDE?"}
+
+
+def test_histories_of_large_amounts(spark):
+    found = Q.dq_magnitude(rows(spark, BIG, BIG // 100).unionByName(rows(spark, BIG, BIG // 100 + 1, label="B")).unionByName(rows(spark, BIG, BIG * 20, label="C")))
+    assert [(r["indicator_raw"], r["history"]) for r in found.collect()] == [("A", f"2000={BIG}, 2001={BIG // 100}")]
