@@ -35,6 +35,15 @@ def forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFr
     return spark.read.parquet(_STORED[at])
 
 
+#: Orders of one part of the customers' forms; their forms have about six times as many rows.
+PART_ORDERS = 100_000
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> int:
+    """Parts of the customers' forms, by the number of orders, which is in the files' footers."""
+    return spark.sparkContext.defaultParallelism + table(spark, sf_dir, "orders").count() // PART_ORDERS
+
+
 def built_forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
     """Rows of the forms, in columns of the fact view, with their place in the hierarchy. Publishers are nations, or customers: then the forms grow with the input.
 
@@ -48,32 +57,34 @@ def built_forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) ->
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("s"))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("pub"), F.col("n_nationkey").alias("nk"))
-    base = (
-        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
+    if by_customer:  # all that follows is within a customer, so their rows are brought together once, in parts that are sorted in memory
+        base = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").repartition(_parts(spark, sf_dir), "o_custkey")
+    else:
+        base = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    base = base.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     sums = [F.sum("plan").alias("PLAN"), F.sum("outturn").alias("OUTTURN")]
-    top = ["pub", "nk", "y"]
-    base = base.withColumn("pub", F.concat(F.lit("C"), "c_custkey")) if by_customer else base
+    own = "o_custkey" if by_customer else "pub"
+    top = [own, "nk", "y"]
     finest = base.groupBy(*top, "s", "p", "st").agg(*sums)  # the rest is summed from these few rows
+    # Levels are exploded, not grouping sets: those would name the publisher anew and shuffle every row again.
+    level = lambda *kept: F.struct(*[(F.col(c) if c in kept else F.lit(None).cast("string")).alias(c) for c in ("s", "p", "st")], *[F.lit(int(c not in kept)).alias(g) for g, c in (("gs", "s"), ("gp", "p"), ("gt", "st"))])
+    levels = F.explode(F.array(level(), level("s"), level("s", "p"), level("s", "p", "st"))).alias("x")
     again = [F.sum("PLAN").alias("PLAN"), F.sum("OUTTURN").alias("OUTTURN")]
-    sets = [[], ["s"], ["s", "p"], ["s", "p", "st"]]
-    grouped = finest.groupingSets([[*(F.col(c) for c in top + x)] for x in sets], *[F.col(c) for c in (*top, "s", "p", "st")]).agg(
-        F.grouping("s").cast("int").alias("gs"), F.grouping("p").cast("int").alias("gp"), F.grouping("st").cast("int").alias("gt"), *again
-    )
-    sr = F.dense_rank().over(Window.partitionBy("pub", "y", "gs").orderBy("s"))
-    place = F.row_number().over(Window.partitionBy("pub", "y").orderBy(F.desc("gs"), "s", F.desc("gp"), "p", F.desc("gt"), "st"))
+    grouped = finest.select(*top, "PLAN", "OUTTURN", levels).select(*top, "PLAN", "OUTTURN", "x.*").groupBy(*top, "s", "p", "st", "gs", "gp", "gt").agg(*again)
+    form = Window.partitionBy(own, "y")
+    place = F.row_number().over(form.orderBy(F.desc("gs"), "s", F.desc("gp"), "p", F.desc("gt"), "st"))
+    # A form's one total comes first, so segments have ranks from 2; the order is the beginning of that of places.
+    sr = F.when(F.col("gs") == 1, 1).otherwise(F.dense_rank().over(form.orderBy(F.desc("gs"), "s")) - 1)
     roman = F.element_at(F.array(*[F.lit(r) for r in ("I", "II", "III", "IV", "V", "VI", "VII", "VIII")]), F.col("sr"))
     label = (
         F.when(F.col("gs") == 1, "A TOTAL").when(F.col("gp") == 1, F.concat(roman, F.lit(" "), "s"))
         .when(F.col("gt") == 1, F.concat(F.substring("p", 1, 1), F.lit(" "), F.expr("substr(p, 3)"))).otherwise(F.concat(F.lit("- "), "st"))
     )
-    numbered = grouped.withColumn("sr", sr).withColumn("n", place).withColumn("indicator_raw", label)
+    numbered = grouped.withColumn("n", place).withColumn("sr", sr).withColumn("indicator_raw", label)
     series = F.explode(F.array(*[F.struct(F.lit(k).alias("series"), F.lit(i).alias("k"), F.col(k).alias("v")) for i, k in enumerate(("PLAN", "OUTTURN"))])).alias("x")
     rows = numbered.select("*", series).select("*", "x.series", "x.k", "x.v")
     at = (F.col("nk") % 8 + 1).cast("int")
-    own = F.substring("pub", 2, 19).cast("long") if by_customer else F.col("nk")
-    ident = ((own * 10000 + F.col("y")).cast("long") * 1000 + F.col("n")) * 2 + F.col("k")
+    ident = ((F.col("o_custkey" if by_customer else "nk") * 10000 + F.col("y")).cast("long") * 1000 + F.col("n")) * 2 + F.col("k")
     blank = F.col("v").isNull() | (F.col("id") % 13 == 5)
     value = F.when((F.col("nk") % 11 == 3) & (F.col("y") % 3 == 0), F.expr("v div 1000000")).otherwise(F.col("v"))
     return (
@@ -82,7 +93,7 @@ def built_forms(spark: SparkSession, sf_dir: str, by_customer: bool = False) ->
         .withColumn("raw", F.when(blank, "").when(F.col("id") % 17 == 3, "-").otherwise(value.cast("string")))
         .withColumn("value", F.when(F.col("raw").isin("", "-"), F.lit(None).cast("long")).otherwise(value))
         .select(
-            "id", F.col("pub").alias("province"), F.col("nk").cast("int").alias("nk"), F.col("y").cast("int").alias("year"), F.lit(FORM).alias("form_code"),
+            "id", (F.concat(F.lit("C"), "o_custkey") if by_customer else F.col("pub")).alias("province"), F.col("nk").cast("int").alias("nk"), F.col("y").cast("int").alias("year"), F.lit(FORM).alias("form_code"),
             F.lit(f"Budget [{FORM}]").alias("table_label"), F.when(F.col("nk") % 2 == 0, "Tỉnh").otherwise("Xã").alias("scope"), "indicator_raw", "series",
             "unit", "factor", "raw", "value", (F.col("value") * F.col("factor")).alias("vnd"),
             (F.col("nk") * 10 + F.col("y") % 10 + F.when((F.col("sr") > 3) & (F.col("nk") % 10 == 7) & (F.col("gs") == 0), 1000).otherwise(0)).cast("int").alias("report_id"),
