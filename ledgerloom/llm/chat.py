@@ -102,13 +102,18 @@ def json_turn_rows(df: DataFrame, record: str = "record", key: str = "conv_id")
     layouts = {h: name for h, name in BY_FINGERPRINT.items() if LAYOUTS[name][1] != "rows"}
     names = F.create_map(*[F.lit(x) for pair in layouts.items() for x in pair])
     known = df.select(F.col(key).alias("conv_id"), F.col(record).alias("record")).withColumn("layout", names[json_fingerprint(F.col("record"))])
-    turns = None
+    kept = ["__id", "__record", "__layout"]
+    each = known.select(F.col("conv_id").alias("__id"), F.col("record").alias("__record"), F.col("layout").alias("__layout"), F.lit(None).cast("array<struct<role:string,text:string>>").alias("__turns"))
+    # One pass for all layouts: records are read once, and not once for each layout by one task.
     for name in layouts.values():
         fields, mapping = LAYOUTS[name]
         # Each layout's own fields alone are in scope where its mapping is read.
-        own = known.filter(F.col("layout") == name).select("conv_id", F.from_json("record", fields).alias("r")).select("conv_id", "r.*")
-        rows = turn_rows(own, layout=name)
-        turns = rows if turns is None else turns.unionByName(rows)
+        own = F.from_json(F.when(F.col("__layout") == name, F.col("__record")), fields).alias("__r")
+        scoped = each.select(*kept, "__turns", own).select(*kept, "__turns", "__r.*")
+        each = scoped.select(*kept, F.coalesce("__turns", F.when(F.col("__layout") == name, F.expr(mapping))).alias("__turns"))
+    # Outer, then filtered: no filter on the array is put below, where it would be computed again.
+    turns = each.select(F.col("__id").alias("conv_id"), F.posexplode_outer("__turns").alias("turn", "t")).filter("turn is not null")
+    turns = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
     return turns, known.filter("layout is null").select("conv_id", "record")
 
 
