@@ -58,8 +58,8 @@ def find_forms(rows: DataFrame, query: str, title: str, publisher: str, limit: i
 
 #: Folders of the postings; a token's is found from its first letters, so that beginnings are found there as well.
 BUCKETS, HEAD = 64, 3
-#: Labels of one folder of the statistics.
-PART = 4096
+#: Labels of one folder of the statistics: many, as each folder is listed, opened and moved by itself; within one, files are in order of ids.
+PART = 1 << 18
 
 
 def label_stats(rows: DataFrame, label: str, table: str, publisher: str, year: str, vnd: str) -> DataFrame:
@@ -97,7 +97,7 @@ def store_index(stats: DataFrame, path: str) -> None:
     full.repartitionByRange("part", "id").sortWithinPartitions("part", "id").write.mode("overwrite").partitionBy("part").parquet(f"{path}/stats")
     token = F.explode(F.array_distinct(F.split(fold(F.col("clean")), r"[^\p{L}\p{N}]+")))
     postings = full.select(token.alias("token"), "id", "form", "provinces", "row_count").filter("token <> ''").withColumn("bucket", _bucket(F.col("token")))
-    dealt = postings.repartition("bucket", F.pmod(F.col("id"), F.lit(4))).sortWithinPartitions("bucket", "token", "id")
+    dealt = postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token", "id")  # folders of frequent tokens are split by their size
     dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
 
 
