@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions import text as X
 from ledgerloom.functions.units import canon_unit, to_vnd, unit_factor
 from ledgerloom.operators import dedup, forms
-from ledgerloom.operators.order import placed
+from ledgerloom.operators.order import RANGE_ROWS, placed
 from ledgerloom.plans.common import checkpointed
 
 _STRINGS = ("province_current", "province_source", "doc_no", "doc_date", "period", "agency", "scope", "table_label", "indicator_raw", "series", "raw")
@@ -85,7 +85,7 @@ def build_long(tags: DataFrame, cells: DataFrame, files: DataFrame, reports: Dat
 
 def in_source_order(rows: DataFrame) -> DataFrame:
     """rows with ord, their place in the order of reports, files, sheets, rows and columns: 0, 1, ... without gaps."""
-    at = placed(checkpointed(rows.withColumn("__all", F.lit(0))), "__all", [F.col(x) for x in LINEAGE])
+    at = placed(checkpointed(rows.withColumn("__all", F.lit(0))), "__all", [F.col(x) for x in LINEAGE], RANGE_ROWS)
     return checkpointed(at.withColumnRenamed("pos", "ord").drop("n", "__all"))
 
 
@@ -130,7 +130,7 @@ def build_star(rows: DataFrame, status: DataFrame, known: dict[str, DataFrame] |
         for r in old.groupBy("dim").agg(F.max("id").alias("id")).collect():  # one row a dimension
             starts = F.when(c("dim") == r["dim"], r["id"]).otherwise(starts)
     # All dimensions are numbered together, each from its own start, range by range of first appearance.
-    fresh = checkpointed(placed(checkpointed(firsts), "dim", [c("first"), c("label")]).select("dim", "label", "unit", (c("pos") + 1 + starts).cast("long").alias("id")))
+    fresh = checkpointed(placed(checkpointed(firsts), "dim", [c("first"), c("label")], RANGE_ROWS).select("dim", "label", "unit", (c("pos") + 1 + starts).cast("long").alias("id")))
     dims, fact = {}, rows.select("ord", "report_id", "value", *[F.coalesce(label(), F.lit("")).alias(f"__{n}") for n, (label, _) in _DIMS.items()])
     for name, (_, more) in _DIMS.items():
         dim = fresh.filter(c("dim") == name).select("id", "label", *[f(c("label")).alias(a) for a, f in more.items()])

@@ -10,16 +10,25 @@ from ledgerloom.plans.common import checkpointed, join_checked
 _ROW_BITS = 33
 
 
-def placed(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
+#: Rows of a range where rows may be few: then there are fewer ranges than Spark has partitions for a shuffle.
+RANGE_ROWS = 10_000
+
+
+def placed(rows: DataFrame, group: str, order: list[Column], least: int | None = None) -> DataFrame:
     """rows with pos (from 0) in the order within their group, and n, the group's size. The group's column must not be null.
 
     Rows are dealt by ranges of (group, order) and sorted there; a row's place is its place in its range and the number of
     rows of its group in the ranges before, of which there is one count for each group and range. Ties get any places, so
     order by what tells rows apart. rows is evaluated twice, so pass what is stored.
+
+    Each range is a file that all later reads open, and spark.sql.shuffle.partitions is set for the whole input. least, where rows
+    may be few beside it, says how many rows a range has at least, about: rows are counted, and their ranges follow from that.
     """
     spark = rows.sparkSession
     keys = [F.col(group), *order]
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if least is not None:
+        parts = min(parts, rows.count() // least + 1)
     dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id())
     dealt = checkpointed(dealt)  # a range's number and the places in it are fixed from here on
     part = F.shiftright("__at", _ROW_BITS)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import ACCENTED, PLAIN, fold, indicator_clean
-from ledgerloom.operators.order import placed
+from ledgerloom.operators.order import RANGE_ROWS, placed
 from ledgerloom.plans.common import checkpointed
 
 
@@ -90,7 +90,7 @@ def store_index(stats: DataFrame, path: str) -> None:
     Ids follow label and form, so they break ties as labels do. Tokens are those of the clean label, or of the label where
     cleaning leaves nothing. Postings of a frequent token lie in one folder, in several files.
     """
-    at = placed(checkpointed(stats.withColumn("__all", F.lit(0))), "__all", [F.col("label"), F.col("form")])
+    at = placed(checkpointed(stats.withColumn("__all", F.lit(0))), "__all", [F.col("label"), F.col("form")], RANGE_ROWS)
     clean = indicator_clean(F.col("label"))
     full = at.select(F.col("pos").alias("id"), "label", F.coalesce(F.nullif(clean, F.lit("")), "label").alias("clean"), "form", "row_count", "provinces", "convertible", "first_year", "last_year", F.expr(f"cast(pos div {PART} as int)").alias("part"))
     full = checkpointed(full)

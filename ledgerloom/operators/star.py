@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.order import placed
+from ledgerloom.operators.order import RANGE_ROWS, placed
 from ledgerloom.plans.common import checkpointed
 
 
@@ -15,7 +15,7 @@ def dim_encode(df: DataFrame, label: str, attributes: list[str], order: str = "o
     Distinct labels are dealt by ranges of their first appearance and numbered range by range, so no task sees them all.
     """
     firsts = df.groupBy(label).agg(F.min(order).alias("__o"), *[F.min_by(a, order).alias(a) for a in attributes])
-    at = placed(checkpointed(firsts.withColumn("__all", F.lit(0))), "__all", [F.col("__o"), F.col(label)])
+    at = placed(checkpointed(firsts.withColumn("__all", F.lit(0))), "__all", [F.col("__o"), F.col(label)], RANGE_ROWS)
     return at.select((F.col("pos") + 1 + start).alias("id"), label, *attributes)
 
 

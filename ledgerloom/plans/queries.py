@@ -558,8 +558,8 @@ def warehouse_volume(spark, sf_dir):
 
 @query(w_sql("SELECT indicator_raw AS label, form_code AS form, count(*) AS row_count, count(DISTINCT province) AS provinces, count(n * factor) AS convertible, min(year) AS first_year, max(year) AS last_year FROM wn WHERE dup_kind = '' GROUP BY 1, 2"))
 def warehouse_labels(spark, sf_dir):
-    path = _warehouse(spark, sf_dir)
-    return S.star_stats(versions.read(spark, path, "fact_row"), {n: versions.read(spark, path, n) for n in warehouse.DIMENSIONS})
+    star = versions.read_all(spark, _warehouse(spark, sf_dir), (*warehouse.DIMENSIONS, "fact_row"))
+    return S.star_stats(star.pop("fact_row"), star)
 
 
 # 2.5 dedup and maintenance ---------------------------------------------------------------------------
@@ -839,8 +839,8 @@ def _partial(spark, sf_dir) -> DataFrame:
     """The stored partial aggregate of the warehouse."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _PARTIALS:
-        path = _warehouse(spark, sf_dir)
-        _PARTIALS[at] = checkpointed(A.partial_counts(versions.read(spark, path, "fact_row"), {n: versions.read(spark, path, n) for n in warehouse.DIMENSIONS}))
+        star = versions.read_all(spark, _warehouse(spark, sf_dir), (*warehouse.DIMENSIONS, "fact_row"))
+        _PARTIALS[at] = checkpointed(A.partial_counts(star.pop("fact_row"), star))
     return _PARTIALS[at]
 
 

@@ -43,6 +43,13 @@ def read(spark: SparkSession, path: str, table: str, part: str | None = None, ve
     return spark.read.parquet(*found)
 
 
+def read_all(spark: SparkSession, path: str, tables: list[str] | tuple[str, ...], version: int | None = None) -> dict[str, DataFrame]:
+    """Those of the tables that the version has, all as one version has them: its list is read once."""
+    listed = folders(spark, path, version)
+    found = {n: [f for (t, _), f in listed.items() if t == n] for n in tables}
+    return {n: spark.read.parquet(*own) for n, own in found.items() if own}
+
+
 def publish(spark: SparkSession, path: str, tables: dict[str, DataFrame], by: dict[str, str] | None = None, audit: Callable[[dict[str, DataFrame]], list[str]] | None = None) -> int:
     """Writes tables into new folders, audits them as they were written, and publishes a version that has them; its number.
 

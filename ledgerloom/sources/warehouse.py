@@ -13,8 +13,7 @@ DIMENSIONS = ("province", "period", "scope", "table", "indicator", "series", "un
 
 
 def _dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    there = {t for t, _ in versions.folders(spark, path)}
-    return {n: versions.read(spark, path, n) for n in DIMENSIONS if n in there}
+    return versions.read_all(spark, path, DIMENSIONS)
 
 
 def load(spark: SparkSession, path: str, rows: DataFrame, status: DataFrame) -> int:
@@ -50,7 +49,7 @@ def load(spark: SparkSession, path: str, rows: DataFrame, status: DataFrame) ->
 
 def view(spark: SparkSession, path: str, publisher: str | None = None, version: int | None = None) -> DataFrame:
     """The fact view of all publishers, or of one, whose folder alone is read."""
-    dims = {n: versions.read(spark, path, n, version=version) for n in DIMENSIONS}
+    dims = versions.read_all(spark, path, DIMENSIONS, version)
     part = None
     if publisher is not None:
         found = dims["province"].filter(F.col("label") == publisher).select("id").first()
