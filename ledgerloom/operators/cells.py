@@ -10,6 +10,8 @@ from ledgerloom.operators.ranks import order_statistics
 from ledgerloom.plans.common import checkpointed
 
 CELL = ["form_code", "indicator_raw", "series", "province", "year"]
+#: The same in the order in which a grouping sorts them: a sort compares by the beginning of its first column, so that is one of many values.
+_SORTED = ["province", "year", "indicator_raw", "series", "form_code"]
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -27,7 +29,8 @@ def cells(v: DataFrame, form: str | None = None, indicator: str | None = None, s
     """(cell, n, lo, hi, first id, unit) of rows that have a figure, narrowed to what is given."""
     for column, given in (("form_code", form), ("indicator_raw", indicator), ("series", series), ("province", province), ("year", year)):
         v = v if given is None else v.filter(F.col(column) == given)
-    return v.filter("vnd is not null").groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.min("vnd").alias("lo"), F.max("vnd").alias("hi"), F.min("id").alias("first_id"), F.min_by("unit", "id").alias("unit"))
+    by = v.filter("vnd is not null").groupBy(*_SORTED).agg(F.count(F.lit(1)).alias("n"), F.min("vnd").alias("lo"), F.max("vnd").alias("hi"), F.min("id").alias("first_id"), F.min_by("unit", "id").alias("unit"))
+    return by.select(*CELL, "n", "lo", "hi", "first_id", "unit")
 
 
 def series_for(v: DataFrame, form: str, indicator: str, province: str | None = None) -> DataFrame:
